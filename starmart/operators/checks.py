@@ -75,7 +75,7 @@ def check_unique(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame
 
 def check_grain(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
     """Number of column combinations that occur more than once: is the table at the grain it claims?"""
-    repeated = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
     totals = repeated.agg(F.count(F.lit(1)).alias("f0"))
     return _rows(totals, model, [("grain", ", ".join(columns), "f0")])
 

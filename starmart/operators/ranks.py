@@ -23,7 +23,7 @@ _POSITION_BITS = 33
 
 
 def rank_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Add ``position`` (from 0, in ``order``) and ``total`` (number of rows).
+    """Add ``_position`` (from 0, in ``order``) and ``_total`` (number of rows).
 
     ``order`` should end in a key, so that equal values can be split over partitions and ties are stable.
     """
@@ -41,13 +41,13 @@ def rank_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     offsets = sizes.select(
         "_part",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy()).alias("total"),
+        F.sum("_rows").over(Window.partitionBy()).alias("_total"),
     )
     within = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn("position", F.col("_before") + within)
+        .withColumn("_position", F.col("_before") + within)
         .drop("_part", "_place", "_before")
     )
 
@@ -60,13 +60,13 @@ def exact_ntile(
     if held.count() <= one_task_rows:
         return held.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)).cast("bigint"))
 
-    # total = buckets * _small + _extra: the first _extra buckets hold _small + 1 rows, the others _small.
-    sized = rank_rows(held, order).selectExpr("*", f"total div {buckets} AS _small", f"total % {buckets} AS _extra")
+    # _total = buckets * _small + _extra: the first _extra buckets hold _small + 1 rows, the others _small.
+    sized = rank_rows(held, order).selectExpr("*", f"_total div {buckets} AS _small", f"_total % {buckets} AS _extra")
     bucket = F.expr(
-        """CASE WHEN position < _extra * (_small + 1) THEN position div (_small + 1) + 1
-                ELSE _extra + (position - _extra * (_small + 1)) div greatest(_small, 1) + 1 END"""
+        """CASE WHEN _position < _extra * (_small + 1) THEN _position div (_small + 1) + 1
+                ELSE _extra + (_position - _extra * (_small + 1)) div greatest(_small, 1) + 1 END"""
     )
-    return sized.withColumn(name, bucket.cast("bigint")).drop("position", "total", "_small", "_extra")
+    return sized.withColumn(name, bucket.cast("bigint")).drop("_position", "_total", "_small", "_extra")
 
 
 def exact_percentiles(
@@ -92,17 +92,17 @@ def exact_percentiles(
     order = [F.col(c).asc_nulls_last() for c in (*by, "_value", *key)]
     ranked = rank_rows(known, order)
     # A group's rows are neighbours in the global order, so its k-th value sits at its first position + k.
-    spans = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("_first"))
+    spans = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_position").alias("_first"))
     neighbours = []
     for i, p in enumerate(percentages.values()):
         rank = F.lit(p) * (F.col("n") - 1)
         share = rank - F.floor(rank)
         for near, weight in ((F.floor(rank), 1 - share), (F.ceil(rank), share)):
             neighbours.append(
-                F.struct(F.lit(i).alias("i"), (F.col("_first") + near).alias("position"), weight.alias("weight"))
+                F.struct(F.lit(i).alias("i"), (F.col("_first") + near).alias("_position"), weight.alias("weight"))
             )
     targets = stage(spans.select(*by, "n", F.inline(F.array(*neighbours))), "targets")
-    hits = ranked.select("position", "_value").join(targets, "position")
+    hits = ranked.select("_position", "_value").join(targets, "_position")
     parts = [
         F.sum(F.when(F.col("i") == i, F.col("weight") * F.col("_value"))).alias(name)
         for i, name in enumerate(percentages)

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import dq_report, enforce
+from ..operators import dq_report, enforce, stage
 from ..sinks.store import Store, namespace_for
 from ..sources import INPATIENT_CHARGES, READMISSIONS, load_extracts
 from . import dims, facts, staging
@@ -32,17 +32,19 @@ def build_star(
 ) -> dict[str, DataFrame]:
     """Build and write the three dimensions, then the two facts; returns readers of the five tables by name.
 
-    Staging stays lazy: each model scans only the raw columns it needs.
+    Staging stays lazy: each model scans only the raw columns it needs. Only the distinct hospital rows, read by two
+    dimensions, are written.
     """
     target = namespace_for(namespace, "marts")
     charges = store.view(staging.stg_inpatient_charges(raw_charges), "stg", "inpatient_charges")
     readmissions = store.view(staging.stg_readmissions(raw_readmissions), "stg", "readmissions")
+    hospitals = stage(staging.stg_hospitals(raw_charges), "hospitals")
     star = _save_all(
         store,
         {
-            "dim_provider": lambda: dims.dim_provider(charges),
+            "dim_provider": lambda: dims.dim_provider(hospitals),
             "dim_drg": lambda: dims.dim_drg(charges),
-            "dim_geography": lambda: dims.dim_geography(charges),
+            "dim_geography": lambda: dims.dim_geography(hospitals),
         },
         target,
     )

@@ -1,4 +1,7 @@
-"""Conformed dimensions, rebuilt in full from the charges staging (no history is kept)."""
+"""Conformed dimensions, rebuilt in full from the charges staging (no history is kept).
+
+``hospitals`` may be the charges staging itself or, cheaper, its distinct hospital columns (``stg_hospitals``).
+"""
 
 from __future__ import annotations
 
@@ -17,11 +20,11 @@ from ..functions import (
 from .lookups import CENSUS_REGIONS, COMMON_CODES, OTHER, RURAL, SERVICE_LINES, URBANICITY
 
 
-def dim_provider(charges: DataFrame) -> DataFrame:
+def dim_provider(hospitals: DataFrame) -> DataFrame:
     """One row per hospital. Each attribute is the greatest text seen for it, on its own."""
     attributes = ["provider_name", "provider_city", "provider_state", "provider_zip", "ruca_code"]
-    hospitals = charges.groupBy("ccn").agg(*[F.max(a).alias(a) for a in attributes])
-    return hospitals.select(
+    merged = hospitals.groupBy("ccn").agg(*[F.max(a).alias(a) for a in attributes])
+    return merged.select(
         surrogate_key(F.col("ccn")).alias("provider_sk"),
         "ccn",
         "provider_name",
@@ -44,9 +47,9 @@ def dim_drg(charges: DataFrame) -> DataFrame:
     )
 
 
-def dim_geography(charges: DataFrame) -> DataFrame:
+def dim_geography(hospitals: DataFrame) -> DataFrame:
     """One row per state of the charges."""
-    states = charges.select(F.col("provider_state").alias("state_code")).where("state_code IS NOT NULL").distinct()
+    states = hospitals.select(F.col("provider_state").alias("state_code")).where("state_code IS NOT NULL").distinct()
     return states.select(
         surrogate_key(F.col("state_code")).alias("geo_sk"),
         "state_code",

@@ -2,25 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio, map_values, title_case, try_float, try_number
 from .lookups import CONDITIONS
 
 
-def stg_inpatient_charges(raw: DataFrame) -> DataFrame:
-    """Charges with a positive payment; the casts are strict, so a bad value stops the build."""
-    charge, total, payment = (
-        F.col(c).cast("decimal(14,2)") for c in ("Avg_Submtd_Cvrd_Chrg", "Avg_Tot_Pymt_Amt", "Avg_Mdcr_Pymt_Amt")
-    )
-    return raw.where(payment > 0).select(
+def _money(column: str) -> Column:
+    return F.col(column).cast("decimal(14,2)")
+
+
+def _paid(raw: DataFrame) -> DataFrame:
+    return raw.where(_money("Avg_Mdcr_Pymt_Amt") > 0)
+
+
+def _hospital_columns() -> list[Column]:
+    return [
         F.col("Rndrng_Prvdr_CCN").alias("ccn"),
         title_case(F.col("Rndrng_Prvdr_Org_Name")).alias("provider_name"),
         title_case(F.col("Rndrng_Prvdr_City")).alias("provider_city"),
         F.upper("Rndrng_Prvdr_State_Abrvtn").alias("provider_state"),
         F.col("Rndrng_Prvdr_Zip5").alias("provider_zip"),
         F.col("Rndrng_Prvdr_RUCA").alias("ruca_code"),
+    ]
+
+
+def stg_hospitals(raw: DataFrame) -> DataFrame:
+    """The hospital columns of the charges staging, without repeats: what the provider and geography dimensions read.
+
+    Repeats go before the text is cleaned, in a hash aggregate that starts on the map side, so that cleaning and the
+    sort that a greatest-text aggregate needs work on a few rows per hospital instead of one per charge.
+    """
+    source = [
+        "Rndrng_Prvdr_CCN",
+        "Rndrng_Prvdr_Org_Name",
+        "Rndrng_Prvdr_City",
+        "Rndrng_Prvdr_State_Abrvtn",
+        "Rndrng_Prvdr_Zip5",
+        "Rndrng_Prvdr_RUCA",
+    ]
+    return _paid(raw).select(*source).distinct().select(*_hospital_columns())
+
+
+def stg_inpatient_charges(raw: DataFrame) -> DataFrame:
+    """Charges with a positive payment; the casts are strict, so a bad value stops the build."""
+    charge, total, payment = (_money(c) for c in ("Avg_Submtd_Cvrd_Chrg", "Avg_Tot_Pymt_Amt", "Avg_Mdcr_Pymt_Amt"))
+    return _paid(raw).select(
+        *_hospital_columns(),
         F.col("DRG_Cd").alias("drg_code"),
         F.col("DRG_Desc").alias("drg_desc"),
         F.col("Tot_Dschrgs").cast("bigint").alias("total_discharges"),

@@ -10,6 +10,7 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("starmart")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.driver.host", "localhost")
         .config("spark.sql.shuffle.partitions", str(cpus))

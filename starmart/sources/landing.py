@@ -43,12 +43,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the first line of the first file of ``path``."""
-    files = spark.read.text(path).inputFiles()
-    line = spark.read.text(files[0]).first() if files else None
+    """Column names in the first line of one file of ``path``."""
+    line = spark.read.text(path).where("_metadata.file_block_start = 0").select("value").first()
     if line is None:
         raise ValueError(f"no header line in {path}")
-    return next(csv.reader([line[0].lstrip("﻿")]))
+    return next(csv.reader([line[0].lstrip("\ufeff")]))
 
 
 def read_landing(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
@@ -66,7 +65,7 @@ def read_landing(spark: SparkSession, paths: str | Sequence[str], multi_line: bo
         frames.append(
             spark.read.schema(schema)
             .options(header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
-            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN)
+            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN, columnPruning=False)
             .csv(path)
         )
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -86,9 +85,7 @@ def match_columns(df: DataFrame, schema: T.StructType) -> list[Column]:
 def _typed(cell: Column, to: T.DataType) -> Column:
     if isinstance(to, T.StringType):
         return cell
-    if isinstance(to, T.DecimalType):
-        return try_number(cell, to.scale or 0).try_cast(to) if to.scale else try_number(cell).try_cast(to)
-    return try_number(cell).try_cast(to)
+    return try_number(cell, to.scale if isinstance(to, T.DecimalType) else 0).try_cast(to)
 
 
 def coerce(df: DataFrame, schema: T.StructType, tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
@@ -131,7 +128,7 @@ def load_table(landing: DataFrame, schema: T.StructType, store: Store, name: str
     Good and bad rows are told apart in one pass and written as two partitions of one table; the counts come with
     the write, so neither needs a second read of the files.
     """
-    counts = Observation(f"load {name}")
+    counts = Observation()
     status = F.col(STATUS)
     checked = coerce(landing, schema).observe(
         counts,
@@ -149,7 +146,7 @@ def load_table(landing: DataFrame, schema: T.StructType, store: Store, name: str
 def load_extracts(
     spark: SparkSession, folder: str, extracts: Mapping[str, tuple[str, T.StructType]], store: Store
 ) -> dict[str, Load]:
-    """Load every extract found in ``folder``: file or sub-folder name -> (table, schema).
+    """Load every extract found in ``folder``: file or sub-folder name, plain or with ``.gz`` -> (table, schema).
 
     A missing folder is an error; a missing extract is logged and skipped.
     """
@@ -157,8 +154,9 @@ def load_extracts(
         raise MissingLanding(f"no landing folder at {folder}")
     loads = {}
     for file, (table, schema) in extracts.items():
-        path = f"{folder.rstrip('/')}/{file}"
-        if not _exists(spark, path):
+        plain = f"{folder.rstrip('/')}/{file}"
+        path = next((p for p in (plain, f"{plain}.gz") if _exists(spark, p)), None)
+        if path is None:
             log.warning("skip %s: missing", file)
             continue
         loads[table] = load_table(read_landing(spark, path), schema, store, table)
