@@ -28,6 +28,15 @@ def try_float(cell: Column) -> Column:
     return _number_text(cell).try_cast("double")
 
 
+def round_stable(value: Column, digits: int) -> Column:
+    """A double rounded half up, as double.
+
+    The order in which rows are summed changes the last bits of a double and could flip a plain ``round`` near a
+    half. Ten decimals are kept before the rounding, so such noise is gone and every run gives the same figure.
+    """
+    return F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+
+
 def guarded_ratio(top: Column, bottom: Column, digits: int | None = None) -> Column:
     """``top / bottom``, null where ``bottom`` is zero, rounded when ``digits`` is given."""
     ratio = top / F.nullif(bottom, F.lit(0))
@@ -40,7 +49,8 @@ def ratio_of_sums(top: Column, bottom: Column, digits: int | None = None) -> Col
     Both sums stay exact in their own type; only the division is done in double, because a quotient of two
     wide decimals would lose digits to Spark's 38-digit limit.
     """
-    return guarded_ratio(F.sum(top).cast("double"), F.sum(bottom).cast("double"), digits)
+    ratio = guarded_ratio(F.sum(top).cast("double"), F.sum(bottom).cast("double"))
+    return ratio if digits is None else round_stable(ratio, digits)
 
 
 def weighted_avg(value: Column, weight: Column, digits: int | None = None) -> Column:

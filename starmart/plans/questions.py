@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import guarded_ratio, ratio_of_sums, safe_corr
+from ..functions import guarded_ratio, ratio_of_sums, round_stable, safe_corr
 from ..operators import exact_ntile, exact_percentiles, leaders_per_group, stage
 from ..operators.ranks import ONE_TASK_ROWS
 
@@ -70,7 +70,7 @@ def price_variation(
         "p90_charge",
         "max_charge",
         guarded_ratio(F.col("max_charge"), F.col("min_charge"), 1).alias("fold_difference"),
-        guarded_ratio(F.col("_pay_p90"), F.col("_pay_p10"), 1).alias("medicare_pay_p90_p10_ratio"),
+        round_stable(guarded_ratio(F.col("_pay_p90"), F.col("_pay_p10")), 1).alias("medicare_pay_p90_p10_ratio"),
     )
 
 
@@ -131,8 +131,8 @@ def cost_vs_quality(
         .groupBy("pay_quintile")
         .agg(
             F.count(F.lit(1)).alias("n_hospitals"),
-            F.round(F.avg("mean_medicare_pay"), 0).alias("avg_medicare_pay"),
-            F.round(F.avg("mean_excess_readmit"), 4).alias("avg_excess_readmit_ratio"),
+            round_stable(F.avg("mean_medicare_pay"), 0).alias("avg_medicare_pay"),
+            round_stable(F.avg("mean_excess_readmit"), 4).alias("avg_excess_readmit_ratio"),
         )
         .orderBy("pay_quintile")
     )
@@ -142,7 +142,7 @@ def cost_quality_corr(charges: DataFrame, readmissions: DataFrame) -> DataFrame:
     """One row: number of hospitals and the correlation of payment and readmission ratio."""
     r = safe_corr(F.col("mean_medicare_pay"), F.col("mean_excess_readmit"))
     return provider_cost_quality(charges, readmissions).agg(
-        F.count(F.lit(1)).alias("n_hospitals"), F.round(r, 3).alias("r")
+        F.count(F.lit(1)).alias("n_hospitals"), round_stable(r, 3).alias("r")
     )
 
 
@@ -154,14 +154,14 @@ def headline_metrics(corr: DataFrame, quintiles: DataFrame, markup: DataFrame) -
     )
     lines = [
         corr.select((F.col("r") * F.col("r")).alias("r_squared")),
-        buckets.select(guarded_ratio(F.col("top"), F.col("bottom"), 1).alias("pay_ratio_q5_q1")),
+        buckets.select(round_stable(guarded_ratio(F.col("top"), F.col("bottom")), 1).alias("pay_ratio_q5_q1")),
         markup.agg(F.min("markup_ratio").alias("markup_min"), F.max("markup_ratio").alias("markup_max")),
     ]
     stacked = lines[0]
     for line in lines[1:]:
         stacked = stacked.unionByName(line, allowMissingColumns=True)
     return stacked.agg(
-        F.round(F.max("r_squared"), 4).alias("r_squared"),
+        round_stable(F.max("r_squared"), 4).alias("r_squared"),
         F.max("pay_ratio_q5_q1").alias("pay_ratio_q5_q1"),
         F.max("markup_min").alias("markup_min"),
         F.max("markup_max").alias("markup_max"),

@@ -67,6 +67,10 @@ def four_digits(top: str, bottom: str) -> str:
     return f"cast(cast(cast({value} as decimal(18,0)) * 0.0001::decimal(5,4) as decimal(18,4)) as varchar)"
 
 
+def rounded(value: str, digits: int) -> str:
+    return f"cast(round(cast({value} as decimal(38,10)), {digits}) as double)"
+
+
 def exact_ratio(top: str, bottom: str, digits: int) -> str:
     """Two positive money amounts divided and rounded half up in whole numbers."""
     a, b, scale = f"cast({top} * 100 as hugeint)", f"cast({bottom} * 100 as hugeint)", 10**digits
@@ -217,21 +221,26 @@ cost_quality as (
   where mean_excess_readmit is not null
 ),
 quintiles as (
-  select pay_quintile, count(*) as n_hospitals, round(avg(mean_medicare_pay), 0) as avg_medicare_pay,
-         round(avg(mean_excess_readmit), 4) as avg_excess_readmit_ratio
+  select pay_quintile, count(*) as n_hospitals, {rounded("avg(mean_medicare_pay)", 0)} as avg_medicare_pay,
+         {rounded("avg(mean_excess_readmit)", 4)} as avg_excess_readmit_ratio
   from (select *, ntile(5) over (order by mean_medicare_pay nulls last, provider_sk) as pay_quintile
         from cost_quality)
   group by pay_quintile
 ),
 correlation as (
-  select count(*) as n_hospitals, round(corr(mean_medicare_pay, mean_excess_readmit), 3) as r from cost_quality
+  select count(*) as n_hospitals, {rounded("corr(mean_medicare_pay, mean_excess_readmit)", 3)} as r from cost_quality
 )"""
 
-_WEIGHTED = """
+
+def _of_sums(top: str, bottom: str, digits: int) -> str:
+    return rounded(f"cast(sum({top}) as double) / cast(sum({bottom}) as double)", digits)
+
+
+_WEIGHTED = f"""
   cast(sum(total_discharges) as bigint) as discharges,
-  round(cast(sum(wtd_covered_charge) as double) / cast(sum(total_discharges) as double), 0) as wavg_charge,
-  round(cast(sum(wtd_medicare_payment) as double) / cast(sum(total_discharges) as double), 0) as wavg_medicare_pay,
-  round(cast(sum(wtd_covered_charge) as double) / cast(sum(wtd_medicare_payment) as double), 2) as markup_ratio"""
+  {_of_sums("wtd_covered_charge", "total_discharges", 0)} as wavg_charge,
+  {_of_sums("wtd_medicare_payment", "total_discharges", 0)} as wavg_medicare_pay,
+  {_of_sums("wtd_covered_charge", "wtd_medicare_payment", 2)} as markup_ratio"""
 
 MARKUP = f"""markup as (
   select service_line, {_WEIGHTED}
@@ -315,12 +324,9 @@ _ODD_NUMBERS = """case o_orderkey % 10 when 0 then 'N/A' when 1 then '' when 2 t
 _TOKENS = """case o_orderkey % 6 when 0 then '' when 1 then 'NA' when 2 then 'Not Available' when 3 then 'N/A'
   when 4 then 'na' else o_orderpriority end"""
 
-_QUANTILES = """quantile_cont({v}, 0.1) as p10, quantile_cont({v}, 0.5) as p50, quantile_cont({v}, 0.9) as p90"""
-
-
 def _rounded_quantiles(value: str) -> str:
     v = f"cast({value} as double)"
-    return ", ".join(f"round(quantile_cont({v}, {p}), 4) as {n}" for n, p in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)))
+    return ", ".join(f"{rounded(f'quantile_cont({v}, {p})', 4)} as {n}" for n, p in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -404,10 +410,11 @@ def oracle_sql() -> dict[str, str]:
         "q1_price_variation": f"""
             {CHARGES_SIDE}
             select count(*) as n_hospitals, min(c) as min_charge,
-                   round(quantile_cont(c, 0.1), 4) as p10_charge, round(quantile_cont(c, 0.5), 4) as median_charge,
-                   round(quantile_cont(c, 0.9), 4) as p90_charge, max(c) as max_charge,
-                   round(max(c) / nullif(min(c), 0), 1) as fold_difference,
-                   round(quantile_cont(m, 0.9) / nullif(quantile_cont(m, 0.1), 0), 1) as medicare_pay_p90_p10_ratio
+                   {rounded("quantile_cont(c, 0.1)", 4)} as p10_charge,
+                   {rounded("quantile_cont(c, 0.5)", 4)} as median_charge,
+                   {rounded("quantile_cont(c, 0.9)", 4)} as p90_charge, max(c) as max_charge,
+                   {rounded("max(c) / nullif(min(c), 0)", 1)} as fold_difference,
+                   {rounded("quantile_cont(m, 0.9) / nullif(quantile_cont(m, 0.1), 0)", 1)} as medicare_pay_p90_p10_ratio
             from (select cast(avg_covered_charge as double) as c, cast(avg_medicare_payment as double) as m
                   from fact_charges f join dim_drg d on f.drg_sk = d.drg_sk
                   join dim_provider p on f.provider_sk = p.provider_sk where d.drg_code = '470')""",
@@ -426,17 +433,17 @@ def oracle_sql() -> dict[str, str]:
         "weighted_avg": f"""
             with {STG_CHARGES}
             select provider_state,
-                   round(cast(sum(cast(avg_covered_charge as decimal(14,2)) * cast(total_discharges as decimal(18,0)))
-                         as double) / cast(sum(total_discharges) as double), 2) as weighted,
-                   round(cast(sum(avg_covered_charge) as double) / count(*), 2) as naive
+                   {_of_sums("cast(avg_covered_charge as decimal(14,2)) * cast(total_discharges as decimal(18,0))",
+                             "total_discharges", 2)} as weighted,
+                   {rounded("cast(sum(avg_covered_charge) as double) / count(*)", 2)} as naive
             from stg_charges group by provider_state""",
         "q3_cost_vs_quality": f"{COST_QUALITY} select * from quintiles",
         "cost_quality_corr": f"{COST_QUALITY} select * from correlation",
         "headline_metrics": f"""
             {COST_QUALITY}, {MARKUP}
-            select (select round(r * r, 4) from correlation) as r_squared,
-                   (select round(max(avg_medicare_pay) filter (where pay_quintile = 5)
-                         / max(avg_medicare_pay) filter (where pay_quintile = 1), 1) from quintiles)
+            select (select {rounded("r * r", 4)} from correlation) as r_squared,
+                   (select {rounded("max(avg_medicare_pay) filter (where pay_quintile = 5)"
+                                    " / max(avg_medicare_pay) filter (where pay_quintile = 1)", 1)} from quintiles)
                      as pay_ratio_q5_q1,
                    (select min(markup_ratio) from markup) as markup_min,
                    (select max(markup_ratio) from markup) as markup_max""",

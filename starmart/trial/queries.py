@@ -20,6 +20,7 @@ from ..functions import (
     label_by_threshold,
     map_values,
     null_tokens,
+    round_stable,
     surrogate_key,
     title_case,
     try_float,
@@ -57,7 +58,7 @@ def _doubles(df: DataFrame, *columns: str) -> DataFrame:
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Interpolated values of money have three exact decimals; the fourth drops the noise of double arithmetic."""
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+    return df.withColumns({c: round_stable(F.col(c), 4) for c in columns})
 
 
 def _by_remainder(key: Column, values: list[str], default: Column) -> Column:
@@ -284,7 +285,7 @@ def q_markup_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_weighted_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     charge, n = F.col("avg_covered_charge"), F.col("total_discharges")
-    naive = F.round(F.sum(charge).cast("double") / F.count(charge), 2)
+    naive = round_stable(F.sum(charge).cast("double") / F.count(charge), 2)
     return (
         _stg_charges(spark, sf_dir)
         .groupBy("provider_state")

@@ -12,6 +12,7 @@ from starmart.functions import (
     label_by_threshold,
     map_values,
     null_tokens,
+    round_stable,
     safe_corr,
     surrogate_key,
     title_case,
@@ -76,6 +77,12 @@ def test_guarded_ratio_is_null_on_zero_and_rounds_half_up(spark):
     assert applied(df, guarded_ratio(F.col("a"), F.col("b"), 2)) == [None, Decimal("1.01"), None]
 
 
+def test_round_stable_ignores_the_order_of_summation(spark):
+    df = spark.createDataFrame([(0, 1.02085), (1, 1.0208499999999998), (2, 1.0208500000000003), (3, 2.5), (4, None)], "i int, x double")
+    assert applied(df, round_stable(F.col("x"), 4)) == [1.0209, 1.0209, 1.0209, 2.5, None]
+    assert applied(df, round_stable(F.col("x"), 0)) == [1.0, 1.0, 1.0, 3.0, None]
+
+
 def test_map_values_keeps_unknown_codes_and_null(spark):
     df = texts(spark, ["READM-30-HF-HRRP", "readm-30-hf-hrrp", "READM-30-X", None, "READM-30-HIP-KNEE-HRRP"])
     assert applied(df, map_values(F.col("x"), CONDITIONS)) == [
