@@ -1,4 +1,7 @@
-"""Code-to-label expressions driven by plain Python lookups."""
+"""Code-to-label expressions driven by plain Python lookups.
+
+The argument appears once per branch: when it is costly (a parsed number), make it a column first.
+"""
 
 from __future__ import annotations
 

@@ -24,11 +24,10 @@ def null_tokens(cell: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
 def title_case(text: Column, delimiters: str = TITLE_DELIMITERS) -> Column:
     """Upper-case the first character of every word and lower-case the rest.
 
-    Spark's ``initcap`` knows blanks only; here a word also starts after punctuation, so ``A&B`` and
-    ``WEST/EAST`` come out right, while an apostrophe does not start one.
+    Spark's ``initcap`` starts words at blanks only; here a word also starts after punctuation and other white space,
+    so ``A&B`` and ``WEST/EAST`` come out right, while an apostrophe does not start one. The text is cut only where
+    ``initcap`` would miss a word, and each piece is left to it.
     """
-    after_delimiter = f"(?<=[\\s{re.escape(delimiters)}])"
-    words = F.split(F.lower(text), after_delimiter)
-    return F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w)))), ""
-    )
+    marks = re.escape(delimiters)
+    missed_start = f"(?<=[\\t\\n\\x0B\\f\\r{marks}])(?=[^\\s{marks}])"
+    return F.array_join(F.transform(F.split(text, missed_start), lambda piece: F.initcap(piece)), "")

@@ -18,25 +18,30 @@ from .staged import stage
 # Largest group that one task may sort or hold.
 ONE_TASK_ROWS = 100_000
 
+# Rows that one range partition should hold; the number of partitions grows with the data.
+PARTITION_ROWS = 10_000_000
+
 # Layout of monotonically_increasing_id(): partition number above 33 bits of position within the partition.
 _POSITION_BITS = 33
 
 
-def rank_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def rank_rows(
+    df: DataFrame, order: Sequence[Column], keep: Sequence[str] | None = None, rows: int | None = None
+) -> DataFrame:
     """Add ``_position`` (from 0, in ``order``) and ``_total`` (number of rows).
 
-    ``order`` should end in a key, so that equal values can be split over partitions and ties are stable.
+    ``order`` should end in a key, so that equal values can be split over partitions and ties are stable. Columns
+    needed only for the order can be left out of the result, and so out of what is written, with ``keep``. ``rows``
+    is the number of rows, if known.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = stage(
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "ranked",
-    )
+    session_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(session_parts, (df.count() if rows is None else rows) // PARTITION_ROWS)
+    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    columns = df.columns if keep is None else keep
+    placed = stage(ordered.select(*columns, F.monotonically_increasing_id().alias("_place")), "ranked")
     part = F.shiftright("_place", _POSITION_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per range partition: at most spark.sql.shuffle.partitions rows, whatever the data.
+    # One row per range partition, so a few bytes for every PARTITION_ROWS rows of data.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_part",
@@ -53,20 +58,30 @@ def rank_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def exact_ntile(
-    df: DataFrame, buckets: int, order: Sequence[Column], name: str, one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame,
+    buckets: int,
+    order: Sequence[Column],
+    name: str,
+    keep: Sequence[str] | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """``ntile(buckets)`` over the whole frame; the first buckets take the remainder."""
-    held = stage(df, "ntile")
-    if held.count() <= one_task_rows:
-        return held.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)).cast("bigint"))
+    """``ntile(buckets)`` over the whole frame; the first buckets take the remainder.
+
+    ``df`` is read three times (count, range sample, sort): ``stage`` it first when it is costly to compute.
+    """
+    columns = df.columns if keep is None else list(keep)
+    rows = df.count()
+    if rows <= one_task_rows:
+        bucket = F.ntile(buckets).over(Window.orderBy(*order)).cast("bigint")
+        return df.withColumn(name, bucket).select(*columns, name)
 
     # _total = buckets * _small + _extra: the first _extra buckets hold _small + 1 rows, the others _small.
-    sized = rank_rows(held, order).selectExpr("*", f"_total div {buckets} AS _small", f"_total % {buckets} AS _extra")
+    sized = rank_rows(df, order, columns, rows).selectExpr("*", f"_total div {buckets} AS _small", f"_total % {buckets} AS _extra")
     bucket = F.expr(
         """CASE WHEN _position < _extra * (_small + 1) THEN _position div (_small + 1) + 1
                 ELSE _extra + (_position - _extra * (_small + 1)) div greatest(_small, 1) + 1 END"""
     )
-    return sized.withColumn(name, bucket.cast("bigint")).drop("_position", "_total", "_small", "_extra")
+    return sized.withColumn(name, bucket.cast("bigint")).select(*columns, name)
 
 
 def exact_percentiles(
@@ -83,14 +98,15 @@ def exact_percentiles(
     much of a group spread over several partitions and does not change the result.
     """
     known = df.where(F.col(value).isNotNull()).select(*by, *key, F.col(value).cast("double").alias("_value"))
-    largest = known.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    sizes = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    largest, rows = sizes.agg(F.coalesce(F.max("_rows"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
     if largest <= one_task_rows:
         wanted = F.array(*[F.lit(p) for p in percentages.values()])
         found = known.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.percentile("_value", wanted).alias("_found"))
         return found.select(*by, "n", *[F.col("_found")[i].alias(name) for i, name in enumerate(percentages)])
 
     order = [F.col(c).asc_nulls_last() for c in (*by, "_value", *key)]
-    ranked = rank_rows(known, order)
+    ranked = rank_rows(known, order, [*by, "_value"], rows)
     # A group's rows are neighbours in the global order, so its k-th value sits at its first position + k.
     spans = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_position").alias("_first"))
     neighbours = []

@@ -24,25 +24,26 @@ def dim_provider(hospitals: DataFrame) -> DataFrame:
     """One row per hospital. Each attribute is the greatest text seen for it, on its own."""
     attributes = ["provider_name", "provider_city", "provider_state", "provider_zip", "ruca_code"]
     merged = hospitals.groupBy("ccn").agg(*[F.max(a).alias(a) for a in attributes])
-    return merged.select(
+    return merged.withColumn("ruca", try_float(F.col("ruca_code"))).select(
         surrogate_key(F.col("ccn")).alias("provider_sk"),
         "ccn",
         "provider_name",
         "provider_city",
         "provider_state",
         "provider_zip",
-        label_by_threshold(try_float(F.col("ruca_code")), URBANICITY, RURAL).alias("urbanicity"),
+        label_by_threshold(F.col("ruca"), URBANICITY, RURAL).alias("urbanicity"),
     )
 
 
 def dim_drg(charges: DataFrame) -> DataFrame:
     """One row per diagnosis group and description; a group with two descriptions fails the uniqueness check."""
     groups = charges.select("drg_code", "drg_desc").distinct()
-    return groups.select(
+    # The number is its own column, so that it is parsed once and not once per range.
+    return groups.withColumn("number", try_number(F.col("drg_code"))).select(
         surrogate_key(F.col("drg_code")).alias("drg_sk"),
         "drg_code",
         "drg_desc",
-        label_by_range(try_number(F.col("drg_code")), SERVICE_LINES, OTHER).alias("service_line"),
+        label_by_range(F.col("number"), SERVICE_LINES, OTHER).alias("service_line"),
         in_list(F.col("drg_code"), COMMON_CODES).alias("is_common_drg"),
     )
 

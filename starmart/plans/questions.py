@@ -124,10 +124,10 @@ def cost_vs_quality(
     charges: DataFrame, readmissions: DataFrame, buckets: int = 5, one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
     """Hospitals in equal-count buckets by payment, with the mean payment and readmission ratio of each."""
-    hospitals = provider_cost_quality(charges, readmissions)
+    hospitals = stage(provider_cost_quality(charges, readmissions), "cost-quality")
     order = [F.col("mean_medicare_pay").asc_nulls_last(), F.col("provider_sk").asc()]
     return (
-        exact_ntile(hospitals, buckets, order, "pay_quintile", one_task_rows)
+        exact_ntile(hospitals, buckets, order, "pay_quintile", one_task_rows=one_task_rows)
         .groupBy("pay_quintile")
         .agg(
             F.count(F.lit(1)).alias("n_hospitals"),

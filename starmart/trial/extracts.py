@@ -43,8 +43,9 @@ def padded(key: Column, width: int) -> Column:
     return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
-def _dec(col: str, kind: str) -> Column:
-    return F.col(col).cast(f"decimal({kind})")
+def _hundredths(column: str) -> Column:
+    """An amount with two decimals, held as double, in whole hundredths."""
+    return F.floor(F.col(column) * 100 + 0.5)
 
 
 def _cents(total: Column, n: Column) -> Column:
@@ -72,15 +73,15 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hospital x diagnosis group: line items by supplier and part size, as averages per unit sold."""
-    one = F.lit(Decimal("1.00"))
-    price, discount, tax = _dec("l_extendedprice", "14,2"), _dec("l_discount", "4,2"), _dec("l_tax", "4,2")
+    # Whole cents and hundredths: products are exact and stay in bigint, only the sums need more than 18 digits.
+    charge = _hundredths("l_extendedprice")
+    payment = charge * (100 - _hundredths("l_discount"))
+    total = payment * (100 + _hundredths("l_tax"))
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         "l_suppkey",
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        price.alias("charge"),
-        (price * (one - discount)).alias("payment"),
-        (price * (one - discount) * (one + tax)).alias("total"),
+        *[amount.cast("decimal(18,0)").alias(name) for name, amount in (("charge", charge), ("payment", payment), ("total", total))],
     )
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     # Partial sums on the map side shrink a supplier's rows to one per part size and task before they move.
@@ -92,7 +93,10 @@ def raw_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, size, n = F.col("l_suppkey"), F.col("p_size"), F.col("quantity")
     # The payer covers 15 to 19 hundredths of the price, depending on the group.
     covered = ((size % 5 + 15) * F.lit(Decimal("0.01"))).cast("decimal(3,2)")
-    payment, total = _dec("payment", "20,4") * covered, _dec("total", "24,6") * covered
+    charge, payment, total = (
+        F.col(name).cast("decimal(26,0)") * F.lit(Decimal(unit))
+        for name, unit in (("charge", "0.01"), ("payment", "0.0001"), ("total", "0.000001"))
+    )
     code = padded((size - 1) * 18 + 2, 3)
     zero = F.lit(Decimal("0.00"))
     spot = key + size
@@ -110,9 +114,9 @@ def raw_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "DRG_Cd": code,
         "DRG_Desc": F.concat(F.lit("PROCEDURE GROUP "), code),
         "Tot_Dschrgs": n,
-        "Avg_Submtd_Cvrd_Chrg": _cents(F.col("charge"), n),
-        "Avg_Tot_Pymt_Amt": F.when(spot % 89 == 7, zero).otherwise(_cents(total, n)),
-        "Avg_Mdcr_Pymt_Amt": F.when(spot % 97 == 5, zero).otherwise(_cents(payment, n)),
+        "Avg_Submtd_Cvrd_Chrg": _cents(charge, n),
+        "Avg_Tot_Pymt_Amt": F.when(spot % 89 == 7, zero).otherwise(_cents(total * covered, n)),
+        "Avg_Mdcr_Pymt_Amt": F.when(spot % 97 == 5, zero).otherwise(_cents(payment * covered, n)),
     }
     named = groups.join(_suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
     return named.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in INPATIENT_CHARGES])

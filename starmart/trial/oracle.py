@@ -16,8 +16,8 @@ def _list(values: list[str]) -> str:
 
 def title(text: str) -> str:
     words = f"regexp_extract_all(lower({text}), '{_OTHER_CLASS}*{_DELIMITER_CLASS}|{_OTHER_CLASS}+')"
-    # No word begins with a sharp s; where a made-up one does, its upper case is the two letters of the JVM.
-    first = "case when w[1] = 'ß' then 'SS' else upper(w[1]) end"
+    # No real word begins with a sharp s; where a made-up one does, its title case has two letters.
+    first = "case when w[1] = 'ß' then 'Ss' else upper(w[1]) end"
     return f"array_to_string(list_transform({words}, lambda w: {first} || w[2:]), '')"
 
 
@@ -423,7 +423,7 @@ def oracle_sql() -> dict[str, str]:
             select drg_code, count(*) as n, {_rounded_quantiles("avg_covered_charge")}
             from stg_charges group by drg_code""",
         "percentiles_scaled": f"""
-            select l_returnflag, count(*) as n, {_rounded_quantiles("cast(l_extendedprice as decimal(14,2))")}
+            select l_returnflag, count(*) as n, {_rounded_quantiles("l_extendedprice")}
             from lineitem group by l_returnflag""",
         "q2_markup": f"{CHARGES_SIDE}, {MARKUP} select * from markup",
         "markup_by_state": f"""

@@ -213,7 +213,8 @@ def q_service_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     code = F.when(key % 50 == 0, F.concat(F.lit("X"), F.col("p_size"))).otherwise(padded(key % 1000, 3))
     codes = table(spark, sf_dir, "part").groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n_parts"))
-    return codes.withColumn("service_line", label_by_range(try_number(F.col("code")), SERVICE_LINES, OTHER))
+    numbered = codes.withColumn("number", try_number(F.col("code")))
+    return numbered.withColumn("service_line", label_by_range(F.col("number"), SERVICE_LINES, OTHER)).drop("number")
 
 
 def q_census_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +226,8 @@ def q_census_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_urbanicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ruca = _by_remainder(F.col("c_custkey"), RUCA_CODES, F.lit(None))
     customers = table(spark, sf_dir, "customer").select("c_custkey", ruca.alias("ruca_code"))
-    return customers.withColumn("urbanicity", label_by_threshold(try_float(F.col("ruca_code")), URBANICITY, RURAL))
+    parsed = customers.withColumn("ruca", try_float(F.col("ruca_code")))
+    return parsed.withColumn("urbanicity", label_by_threshold(F.col("ruca"), URBANICITY, RURAL)).drop("ruca")
 
 
 def q_common_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,10 +268,10 @@ def q_percentiles_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_percentiles_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three groups over all line items, found by distributed ranks whatever their size."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("price", F.col("l_extendedprice").cast("decimal(14,2)"))
+    lines = table(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     return _rounded(
-        exact_percentiles(lines, "price", PERCENTAGES, ["l_returnflag"], keys, one_task_rows=0), *PERCENTAGES
+        exact_percentiles(lines, "l_extendedprice", PERCENTAGES, ["l_returnflag"], keys, one_task_rows=0), *PERCENTAGES
     )
 
 
@@ -320,7 +322,7 @@ def q_ntile_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_extendedprice", *keys)
     order = [F.col(c).asc_nulls_last() for c in ("l_extendedprice", *keys)]
     return (
-        exact_ntile(lines, 5, order, "pay_quintile", one_task_rows=0)
+        exact_ntile(lines, 5, order, "pay_quintile", ["l_extendedprice"], one_task_rows=0)
         .groupBy("pay_quintile")
         .agg(
             F.count(F.lit(1)).alias("n"),
