@@ -9,13 +9,14 @@ from .checks import (
     dq_report,
     enforce,
 )
-from .joins import attach_key
+from .joins import attach_key, broadcast_if_small
 from .leaders import leaders_per_group
 from .ranks import exact_ntile, exact_percentiles, rank_rows
 from .staged import shared_dir, stage
 
 __all__ = [
     "attach_key",
+    "broadcast_if_small",
     "check_columns",
     "check_freshness",
     "check_grain",

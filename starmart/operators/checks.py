@@ -118,14 +118,17 @@ def check_freshness(
     ).withColumn("status", status.otherwise(F.lit("PASS")))
 
 
-def dq_report(checks: Iterable[DataFrame]) -> DataFrame:
-    """All checks in one frame, with a status: PASS without failures, else ERROR."""
-    every = reduce(DataFrame.unionByName, checks)
-    return every.withColumn("status", F.when(F.col("failures") == 0, F.lit("PASS")).otherwise(F.lit("ERROR")))
+def dq_report(checks: Iterable[DataFrame], warnings: Iterable[DataFrame] = ()) -> DataFrame:
+    """All checks in one frame, with a status: PASS without failures, else ERROR, or WARN for those in ``warnings``."""
+    graded = [df.withColumn("_grade", F.lit("ERROR")) for df in checks]
+    graded += [df.withColumn("_grade", F.lit("WARN")) for df in warnings]
+    every = reduce(DataFrame.unionByName, graded)
+    status = F.when(F.col("failures") == 0, F.lit("PASS")).otherwise(F.col("_grade"))
+    return every.withColumn("status", status).drop("_grade")
 
 
 def enforce(report: DataFrame) -> dict[str, int]:
-    """Run a report; return its PASS and ERROR totals, or raise ``ChecksFailed`` naming what failed."""
+    """Run a report; return how many checks ended PASS, WARN and ERROR, or raise ``ChecksFailed`` naming the errors."""
     lines = report.collect()  # one row per declared check
     failed = [line for line in lines if line["status"] == "ERROR"]
     if failed:
@@ -133,4 +136,5 @@ def enforce(report: DataFrame) -> dict[str, int]:
             f"{r['check_name']} {r['model']}.{r['column_name']}: {r['failures']} failures" for r in failed
         )
         raise ChecksFailed(what)
-    return {"PASS": len(lines) - len(failed), "ERROR": len(failed), "TOTAL": len(lines)}
+    totals = {status: sum(line["status"] == status for line in lines) for status in ("PASS", "WARN", "ERROR")}
+    return {**totals, "TOTAL": len(lines)}

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dq_report, enforce, stage
-from ..sinks.store import Store, namespace_for
-from ..sources import INPATIENT_CHARGES, READMISSIONS, load_extracts
-from . import dims, facts, staging
+from ..sinks import Store, namespace_for, save_result
+from ..sources import INPATIENT_CHARGES, READMISSIONS, load_extracts, source
+from . import dims, facts, questions, staging
 from .quality import star_checks
 
 # Landing file (or folder of files) -> raw table and its schema.
@@ -20,20 +20,34 @@ EXTRACTS = {
 }
 
 
-def _save_all(store: Store, models: Mapping[str, Callable[[], DataFrame]], namespace: str) -> dict[str, DataFrame]:
+def _save_all(
+    store: Store,
+    models: Mapping[str, DataFrame],
+    namespace: str,
+    cluster_by: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, DataFrame]:
     """Write independent models at the same time, so that small ones do not wait for each other."""
+    clusters = cluster_by or {}
     with ThreadPoolExecutor(max_workers=len(models)) as pool:
-        saved = {name: pool.submit(lambda m=model, n=name: store.save(m(), namespace, n)) for name, model in models.items()}
+        saved = {
+            name: pool.submit(store.save, df, namespace, name, cluster_by=clusters.get(name, ()))
+            for name, df in models.items()
+        }
         return {name: done.result() for name, done in saved.items()}
 
 
 def build_star(
-    raw_charges: DataFrame, raw_readmissions: DataFrame, store: Store, namespace: str | None = "marts"
+    raw_charges: DataFrame,
+    raw_readmissions: DataFrame,
+    store: Store,
+    namespace: str | None = "marts",
+    cluster_charges: bool = False,
 ) -> dict[str, DataFrame]:
     """Build and write the three dimensions, then the two facts; returns readers of the five tables by name.
 
     Staging stays lazy: each model scans only the raw columns it needs. Only the distinct hospital rows, read by two
-    dimensions, are written.
+    dimensions, are written. ``cluster_charges`` sorts the charges fact by diagnosis group over its files, at the price
+    of one shuffle: worth it when most questions are about single groups, which then read only their files.
     """
     target = namespace_for(namespace, "marts")
     charges = store.view(staging.stg_inpatient_charges(raw_charges), "stg", "inpatient_charges")
@@ -42,9 +56,9 @@ def build_star(
     star = _save_all(
         store,
         {
-            "dim_provider": lambda: dims.dim_provider(hospitals),
-            "dim_drg": lambda: dims.dim_drg(charges),
-            "dim_geography": lambda: dims.dim_geography(hospitals),
+            "dim_provider": dims.dim_provider(hospitals),
+            "dim_drg": dims.dim_drg(charges),
+            "dim_geography": dims.dim_geography(hospitals),
         },
         target,
     )
@@ -52,12 +66,11 @@ def build_star(
     star |= _save_all(
         store,
         {
-            "fact_inpatient_charges": lambda: facts.fact_inpatient_charges(
-                charges, provider, drg, geography, own_dims=True
-            ),
-            "fact_readmissions": lambda: facts.fact_readmissions(readmissions, provider, geography),
+            "fact_inpatient_charges": facts.fact_inpatient_charges(charges, provider, drg, geography, own_dims=True),
+            "fact_readmissions": facts.fact_readmissions(readmissions, provider, geography),
         },
         target,
+        {"fact_inpatient_charges": ["drg_code", "ccn"]} if cluster_charges else None,
     )
     return star
 
@@ -65,9 +78,35 @@ def build_star(
 def run(spark: SparkSession, landing: str, store: Store) -> dict[str, DataFrame]:
     """Load the landing folder, build the star and enforce its checks."""
     loads = load_extracts(spark, landing, EXTRACTS, store)
-    missing = [table for table, _ in EXTRACTS.values() if table not in loads]
+    tables = [table for table, _ in EXTRACTS.values()]
+    missing = [table for table in tables if table not in loads]
     if missing:
         raise FileNotFoundError(f"cannot build the star without {', '.join(missing)}")
-    star = build_star(loads["inpatient_charges"].table, loads["hrrp_readmissions"].table, store)
+    raw = [source(spark, "raw", table) if store.catalog else loads[table].table for table in tables]
+    star = build_star(*raw, store)
     enforce(dq_report(star_checks(star)))
     return star
+
+
+def answer(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The answers to all questions, by name; each is a handful of rows, but for the leaders."""
+    charges, readmissions = star["fact_inpatient_charges"], star["fact_readmissions"]
+    variation = questions.price_variation(charges, star["dim_drg"], star["dim_provider"])
+    markup = questions.markup_by_service_line(charges, star["dim_drg"])
+    quintiles = questions.cost_vs_quality(charges, readmissions)
+    corr = questions.cost_quality_corr(charges, readmissions)
+    return {
+        "price_variation": variation,
+        "markup_by_service_line": markup,
+        "markup_by_state": questions.markup_by_state(charges, star["dim_geography"]),
+        "cost_vs_quality": quintiles,
+        "cost_quality_corr": corr,
+        "headline_metrics": questions.headline_metrics(corr, quintiles, markup),
+        "charge_leaders": questions.charge_leaders(charges),
+    }
+
+
+def save_answers(star: Mapping[str, DataFrame], folder: str) -> None:
+    """Snapshot every answer as one file under ``folder``."""
+    for name, df in answer(star).items():
+        save_result(df, folder, name)

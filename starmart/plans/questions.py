@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio, ratio_of_sums, round_stable, safe_corr
-from ..operators import exact_ntile, exact_percentiles, leaders_per_group, stage
+from ..operators import broadcast_if_small, exact_ntile, exact_percentiles, leaders_per_group, stage
 from ..operators.ranks import ONE_TASK_ROWS
 
 
@@ -22,7 +22,8 @@ def price_variation(
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Spread of the average charge, and of the payment, over the hospitals of one diagnosis group. One row."""
-    group = dim_drg.where(F.col("drg_code") == drg_code).select("drg_sk")
+    # All rows of the fact that are left have one key: only a broadcast keeps them from meeting in one task.
+    group = broadcast_if_small(dim_drg.where(F.col("drg_code") == drg_code).select("drg_sk"))
     # Equal keys mean equal codes: the repeated filter lets the scan of the fact skip other groups.
     prices = (
         charges.where(F.col("drg_code") == drg_code)

@@ -52,6 +52,15 @@ class Store:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def view(self, df: DataFrame, namespace: str, name: str) -> DataFrame:
-        """Name a frame without computing it."""
+        """Name a frame for this session, as ``namespace_name``, without computing it."""
         df.createOrReplaceTempView(f"{namespace}_{name}")
         return df
+
+    def part_view(self, namespace: str, name: str, table: str, columns: Sequence[str], condition: str) -> None:
+        """List some columns and rows of a saved table in the catalog as a view of its own."""
+        if self.catalog:
+            listed = ", ".join(f"`{c}`" for c in columns)
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW `{namespace}`.`{name}` AS "
+                f"SELECT {listed} FROM `{namespace}`.`{table}` WHERE {condition}"
+            )

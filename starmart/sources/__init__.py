@@ -2,7 +2,7 @@
 
 from .declared import DECLARED, source
 from .documents import latest_distribution, read_catalog, read_pages, require_rows, resolve_latest_csv
-from .landing import MissingLanding, coerce, load_extracts, match_columns, read_landing
+from .landing import MissingLanding, coerce, load_audit, load_extracts, load_table, match_columns, read_landing
 from .schemas import INPATIENT_CHARGES, READMISSIONS
 
 __all__ = [
@@ -12,7 +12,9 @@ __all__ = [
     "MissingLanding",
     "coerce",
     "latest_distribution",
+    "load_audit",
     "load_extracts",
+    "load_table",
     "match_columns",
     "read_catalog",
     "read_landing",

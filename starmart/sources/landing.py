@@ -24,7 +24,7 @@ from ..sinks.store import Store
 log = logging.getLogger(__name__)
 
 _BROKEN = "_broken"
-STATUS, REASON, RECORD = "load_status", "reject_reason", "reject_record"
+STATUS, REASON, RECORD, LOADED_AT = "load_status", "reject_reason", "reject_record", "loaded_at"
 LOADED, REJECTED = "loaded", "rejected"
 
 
@@ -125,24 +125,34 @@ class Load:
 def load_table(landing: DataFrame, schema: T.StructType, store: Store, name: str, namespace: str = "raw") -> Load:
     """Replace a raw table by the landing rows.
 
-    Good and bad rows are told apart in one pass and written as two partitions of one table; the counts come with
-    the write, so neither needs a second read of the files.
+    Good and bad rows are told apart in one pass and written as two partitions of one table, ``<name>_load``, stamped
+    with the time of the load; the counts come with the write, so neither needs a second read of the files.
     """
     counts = Observation()
     status = F.col(STATUS)
-    checked = coerce(landing, schema).observe(
+    checked = coerce(landing, schema).withColumn(LOADED_AT, F.current_timestamp())
+    checked = checked.observe(
         counts,
         F.count(F.when(status == LOADED, F.lit(1))).alias("rows"),
         F.count(F.when(status == REJECTED, F.lit(1))).alias("rejected"),
     )
-    written = store.save(checked, namespace, f"{name}_load", partition_by=[STATUS])
-    table = written.where(status == LOADED).select(*schema.fieldNames())
-    rejects = written.where(status == REJECTED).select(RECORD, REASON)
-    store.view(table, namespace, name)
-    store.view(rejects, namespace, f"{name}_rejects")
+    both = f"{name}_load"
+    written = store.save(checked, namespace, both, partition_by=[STATUS])
+    columns, reject_columns = schema.fieldNames(), [RECORD, REASON]
+    store.part_view(namespace, name, both, columns, f"{STATUS} = '{LOADED}'")
+    store.part_view(namespace, f"{name}_rejects", both, reject_columns, f"{STATUS} = '{REJECTED}'")
+    table = written.where(status == LOADED).select(*columns)
+    rejects = written.where(status == REJECTED).select(*reject_columns)
     return Load(table, rejects, counts.get["rows"], counts.get["rejected"])
 
 
+def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row counts of several tables side by side: one row with a column ``n_<name>`` for each."""
+    counts = [df.agg(F.count(F.lit(1)).alias(f"n_{name}")) for name, df in tables.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
+    return stacked.agg(*[F.max(f"n_{name}").alias(f"n_{name}") for name in tables])
+
+
 def load_extracts(
     spark: SparkSession, folder: str, extracts: Mapping[str, tuple[str, T.StructType]], store: Store
 ) -> dict[str, Load]:

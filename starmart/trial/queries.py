@@ -43,8 +43,16 @@ from ..plans.lookups import CENSUS_REGIONS, COMMON_CODES, CONDITIONS, OTHER, RUR
 from ..plans.quality import star_checks
 from ..plans.staging import stg_inpatient_charges, stg_readmissions
 from ..sinks import Store, write_landing
-from ..sources import INPATIENT_CHARGES, READMISSIONS, latest_distribution, read_landing, read_pages
-from ..sources.landing import REASON, load_table
+from ..sources import (
+    INPATIENT_CHARGES,
+    READMISSIONS,
+    latest_distribution,
+    load_audit,
+    load_table,
+    read_landing,
+    read_pages,
+)
+from ..sources.landing import REASON
 from . import mart
 from .extracts import MEASURES, RUCA_CODES, STATES, _pick, landing_readmissions, padded, table
 
@@ -92,12 +100,8 @@ def q_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = [
-        mart.raw(spark, sf_dir, name).agg(F.count(F.lit(1)).alias(alias))
-        for name, alias in (("inpatient_charges", "n_charges"), ("hrrp_readmissions", "n_readmissions"))
-    ]
-    both = counts[0].unionByName(counts[1], allowMissingColumns=True)
-    return both.agg(F.max("n_charges").alias("n_charges"), F.max("n_readmissions").alias("n_readmissions"))
+    raw = {"charges": "inpatient_charges", "readmissions": "hrrp_readmissions"}
+    return load_audit({alias: mart.raw(spark, sf_dir, name) for alias, name in raw.items()})
 
 
 def q_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,7 +74,9 @@ def test_relationships_ignore_null_keys_unless_strict(child, parent):
 
 def test_report_and_enforce(child, parent):
     good = dq_report([check_columns(child, "t", not_null=["n"]), check_columns(parent, "p", accepted_values={"pk": ["a", "b"]})])
-    assert enforce(good) == {"PASS": 2, "ERROR": 0, "TOTAL": 2}
+    assert enforce(good) == {"PASS": 2, "WARN": 0, "ERROR": 0, "TOTAL": 2}
+    tolerated = dq_report([check_columns(child, "t", not_null=["n"])], [check_columns(child, "t", not_null=["k"])])
+    assert enforce(tolerated) == {"PASS": 1, "WARN": 1, "ERROR": 0, "TOTAL": 2}
     bad = dq_report([check_columns(child, "t", not_null=["n", "k"])])
     assert sorted(r.status for r in bad.collect()) == ["ERROR", "PASS"]
     with pytest.raises(ChecksFailed, match="not_null t.k: 2 failures"):

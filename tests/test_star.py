@@ -217,7 +217,10 @@ def test_run_from_files_to_tables(spark, tmp_path):
     landing(folder)
     write_csv(folder / "hrrp_readmissions.csv", HRRP_HEADER, [r for r in HRRP if r[3] != "READM-30-NEW-HRRP"])
     star = build.run(spark, str(folder), Store(spark, str(tmp_path / "tables")))
-    assert enforce(dq_report(star_checks(star))) == {"PASS": 19, "ERROR": 0, "TOTAL": 19}
+    assert enforce(dq_report(star_checks(star))) == {"PASS": 19, "WARN": 0, "ERROR": 0, "TOTAL": 19}
+    build.save_answers(star, str(tmp_path / "results"))
+    assert spark.read.parquet(str(tmp_path / "results" / "price_variation")).first().n_hospitals == 3
+    assert spark.read.parquet(str(tmp_path / "results" / "charge_leaders")).count() == 5
     assert spark.table("marts.fact_inpatient_charges").count() == 7
     assert spark.table("stg_inpatient_charges").count() == 7
     orphans = check_relationships(
@@ -229,6 +232,13 @@ def test_run_from_files_to_tables(spark, tmp_path):
         build.run(spark, str(folder), Store(spark, str(tmp_path / "again"), catalog=False))
 
 
+def test_clustered_fact_has_the_same_rows(spark, tmp_path, star, loads):
+    raw = loads["inpatient_charges"].table, loads["hrrp_readmissions"].table
+    clustered = build.build_star(*raw, Store(spark, str(tmp_path), catalog=False), cluster_charges=True)
+    name = "fact_inpatient_charges"
+    assert sorted(map(str, clustered[name].collect())) == sorted(map(str, star[name].collect()))
+
+
 @pytest.mark.parametrize("one_task_rows", [100_000, 0])
 def test_price_variation(star, one_task_rows):
     row = questions.price_variation(

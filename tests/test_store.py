@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators import shared_dir, stage
 from starmart.sinks import Store, namespace_for, save_result
-from starmart.sources import source
+from starmart.sources import load_audit, load_table, source
 
 
 def test_namespace_is_taken_as_written_or_defaulted():
@@ -44,8 +45,16 @@ def test_partitioned_and_clustered_tables(spark, tmp_path, catalog):
 
 
 def test_declared_source(spark, tmp_path):
-    Store(spark, str(tmp_path)).save(spark.range(4), "raw", "inpatient_charges")
-    assert source(spark, "raw", "inpatient_charges").count() == 4
+    schema = T.StructType([T.StructField("Id", T.StringType(), nullable=False), T.StructField("N", T.LongType())])
+    landing = spark.createDataFrame([("1", "5"), ("2", "x"), ("3", None)], "id string, n string")
+    load = load_table(landing, schema, Store(spark, str(tmp_path)), "inpatient_charges")
+    assert (load.rows, load.rejected) == (2, 1)
+    assert sorted(map(tuple, source(spark, "raw", "inpatient_charges").collect())) == [("1", 5), ("3", None)]
+    assert spark.table("raw.inpatient_charges_rejects").first().reject_reason == "N is not a number"
+    stamped = spark.table("raw.inpatient_charges_load").select("loaded_at").distinct()
+    assert stamped.count() == 1 and stamped.first()[0] is not None
+    audit = load_audit({"good": load.table, "bad": load.rejects}).collect()
+    assert [tuple(r) for r in audit] == [(2, 1)]
     for name in (("raw", "other"), ("elsewhere", "inpatient_charges")):
         with pytest.raises(KeyError):
             source(spark, *name)
