@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import dq_report, enforce, stage
-from ..sinks import Store, namespace_for, save_result
-from ..sources import INPATIENT_CHARGES, READMISSIONS, load_extracts, source
+from ..sinks import Store, namespace_for, save_result, write_landing
+from ..sources import INPATIENT_CHARGES, READMISSIONS, load_extracts, read_pages, require_rows, source
 from . import dims, facts, questions, staging
 from .quality import star_checks
 
@@ -75,6 +76,11 @@ def build_star(
     return star
 
 
+def land_pages(spark: SparkSession, pages: str, schema: StructType, folder: str) -> None:
+    """Turn the saved pages of an API answer into a CSV landing folder; an answer without rows is an error."""
+    write_landing(require_rows(read_pages(spark, pages, schema), pages), folder)
+
+
 def run(spark: SparkSession, landing: str, store: Store) -> dict[str, DataFrame]:
     """Load the landing folder, build the star and enforce its checks."""
     loads = load_extracts(spark, landing, EXTRACTS, store)

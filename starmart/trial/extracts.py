@@ -180,7 +180,6 @@ def landing_readmissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select(*[values[f.name].alias(f.name) for f in READMISSIONS])
 
 
-def raw_readmissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same after loading: cells that mean "no value" are null."""
-    landed = landing_readmissions(spark, sf_dir)
+def loaded_readmissions(landed: DataFrame) -> DataFrame:
+    """The landed rows after loading: cells that mean "no value" are null."""
     return landed.select(*[null_tokens(F.col(f.name)).alias(f.name) for f in READMISSIONS])

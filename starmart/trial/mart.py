@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import shared_dir
 from ..plans.build import build_star
 from ..sinks import Store
-from .extracts import raw_charges, raw_readmissions
+from .extracts import landing_readmissions, loaded_readmissions, raw_charges
 
 _SOURCES = ["lineitem", "part", "orders", "supplier", "nation"]
 _raw: dict[tuple, DataFrame] = {}
@@ -30,15 +30,20 @@ def _store(spark: SparkSession) -> Store:
 
 
 def _raw_table(spark: SparkSession, sf_dir: str, name: str, state: tuple) -> DataFrame:
-    make = {"inpatient_charges": raw_charges, "hrrp_readmissions": raw_readmissions}[name]
     key = (*state, name)
     if key not in _raw:
-        _raw[key] = _store(spark).save(make(spark, sf_dir), "raw", name)
+        if name == "inpatient_charges":
+            made = raw_charges(spark, sf_dir)
+        elif name == "landed_readmissions":
+            made = landing_readmissions(spark, sf_dir)
+        else:
+            made = loaded_readmissions(_raw_table(spark, sf_dir, "landed_readmissions", state))
+        _raw[key] = _store(spark).save(made, "raw", name)
     return _raw[key]
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A raw table, written on first use."""
+    """``inpatient_charges``, ``hrrp_readmissions`` or, as it lands, ``landed_readmissions``; written on first use."""
     return _raw_table(spark, sf_dir, name, _state_of(spark, sf_dir))
 
 

@@ -54,7 +54,7 @@ from ..sources import (
 )
 from ..sources.landing import REASON
 from . import mart
-from .extracts import MEASURES, RUCA_CODES, STATES, _pick, landing_readmissions, padded, table
+from .extracts import MEASURES, RUCA_CODES, STATES, _pick, padded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PERCENTAGES = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
@@ -106,7 +106,8 @@ def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files with a column less, one more, another order and other letter case; loaded by name."""
-    landed = landing_readmissions(spark, sf_dir).drop("Footnote").withColumn("Extra", F.lit('a "quoted", cell'))
+    landed = mart.raw(spark, sf_dir, "landed_readmissions").drop("Footnote")
+    landed = landed.withColumn("Extra", F.lit('a "quoted", cell'))
     folder = _scratch(spark, "landing")
     write_landing(landed.select(*[F.col(c).alias(c.upper()) for c in sorted(landed.columns)]), folder)
     store = Store(spark, _scratch(spark, "load"), catalog=False)
@@ -143,7 +144,7 @@ def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved pages of an API answer: 200 facilities x 5 measures, so 1000 records at most, per page."""
-    landed = landing_readmissions(spark, sf_dir)
+    landed = mart.raw(spark, sf_dir, "landed_readmissions")
     number = F.regexp_replace("Facility_ID", "H", "").cast("bigint")
     pages = landed.groupBy(F.floor(number / 200).alias("page")).agg(
         F.collect_list(F.struct(*landed.columns)).alias("results")

@@ -2,6 +2,7 @@
 
 import csv
 import hashlib
+import json
 from collections import defaultdict
 from decimal import Decimal
 
@@ -232,6 +233,18 @@ def test_run_from_files_to_tables(spark, tmp_path):
         build.run(spark, str(folder), Store(spark, str(tmp_path / "again"), catalog=False))
 
 
+def test_saved_pages_load_like_the_file(spark, tmp_path, loads):
+    records = [dict(zip(HRRP_HEADER, row, strict=True)) for row in HRRP]
+    (tmp_path / "pages").mkdir()
+    for i in range(0, len(records), 3):
+        (tmp_path / "pages" / f"{i}.json").write_text(json.dumps({"results": records[i : i + 3]}))
+    (tmp_path / "landing").mkdir()
+    build.land_pages(spark, str(tmp_path / "pages"), READMISSIONS, str(tmp_path / "landing" / "hrrp_readmissions.csv"))
+    paged = load_extracts(spark, str(tmp_path / "landing"), build.EXTRACTS, Store(spark, str(tmp_path / "t"), catalog=False))
+    table = paged["hrrp_readmissions"].table
+    assert sorted(map(str, table.collect())) == sorted(map(str, loads["hrrp_readmissions"].table.collect()))
+
+
 def test_clustered_fact_has_the_same_rows(spark, tmp_path, star, loads):
     raw = loads["inpatient_charges"].table, loads["hrrp_readmissions"].table
     clustered = build.build_star(*raw, Store(spark, str(tmp_path), catalog=False), cluster_charges=True)
