@@ -99,8 +99,8 @@ def answer(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     charges, readmissions = star["fact_inpatient_charges"], star["fact_readmissions"]
     variation = questions.price_variation(charges, star["dim_drg"], star["dim_provider"])
     markup = questions.markup_by_service_line(charges, star["dim_drg"])
-    quintiles = questions.cost_vs_quality(charges, readmissions)
-    corr = questions.cost_quality_corr(charges, readmissions)
+    hospitals = questions.provider_cost_quality(charges, readmissions)
+    quintiles, corr = questions.cost_vs_quality(hospitals), questions.cost_quality_corr(hospitals)
     return {
         "price_variation": variation,
         "markup_by_service_line": markup,

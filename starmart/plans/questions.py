@@ -106,7 +106,10 @@ def markup_by_state(charges: DataFrame, dim_geography: DataFrame) -> DataFrame:
 
 
 def provider_cost_quality(charges: DataFrame, readmissions: DataFrame) -> DataFrame:
-    """Hospitals in both facts: provider_sk, mean_medicare_pay (weighted), mean_excess_readmit (over conditions)."""
+    """Hospitals in both facts: provider_sk, mean_medicare_pay (weighted), mean_excess_readmit (over conditions).
+
+    Written, so that the questions about it scan the facts once between them.
+    """
     cost = (
         charges.where("provider_sk IS NOT NULL")
         .groupBy("provider_sk")
@@ -118,14 +121,11 @@ def provider_cost_quality(charges: DataFrame, readmissions: DataFrame) -> DataFr
         .agg(F.avg("excess_readmission_ratio").alias("mean_excess_readmit"))
         .where("mean_excess_readmit IS NOT NULL")
     )
-    return cost.join(quality, "provider_sk")
+    return stage(cost.join(quality, "provider_sk"), "cost-quality")
 
 
-def cost_vs_quality(
-    charges: DataFrame, readmissions: DataFrame, buckets: int = 5, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Hospitals in equal-count buckets by payment, with the mean payment and readmission ratio of each."""
-    hospitals = stage(provider_cost_quality(charges, readmissions), "cost-quality")
+def cost_vs_quality(hospitals: DataFrame, buckets: int = 5, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """Hospitals (``provider_cost_quality``) in equal-count buckets by payment, with the means of each bucket."""
     order = [F.col("mean_medicare_pay").asc_nulls_last(), F.col("provider_sk").asc()]
     return (
         exact_ntile(hospitals, buckets, order, "pay_quintile", one_task_rows=one_task_rows)
@@ -139,12 +139,10 @@ def cost_vs_quality(
     )
 
 
-def cost_quality_corr(charges: DataFrame, readmissions: DataFrame) -> DataFrame:
+def cost_quality_corr(hospitals: DataFrame) -> DataFrame:
     """One row: number of hospitals and the correlation of payment and readmission ratio."""
     r = safe_corr(F.col("mean_medicare_pay"), F.col("mean_excess_readmit"))
-    return provider_cost_quality(charges, readmissions).agg(
-        F.count(F.lit(1)).alias("n_hospitals"), round_stable(r, 3).alias("r")
-    )
+    return hospitals.agg(F.count(F.lit(1)).alias("n_hospitals"), round_stable(r, 3).alias("r"))
 
 
 def headline_metrics(corr: DataFrame, quintiles: DataFrame, markup: DataFrame) -> DataFrame:

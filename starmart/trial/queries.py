@@ -300,21 +300,23 @@ def q_weighted_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = mart.star(spark, sf_dir)
-    return s["fact_inpatient_charges"], s["fact_readmissions"]
+    return questions.provider_cost_quality(s["fact_inpatient_charges"], s["fact_readmissions"])
 
 
 def q_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.cost_vs_quality(*_facts(spark, sf_dir))
+    return questions.cost_vs_quality(_hospitals(spark, sf_dir))
 
 
 def q_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.cost_quality_corr(*_facts(spark, sf_dir))
+    return questions.cost_quality_corr(_hospitals(spark, sf_dir))
 
 
 def q_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.headline_metrics(q_corr(spark, sf_dir), q_q3(spark, sf_dir), q_q2(spark, sf_dir))
+    hospitals = _hospitals(spark, sf_dir)
+    corr, quintiles = questions.cost_quality_corr(hospitals), questions.cost_vs_quality(hospitals)
+    return questions.headline_metrics(corr, quintiles, q_q2(spark, sf_dir))
 
 
 def q_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:

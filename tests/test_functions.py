@@ -1,5 +1,7 @@
 import hashlib
-from decimal import Decimal
+import random
+import re
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from starmart.functions import (
     try_number,
     weighted_avg,
 )
+from starmart.functions.text import TITLE_DELIMITERS
 from starmart.plans.lookups import CENSUS_REGIONS, COMMON_CODES, CONDITIONS, OTHER, RURAL, SERVICE_LINES, URBANICITY
 
 
@@ -50,6 +53,38 @@ def test_title_case_starts_words_after_punctuation_but_not_after_apostrophes(spa
     assert applied(texts(spark, list(cases)), title_case(F.col("x"))) == list(cases.values())
 
 
+def test_title_case_on_many_made_up_names(spark):
+    rng = random.Random(5)
+    alphabet = "abcXYZ019éÖ'’ \t\n" + TITLE_DELIMITERS
+    names = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(3000)]
+
+    def expected(name):
+        out, start = [], True
+        for c in name.lower():
+            out.append(c.upper() if start else c)
+            start = c.isspace() or c in TITLE_DELIMITERS
+        return "".join(out)
+
+    assert applied(texts(spark, names), title_case(F.col("x"))) == [expected(n) for n in names]
+
+
+def test_try_number_on_many_made_up_cells(spark):
+    rng = random.Random(6)
+    cells = ["".join(rng.choice("0123456789.+-e ,N/Ax") for _ in range(rng.randrange(1, 7))) for _ in range(4000)]
+    cells += [str(rng.randrange(-(10**6), 10**6) / 100) for _ in range(500)]
+
+    def expected(cell):
+        if not re.fullmatch(r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*", cell):
+            return None
+        number = Decimal(cell.strip())
+        if number.adjusted() > 30:
+            return None
+        whole = int(number.quantize(Decimal(1), ROUND_HALF_UP))
+        return whole if abs(whole) < 2**63 else None
+
+    assert applied(texts(spark, cells), try_number(F.col("x"))) == [expected(c) for c in cells]
+
+
 def test_try_number_rounds_trims_and_gives_null_for_odd_forms(spark):
     cases = {
         "12": 12, " 12 ": 12, "12.5": 13, "-12.5": -13, "1e3": 1000, "+7": 7, ".6": 1, "5.": 5,

@@ -291,15 +291,14 @@ def test_cost_quality_joins_only_hospitals_in_both_facts(star):
     assert rows.keys() == {md5(c) for c in ("010001", "010002", "010003")}
     assert rows[md5("010001")].mean_medicare_pay == pytest.approx((100 * 10000 + 10 * 15000) / 110)
     assert rows[md5("010001")].mean_excess_readmit == pytest.approx(1.0)
-    corr = questions.cost_quality_corr(charges, readmissions).first()
+    corr = questions.cost_quality_corr(questions.provider_cost_quality(charges, readmissions)).first()
     assert corr.n_hospitals == 3
 
 
 @pytest.mark.parametrize("one_task_rows", [100_000, 0])
 def test_cost_vs_quality_buckets(star, one_task_rows):
-    rows = questions.cost_vs_quality(
-        star["fact_inpatient_charges"], star["fact_readmissions"], 2, one_task_rows
-    ).collect()
+    hospitals = questions.provider_cost_quality(star["fact_inpatient_charges"], star["fact_readmissions"])
+    rows = questions.cost_vs_quality(hospitals, 2, one_task_rows).collect()
     assert [(r.pay_quintile, r.n_hospitals) for r in rows] == [(1, 2), (2, 1)]
     assert rows[0].avg_excess_readmit_ratio == 1.0
     assert rows[1].avg_medicare_pay == round((100 * 10000 + 10 * 15000) / 110)
@@ -307,8 +306,8 @@ def test_cost_vs_quality_buckets(star, one_task_rows):
 
 def test_headline_and_leaders(star):
     charges, readmissions = star["fact_inpatient_charges"], star["fact_readmissions"]
-    quintiles = questions.cost_vs_quality(charges, readmissions, 2)
-    corr = questions.cost_quality_corr(charges, readmissions)
+    hospitals = questions.provider_cost_quality(charges, readmissions)
+    quintiles, corr = questions.cost_vs_quality(hospitals, 2), questions.cost_quality_corr(hospitals)
     markup = questions.markup_by_service_line(charges, star["dim_drg"], 9)
     r = questions.headline_metrics(corr, quintiles, markup).first()
     assert (r.markup_min, r.markup_max) == (min(x.markup_ratio for x in markup.collect()), 6.0)
