@@ -18,7 +18,8 @@ from .staged import stage
 # Largest group that one task may sort or hold.
 ONE_TASK_ROWS = 100_000
 
-# Rows that one range partition should hold; the number of partitions grows with the data.
+# Fewest and most rows that one range partition should hold; in between, the session's number of partitions holds.
+LEAST_PARTITION_ROWS = 10_000
 PARTITION_ROWS = 10_000_000
 
 # Layout of monotonically_increasing_id(): partition number above 33 bits of position within the partition.
@@ -34,8 +35,9 @@ def rank_rows(
     needed only for the order can be left out of the result, and so out of what is written, with ``keep``. ``rows``
     is the number of rows, if known.
     """
+    rows = df.count() if rows is None else rows
     session_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(session_parts, (df.count() if rows is None else rows) // PARTITION_ROWS)
+    parts = max(min(session_parts, rows // LEAST_PARTITION_ROWS), rows // PARTITION_ROWS, 1)
     ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     columns = df.columns if keep is None else keep
     placed = stage(ordered.select(*columns, F.monotonically_increasing_id().alias("_place")), "ranked")

@@ -5,7 +5,13 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starmart.operators import exact_ntile, exact_percentiles, leaders_per_group, rank_rows
+from starmart.operators import exact_ntile, exact_percentiles, leaders_per_group, rank_rows, ranks
+
+@pytest.fixture(autouse=True)
+def several_partitions(monkeypatch):
+    """Small test frames are still spread over all partitions of the session."""
+    monkeypatch.setattr(ranks, "LEAST_PARTITION_ROWS", 1)
+
 
 def order():
     return [F.col("v").asc_nulls_last(), F.col("k").asc()]
@@ -36,6 +42,18 @@ def test_rank_rows_counts_from_zero_without_gaps(spark):
     assert [r._position for r in rows] == list(range(500))
     assert [(r.v, r.k) for r in rows] == sorted((r.v, r.k) for r in rows)
     assert {r._total for r in rows} == {500}
+    files = rank_rows(frame(spark, [float(i % 7) for i in range(500)]), order()).inputFiles()
+    assert len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_number_of_partitions_follows_the_rows(spark, monkeypatch):
+    df = frame(spark, [float(i) for i in range(900)])
+    for least, most, parts in ((1000, 10_000, 1), (300, 10_000, 3), (1, 10_000, 4), (1, 90, 10)):
+        monkeypatch.setattr(ranks, "LEAST_PARTITION_ROWS", least)
+        monkeypatch.setattr(ranks, "PARTITION_ROWS", most)
+        ranked = rank_rows(df, order())
+        assert len(ranked.inputFiles()) == parts
+        assert [r._position for r in ranked.orderBy("v").collect()] == list(range(900))
 
 
 def test_hot_value_is_spread_over_partitions(spark):

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,3 +71,13 @@ def test_stage_writes_to_the_folder_the_session_names(spark):
     staged = stage(spark.range(5), "five")
     assert staged.inputFiles()[0].startswith("file:" + shared_dir(spark)) or shared_dir(spark) in staged.inputFiles()[0]
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="yarn", applicationId="a")
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+    session.sparkContext.master = "local[2]"
+    assert shared_dir(session) == shared_dir(session)
