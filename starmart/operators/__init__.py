@@ -12,7 +12,7 @@ from .checks import (
 from .joins import attach_key, broadcast_if_small
 from .leaders import leaders_per_group
 from .ranks import exact_ntile, exact_percentiles, rank_rows
-from .staged import shared_dir, stage
+from .staged import scratch_path, shared_dir, stage
 
 __all__ = [
     "attach_key",
@@ -28,6 +28,7 @@ __all__ = [
     "exact_percentiles",
     "leaders_per_group",
     "rank_rows",
+    "scratch_path",
     "shared_dir",
     "stage",
 ]

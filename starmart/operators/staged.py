@@ -28,9 +28,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder.
+
+    All paths of an application lie in ``starmart/<application id>``, to be removed when it has ended.
+    """
+    return f"{shared_dir(spark)}/starmart/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh shared folder and return a reader of it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/starmart/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -25,14 +25,7 @@ class Store:
         self.root = root.rstrip("/")
         self.catalog = catalog
 
-    def save(
-        self,
-        df: DataFrame,
-        namespace: str,
-        name: str,
-        partition_by: Sequence[str] = (),
-        cluster_by: Sequence[str] = (),
-    ) -> DataFrame:
+    def save(self, df: DataFrame, namespace: str, name: str, cluster_by: Sequence[str] = ()) -> DataFrame:
         """Write ``df`` as table ``namespace.name`` and return a reader of it.
 
         ``cluster_by`` sorts the rows by range over the files, so that a filter on those columns skips most of
@@ -41,13 +34,11 @@ class Store:
         path = f"{self.root}/{namespace}/{name}/{uuid.uuid4().hex}"
         if cluster_by:
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-        df.write.partitionBy(*partition_by).parquet(path)
+        df.write.parquet(path)
         if self.catalog:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
             self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
             self.spark.sql(f"CREATE TABLE `{namespace}`.`{name}` USING parquet LOCATION '{path}'")
-            if partition_by:
-                self.spark.catalog.recoverPartitions(f"`{namespace}`.`{name}`")
             return self.spark.table(f"{namespace}.{name}")
         return self.spark.read.schema(df.schema).parquet(path)
 

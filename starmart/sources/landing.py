@@ -125,8 +125,9 @@ class Load:
 def load_table(landing: DataFrame, schema: T.StructType, store: Store, name: str, namespace: str = "raw") -> Load:
     """Replace a raw table by the landing rows.
 
-    Good and bad rows are told apart in one pass and written as two partitions of one table, ``<name>_load``, stamped
-    with the time of the load; the counts come with the write, so neither needs a second read of the files.
+    Good and bad rows are told apart in one pass and written to one table, ``<name>_load``, with their status and the
+    time of the load; raw table and rejects are views of it that skip each other's row groups. The counts come with
+    the write. So the files are read once and nothing is sorted or shuffled.
     """
     counts = Observation()
     status = F.col(STATUS)
@@ -137,7 +138,7 @@ def load_table(landing: DataFrame, schema: T.StructType, store: Store, name: str
         F.count(F.when(status == REJECTED, F.lit(1))).alias("rejected"),
     )
     both = f"{name}_load"
-    written = store.save(checked, namespace, both, partition_by=[STATUS])
+    written = store.save(checked, namespace, both)
     columns, reject_columns = schema.fieldNames(), [RECORD, REASON]
     store.part_view(namespace, name, both, columns, f"{STATUS} = '{LOADED}'")
     store.part_view(namespace, f"{name}_rejects", both, reject_columns, f"{STATUS} = '{REJECTED}'")

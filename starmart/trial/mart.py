@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import shared_dir
+from ..operators import scratch_path
 from ..plans.build import build_star
 from ..sinks import Store
 from .extracts import landing_readmissions, loaded_readmissions, raw_charges
@@ -26,7 +24,7 @@ def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def _store(spark: SparkSession) -> Store:
-    return Store(spark, f"{shared_dir(spark)}/starmart/trial-{uuid.uuid4().hex}", catalog=False)
+    return Store(spark, scratch_path(spark, "trial"), catalog=False)
 
 
 def _raw_table(spark: SparkSession, sf_dir: str, name: str, state: tuple) -> DataFrame:

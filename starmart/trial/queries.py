@@ -5,7 +5,6 @@ Money and ratios are returned as double, counts as bigint, so that results compa
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
@@ -36,7 +35,7 @@ from ..operators import (
     dq_report,
     exact_ntile,
     exact_percentiles,
-    shared_dir,
+    scratch_path,
 )
 from ..plans import questions
 from ..plans.lookups import CENSUS_REGIONS, COMMON_CODES, CONDITIONS, OTHER, RURAL, SERVICE_LINES, URBANICITY
@@ -77,10 +76,6 @@ def _by_remainder(key: Column, values: list[str], default: Column) -> Column:
     return chain.otherwise(default)
 
 
-def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/starmart/{label}-{uuid.uuid4().hex}"
-
-
 def _stg_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_inpatient_charges(mart.raw(spark, sf_dir, "inpatient_charges"))
 
@@ -108,9 +103,9 @@ def q_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files with a column less, one more, another order and other letter case; loaded by name."""
     landed = mart.raw(spark, sf_dir, "landed_readmissions").drop("Footnote")
     landed = landed.withColumn("Extra", F.lit('a "quoted", cell'))
-    folder = _scratch(spark, "landing")
+    folder = scratch_path(spark, "landing")
     write_landing(landed.select(*[F.col(c).alias(c.upper()) for c in sorted(landed.columns)]), folder)
-    store = Store(spark, _scratch(spark, "load"), catalog=False)
+    store = Store(spark, scratch_path(spark, "load"), catalog=False)
     loaded = load_table(read_landing(spark, folder), READMISSIONS, store, "hrrp_readmissions").table
     wanted = [
         "Facility_ID",
@@ -135,9 +130,9 @@ def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             "DRG_Cd": F.when(spot == 1, F.lit("NA")).otherwise(F.col("DRG_Cd")),
         }
     )
-    folder = _scratch(spark, "landing")
+    folder = scratch_path(spark, "landing")
     write_landing(landed, folder)
-    store = Store(spark, _scratch(spark, "load"), catalog=False)
+    store = Store(spark, scratch_path(spark, "load"), catalog=False)
     rejects = load_table(read_landing(spark, folder), INPATIENT_CHARGES, store, "inpatient_charges").rejects
     return rejects.groupBy(REASON).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -149,7 +144,7 @@ def q_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = landed.groupBy(F.floor(number / 200).alias("page")).agg(
         F.collect_list(F.struct(*landed.columns)).alias("results")
     )
-    folder = _scratch(spark, "pages")
+    folder = scratch_path(spark, "pages")
     pages.select("results").write.json(folder)
     records = read_pages(spark, folder, READMISSIONS, multi_line=False)
     return records.select(

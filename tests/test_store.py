@@ -34,12 +34,9 @@ def test_a_failed_write_leaves_the_previous_table(spark, tmp_path):
 
 
 @pytest.mark.parametrize("catalog", [True, False])
-def test_partitioned_and_clustered_tables(spark, tmp_path, catalog):
+def test_clustered_table(spark, tmp_path, catalog):
     store = Store(spark, str(tmp_path), catalog=catalog)
     df = spark.range(1000).withColumn("p", F.col("id") % 3)
-    parted = store.save(df, "m3", "parted", partition_by=["p"])
-    assert parted.where("p = 1").count() == 333
-    assert set(parted.columns) == {"id", "p"}
     clustered = store.save(df, "m3", "clustered", cluster_by=["p", "id"])
     assert clustered.count() == 1000
     spread = clustered.groupBy(F.input_file_name()).agg(F.min("p"), F.max("p")).collect()
