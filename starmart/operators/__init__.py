@@ -11,7 +11,9 @@ from .checks import (
 )
 from .joins import attach_key, broadcast_if_small
 from .leaders import leaders_per_group
-from .ranks import exact_ntile, exact_percentiles, rank_rows
+from .quantiles import exact_ntile, exact_percentiles
+from .ranks import rank_rows
+from .selection import order_statistics
 from .staged import scratch_path, shared_dir, stage
 
 __all__ = [
@@ -27,6 +29,7 @@ __all__ = [
     "exact_ntile",
     "exact_percentiles",
     "leaders_per_group",
+    "order_statistics",
     "rank_rows",
     "scratch_path",
     "shared_dir",

@@ -1,23 +1,18 @@
-"""Exact global positions, equal-count buckets and percentiles that never gather a large set in one task.
+"""Global positions of sorted rows without one task that sees them all.
 
-Spark's ``ntile`` over an unpartitioned window sorts the whole input in one task, and ``percentile`` keeps every
-distinct value of a group in one buffer. Both are fine, and faster, for small inputs, so they are used when a count
-shows that the largest group is small. Beyond that the rows are sorted by range across the cluster and each row
-gets its global position from its place in its partition plus the rows of the partitions before it.
+Rows are sorted by range across the cluster; a row's position is its place in its partition plus the sizes of the
+partitions before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .staged import stage
 
-# Largest group that one task may sort or hold.
-ONE_TASK_ROWS = 100_000
-
 # Fewest and most rows that one range partition should hold; in between, the session's number of partitions holds.
 LEAST_PARTITION_ROWS = 10_000
 PARTITION_ROWS = 10_000_000
@@ -57,72 +52,3 @@ def rank_rows(
         .withColumn("_position", F.col("_before") + within)
         .drop("_part", "_place", "_before")
     )
-
-
-def exact_ntile(
-    df: DataFrame,
-    buckets: int,
-    order: Sequence[Column],
-    name: str,
-    keep: Sequence[str] | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """``ntile(buckets)`` over the whole frame; the first buckets take the remainder.
-
-    ``df`` is read three times (count, range sample, sort): ``stage`` it first when it is costly to compute.
-    """
-    columns = df.columns if keep is None else list(keep)
-    rows = df.count()
-    if rows <= one_task_rows:
-        bucket = F.ntile(buckets).over(Window.orderBy(*order)).cast("bigint")
-        return df.withColumn(name, bucket).select(*columns, name)
-
-    # _total = buckets * _small + _extra: the first _extra buckets hold _small + 1 rows, the others _small.
-    sized = rank_rows(df, order, columns, rows).selectExpr("*", f"_total div {buckets} AS _small", f"_total % {buckets} AS _extra")
-    bucket = F.expr(
-        """CASE WHEN _position < _extra * (_small + 1) THEN _position div (_small + 1) + 1
-                ELSE _extra + (_position - _extra * (_small + 1)) div greatest(_small, 1) + 1 END"""
-    )
-    return sized.withColumn(name, bucket.cast("bigint")).select(*columns, name)
-
-
-def exact_percentiles(
-    df: DataFrame,
-    value: str,
-    percentages: Mapping[str, float],
-    by: Sequence[str] = (),
-    key: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """Exact interpolated percentiles of a column, per group: ``by`` columns, ``n`` and one double per percentage.
-
-    Null values are left out. ``key`` names columns that tell rows of equal value apart; it lets a value that fills
-    much of a group spread over several partitions and does not change the result.
-    """
-    known = df.where(F.col(value).isNotNull()).select(*by, *key, F.col(value).cast("double").alias("_value"))
-    sizes = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    largest, rows = sizes.agg(F.coalesce(F.max("_rows"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
-    if largest <= one_task_rows:
-        wanted = F.array(*[F.lit(p) for p in percentages.values()])
-        found = known.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.percentile("_value", wanted).alias("_found"))
-        return found.select(*by, "n", *[F.col("_found")[i].alias(name) for i, name in enumerate(percentages)])
-
-    order = [F.col(c).asc_nulls_last() for c in (*by, "_value", *key)]
-    ranked = rank_rows(known, order, [*by, "_value"], rows)
-    # A group's rows are neighbours in the global order, so its k-th value sits at its first position + k.
-    spans = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_position").alias("_first"))
-    neighbours = []
-    for i, p in enumerate(percentages.values()):
-        rank = F.lit(p) * (F.col("n") - 1)
-        share = rank - F.floor(rank)
-        for near, weight in ((F.floor(rank), 1 - share), (F.ceil(rank), share)):
-            neighbours.append(
-                F.struct(F.lit(i).alias("i"), (F.col("_first") + near).alias("_position"), weight.alias("weight"))
-            )
-    targets = stage(spans.select(*by, "n", F.inline(F.array(*neighbours))), "targets")
-    hits = ranked.select("_position", "_value").join(targets, "_position")
-    parts = [
-        F.sum(F.when(F.col("i") == i, F.col("weight") * F.col("_value"))).alias(name)
-        for i, name in enumerate(percentages)
-    ]
-    return hits.groupBy(*by).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), *parts)

@@ -1,0 +1,141 @@
+"""Rows at given positions of a sorted order, found at any size without sorting everything.
+
+Up to ``SORTED_ROWS`` sorting all rows is quickest. Beyond that a quantile sketch, merged from small summaries of every task, tells for each position a range of values that it must
+lie in. One scan counts the rows below each range, and only the rows inside, a fraction of a percent per position, are
+sorted and ranked. The counts prove that the position was inside; should the sketch ever miss, all rows are ranked.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .ranks import rank_rows
+from .staged import stage
+
+# A sketched quantile is off by at most one in _ACCURACY of the rows; ranges reach three times as far.
+_ACCURACY = 1_000
+_REACH = 3 / _ACCURACY
+
+# Inputs up to this size are sorted: a few passes and jobs more would cost more than the sort.
+SORTED_ROWS = 20_000_000
+
+# Groups up to this size are ranked whole, and with more groups than this all rows are: a sketch each would not pay.
+WHOLE_GROUP_ROWS = 20_000
+SKETCHED_GROUPS = 1_000
+
+
+def order_statistics(
+    df: DataFrame,
+    value: str,
+    wanted: Sequence[tuple[float, Column]],
+    by: Sequence[str] = (),
+    key: Sequence[str] = (),
+    rows: int | None = None,
+    groups: int = 1,
+    sorted_rows: int = SORTED_ROWS,
+) -> DataFrame:
+    """Rows at wanted positions of each group, sorted by a numeric value and then the key, nulls last.
+
+    ``wanted`` holds pairs of a share (roughly where, from 0 to 1) and the exact position from 0, an expression of the
+    group's size ``n``. Returns the ``by`` columns, ``n``, ``i`` (index into ``wanted``), the value and the key.
+    ``rows`` and ``groups`` are the numbers of both in ``df``.
+    """
+    rows = df.count() if rows is None else rows
+    # Nulls sort last, as NaN does.
+    sketched = F.coalesce(F.col(value).cast("double"), F.lit(float("nan")))
+    source = df.select(*by, F.col(value), *key, F.lit(0).alias("_all"), sketched.alias("_sketched"))
+    by_all = list(by) or ["_all"]
+    sketch = rows > sorted_rows and groups <= SKETCHED_GROUPS
+    near = _near(source, value, wanted, by_all, key) if sketch else None
+    ranked, targets = near or _whole(source, value, wanted, by_all, key, rows)
+    found = ranked.select("_position", value, *key).join(targets, "_position")
+    return found.select(*by, "n", "i", value, *key)
+
+
+def _order(value: str, by: Sequence[str], key: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in (*by, value, *key)]
+
+
+def _whole(source, value, wanted, by, key, rows) -> tuple[DataFrame, DataFrame]:
+    """All rows ranked, and where in them each wanted row is: a group's rows are neighbours in the order."""
+    ranked = rank_rows(source, _order(value, by, key), [*by, value, *key], rows)
+    spans = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_position").alias("_first"))
+    lines = [
+        F.struct(F.lit(i).alias("i"), (F.col("_first") + position).cast("bigint").alias("_position"))
+        for i, (_, position) in enumerate(wanted)
+    ]
+    return ranked, stage(spans.select(*by, "n", F.inline(F.array(*lines))), "targets")
+
+
+def _near(source, value, wanted, by, key) -> tuple[DataFrame, DataFrame] | None:
+    """The same with only the rows near the wanted positions ranked; None if one of those is not among them."""
+    v, n = F.col("_sketched"), F.col("n")
+    at = range(len(wanted))
+    lows, highs = [F.col(f"_low{i}") for i in at], [F.col(f"_high{i}") for i in at]
+    inside = [v.between(low, high) for low, high in zip(lows, highs, strict=True)]
+    own = [f"_by{j}" for j in range(len(by))]
+    same_group = reduce(and_, [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(by, own, strict=True)])
+
+    starts = [min(max(share - _REACH, 0.0), 1.0) for share, _ in wanted]
+    ends = [min(max(share + _REACH, 0.0), 1.0) for share, _ in wanted]
+    sketches = source.groupBy(*[F.col(c).alias(o) for c, o in zip(by, own, strict=True)]).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(v).alias("_min"),
+        F.max(v).alias("_max"),
+        F.percentile_approx(v, [*starts, *ends], _ACCURACY).alias("_sketch"),
+    )
+    small, sketch = n <= WHOLE_GROUP_ROWS, F.col("_sketch")
+    ranges = stage(
+        sketches.select(
+            *own,
+            "n",
+            *[F.when(small | (F.lit(starts[i]) <= 0), F.col("_min")).otherwise(sketch[i]).alias(f"_low{i}") for i in at],
+            *[
+                F.when(small | (F.lit(ends[i]) >= 1), F.col("_max")).otherwise(sketch[len(wanted) + i]).alias(f"_high{i}")
+                for i in at
+            ],
+        ),
+        "ranges",
+    )
+    # At most SKETCHED_GROUPS rows.
+    counted = stage(
+        source.join(F.broadcast(ranges), same_group)
+        .groupBy(*ranges.columns)
+        .agg(
+            F.count(F.when(reduce(or_, inside), F.lit(1))).alias("_near"),
+            *[F.count(F.when(v < lows[i], F.lit(1))).alias(f"_below{i}") for i in at],
+        ),
+        "counted",
+    )
+    near = source.join(F.broadcast(counted), same_group).where(reduce(or_, inside)).select(*source.columns)
+    rows = counted.agg(F.sum("_near")).first()[0] or 0
+    ranked = rank_rows(near, _order(value, by, key), [*by, value, *key, "_sketched"], rows)
+
+    # A group's first ranked row inside range i has position _first + _skipped_i here and _below_i in the group.
+    spans = (
+        ranked.join(F.broadcast(counted), same_group)
+        .groupBy(*by, *[c for c in counted.columns if c not in own])
+        .agg(
+            F.min("_position").alias("_first"),
+            *[F.count(F.when(v < lows[i], F.lit(1))).alias(f"_skipped{i}") for i in at],
+            *[F.count(F.when(inside[i], F.lit(1))).alias(f"_found{i}") for i in at],
+        )
+    )
+    lines = []
+    for i, (_, position) in enumerate(wanted):
+        place = position - F.col(f"_below{i}")
+        lines.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                (F.col("_first") + F.col(f"_skipped{i}") + place).cast("bigint").alias("_position"),
+                ((place >= 0) & (place < F.col(f"_found{i}"))).alias("_sure"),
+            )
+        )
+    targets = stage(spans.select(*by, "n", F.inline(F.array(*lines))), "targets")
+    sure = targets.where("_sure").count() == counted.count() * len(wanted)
+    return (ranked, targets.drop("_sure")) if sure else None

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio, ratio_of_sums, round_stable, safe_corr
 from ..operators import broadcast_if_small, exact_ntile, exact_percentiles, leaders_per_group, stage
-from ..operators.ranks import ONE_TASK_ROWS
+from ..operators.quantiles import ONE_TASK_ROWS
 
 
 def price_variation(
@@ -126,9 +126,8 @@ def provider_cost_quality(charges: DataFrame, readmissions: DataFrame) -> DataFr
 
 def cost_vs_quality(hospitals: DataFrame, buckets: int = 5, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """Hospitals (``provider_cost_quality``) in equal-count buckets by payment, with the means of each bucket."""
-    order = [F.col("mean_medicare_pay").asc_nulls_last(), F.col("provider_sk").asc()]
     return (
-        exact_ntile(hospitals, buckets, order, "pay_quintile", one_task_rows=one_task_rows)
+        exact_ntile(hospitals, buckets, "mean_medicare_pay", ["provider_sk"], "pay_quintile", one_task_rows)
         .groupBy("pay_quintile")
         .agg(
             F.count(F.lit(1)).alias("n_hospitals"),

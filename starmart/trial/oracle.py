@@ -329,6 +329,16 @@ def _rounded_quantiles(value: str) -> str:
     return ", ".join(f"{rounded(f'quantile_cont({v}, {p})', 4)} as {n}" for n, p in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)))
 
 
+LINE_PERCENTILES = f"""
+    select l_returnflag, count(*) as n, {_rounded_quantiles("l_extendedprice")}
+    from lineitem group by l_returnflag"""
+
+LINE_QUINTILES = """
+    select pay_quintile, count(*) as n, min(l_extendedprice) as min_key, max(l_extendedprice) as max_key
+    from (select l_extendedprice, ntile(5) over (order by l_extendedprice) as pay_quintile from lineitem)
+    group by pay_quintile"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "null_tokens": f"""
@@ -422,9 +432,8 @@ def oracle_sql() -> dict[str, str]:
             with {STG_CHARGES}
             select drg_code, count(*) as n, {_rounded_quantiles("avg_covered_charge")}
             from stg_charges group by drg_code""",
-        "percentiles_scaled": f"""
-            select l_returnflag, count(*) as n, {_rounded_quantiles("l_extendedprice")}
-            from lineitem group by l_returnflag""",
+        "percentiles_scaled": LINE_PERCENTILES,
+        "percentiles_sketched": LINE_PERCENTILES,
         "q2_markup": f"{CHARGES_SIDE}, {MARKUP} select * from markup",
         "markup_by_state": f"""
             {CHARGES_SIDE}
@@ -452,10 +461,8 @@ def oracle_sql() -> dict[str, str]:
             select drg_code, ccn, cast(avg_covered_charge as double) as avg_covered_charge
             from stg_charges
             qualify row_number() over (partition by drg_code order by avg_covered_charge desc, ccn) = 1""",
-        "ntile_scaled": """
-            select pay_quintile, count(*) as n, min(l_extendedprice) as min_key, max(l_extendedprice) as max_key
-            from (select l_extendedprice, ntile(5) over (order by l_extendedprice) as pay_quintile from lineitem)
-            group by pay_quintile""",
+        "ntile_scaled": LINE_QUINTILES,
+        "ntile_sketched": LINE_QUINTILES,
         "check_unique": f"""
             {STAR} {_failures([*_UNIQUE,
                 ("fact_inpatient_charges", "drg_sk", _repeated("fact_charges", "drg_sk", "drg_sk is not null")),

@@ -266,13 +266,18 @@ def q_percentiles_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_percentiles_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three groups over all line items, found by distributed ranks whatever their size."""
-    lines = table(spark, sf_dir, "lineitem")
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return _rounded(
-        exact_percentiles(lines, "l_extendedprice", PERCENTAGES, ["l_returnflag"], keys, one_task_rows=0), *PERCENTAGES
-    )
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _line_percentiles(**sizes: int) -> Query:
+    """Percentiles of the price of all line items, in three groups, by the road that ``sizes`` lead to."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = table(spark, sf_dir, "lineitem")
+        found = exact_percentiles(lines, "l_extendedprice", PERCENTAGES, ["l_returnflag"], LINE_KEYS, **sizes)
+        return _rounded(found, *PERCENTAGES)
+
+    return query
 
 
 def q_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,20 +323,22 @@ def q_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(questions.charge_leaders(_stg_charges(spark, sf_dir)), "avg_covered_charge")
 
 
-def q_ntile_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quintiles of all line items by price, by distributed ranks whatever the size."""
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = table(spark, sf_dir, "lineitem").select("l_extendedprice", *keys)
-    order = [F.col(c).asc_nulls_last() for c in ("l_extendedprice", *keys)]
-    return (
-        exact_ntile(lines, 5, order, "pay_quintile", ["l_extendedprice"], one_task_rows=0)
-        .groupBy("pay_quintile")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("l_extendedprice").alias("min_key"),
-            F.max("l_extendedprice").alias("max_key"),
+def _line_quintiles(**sizes: int) -> Query:
+    """Quintiles of all line items by price, by the road that ``sizes`` lead to."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = table(spark, sf_dir, "lineitem").select("l_extendedprice", *LINE_KEYS)
+        return (
+            exact_ntile(lines, 5, "l_extendedprice", LINE_KEYS, "pay_quintile", **sizes)
+            .groupBy("pay_quintile")
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min("l_extendedprice").alias("min_key"),
+                F.max("l_extendedprice").alias("max_key"),
+            )
         )
-    )
+
+    return query
 
 
 # Checks
@@ -462,7 +469,8 @@ QUERIES: dict[str, Query] = {
     "fact_readmissions": _star_table("fact_readmissions"),
     "q1_price_variation": q_q1,
     "percentiles_by_group": q_percentiles_by_group,
-    "percentiles_scaled": q_percentiles_scaled,
+    "percentiles_scaled": _line_percentiles(one_task_rows=0),
+    "percentiles_sketched": _line_percentiles(one_task_rows=0, sorted_rows=0),
     "q2_markup": q_q2,
     "markup_by_state": q_markup_by_state,
     "weighted_avg": q_weighted_avg,
@@ -470,7 +478,8 @@ QUERIES: dict[str, Query] = {
     "cost_quality_corr": q_corr,
     "headline_metrics": q_headline,
     "leaders_per_group": q_leaders,
-    "ntile_scaled": q_ntile_scaled,
+    "ntile_scaled": _line_quintiles(one_task_rows=0),
+    "ntile_sketched": _line_quintiles(one_task_rows=0, sorted_rows=0),
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
     "check_accepted_values": q_check_accepted_values,

@@ -73,7 +73,7 @@ SKEW_CONF = {
 @pytest.mark.parametrize(
     "name",
     ["fact_charges", "fact_readmissions", "q1_price_variation", "q2_markup", "q3_cost_vs_quality", "leaders_per_group",
-     "percentiles_scaled", "ntile_scaled", "check_unique", "check_relationships", "check_grain"],
+     "percentiles_scaled", "percentiles_sketched", "ntile_scaled", "ntile_sketched", "check_unique", "check_relationships", "check_grain"],
 )
 def test_query_equals_sql_with_hot_keys(spark, skewed_dir, name):
     kept = {key: spark.conf.get(key) for key in SKEW_CONF}
