@@ -79,7 +79,14 @@ def _near(source, value, wanted, by, key) -> tuple[DataFrame, DataFrame] | None:
     lows, highs = [F.col(f"_low{i}") for i in at], [F.col(f"_high{i}") for i in at]
     inside = [v.between(low, high) for low, high in zip(lows, highs, strict=True)]
     own = [f"_by{j}" for j in range(len(by))]
-    same_group = reduce(and_, [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(by, own, strict=True)])
+
+    def beside(rows: DataFrame, small: DataFrame) -> DataFrame:
+        """Rows with the ranges of their group: at most SKETCHED_GROUPS ranges, or constants when there is one."""
+        if by == ["_all"]:
+            only = small.first()
+            return rows.withColumns({c: F.lit(only[c]).cast(small.schema[c].dataType) for c in small.columns})
+        same_group = reduce(and_, [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(by, own, strict=True)])
+        return rows.join(F.broadcast(small), same_group)
 
     starts = [min(max(share - _REACH, 0.0), 1.0) for share, _ in wanted]
     ends = [min(max(share + _REACH, 0.0), 1.0) for share, _ in wanted]
@@ -102,9 +109,8 @@ def _near(source, value, wanted, by, key) -> tuple[DataFrame, DataFrame] | None:
         ),
         "ranges",
     )
-    # At most SKETCHED_GROUPS rows.
     counted = stage(
-        source.join(F.broadcast(ranges), same_group)
+        beside(source, ranges)
         .groupBy(*ranges.columns)
         .agg(
             F.count(F.when(reduce(or_, inside), F.lit(1))).alias("_near"),
@@ -112,13 +118,13 @@ def _near(source, value, wanted, by, key) -> tuple[DataFrame, DataFrame] | None:
         ),
         "counted",
     )
-    near = source.join(F.broadcast(counted), same_group).where(reduce(or_, inside)).select(*source.columns)
+    near = beside(source, counted).where(reduce(or_, inside)).select(*source.columns)
     rows = counted.agg(F.sum("_near")).first()[0] or 0
     ranked = rank_rows(near, _order(value, by, key), [*by, value, *key, "_sketched"], rows)
 
     # A group's first ranked row inside range i has position _first + _skipped_i here and _below_i in the group.
     spans = (
-        ranked.join(F.broadcast(counted), same_group)
+        beside(ranked, counted)
         .groupBy(*by, *[c for c in counted.columns if c not in own])
         .agg(
             F.min("_position").alias("_first"),

@@ -13,4 +13,4 @@ def write_landing(df: DataFrame, path: str, compression: str = "gzip") -> None:
 
 def save_result(df: DataFrame, folder: str, name: str) -> None:
     """One Parquet file with the answer to a question. For answers of a few rows only."""
-    df.coalesce(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+    df.repartition(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")

@@ -27,6 +27,12 @@ def test_query_equals_sql(spark, trial_dir, duck, name):
     assert compare.differences(QUERIES[name](spark, trial_dir), duck, ORACLE[name]) == []
 
 
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_query_ends_in_a_cross_join(spark, trial_dir, name):
+    plan = QUERIES[name](spark, trial_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 @pytest.mark.parametrize("name", ["q1_price_variation", "q2_markup", "q3_cost_vs_quality", "check_relationships"])
 def test_query_equals_sql_without_broadcast(spark, trial_dir, duck, name):
     """The road taken when no side is small: sort-merge joins, including for building the star."""
