@@ -61,7 +61,14 @@ def _order(value: str, by: Sequence[str], key: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in (*by, value, *key)]
 
 
-def _whole(source, value, wanted, by, key, rows) -> tuple[DataFrame, DataFrame]:
+def _whole(
+    source: DataFrame,
+    value: str,
+    wanted: Sequence[tuple[float, Column]],
+    by: Sequence[str],
+    key: Sequence[str],
+    rows: int,
+) -> tuple[DataFrame, DataFrame]:
     """All rows ranked, and where in them each wanted row is: a group's rows are neighbours in the order."""
     ranked = rank_rows(source, _order(value, by, key), [*by, value, *key], rows)
     spans = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_position").alias("_first"))
@@ -72,7 +79,9 @@ def _whole(source, value, wanted, by, key, rows) -> tuple[DataFrame, DataFrame]:
     return ranked, stage(spans.select(*by, "n", F.inline(F.array(*lines))), "targets")
 
 
-def _near(source, value, wanted, by, key) -> tuple[DataFrame, DataFrame] | None:
+def _near(
+    source: DataFrame, value: str, wanted: Sequence[tuple[float, Column]], by: Sequence[str], key: Sequence[str]
+) -> tuple[DataFrame, DataFrame] | None:
     """The same with only the rows near the wanted positions ranked; None if one of those is not among them."""
     v, n = F.col("_sketched"), F.col("n")
     at = range(len(wanted))

@@ -82,9 +82,7 @@ def match_columns(df: DataFrame, schema: T.StructType) -> list[Column]:
     return found
 
 
-def _typed(cell: Column, to: T.DataType) -> Column:
-    if isinstance(to, T.StringType):
-        return cell
+def _number(cell: Column, to: T.DataType) -> Column:
     return try_number(cell, to.scale if isinstance(to, T.DecimalType) else 0).try_cast(to)
 
 
@@ -94,21 +92,26 @@ def coerce(df: DataFrame, schema: T.StructType, tokens: Iterable[str] = NULL_TOK
     text = df.select(*match_columns(df, schema), broken.alias(_BROKEN))
     text = text.select(*[null_tokens(F.col(f.name), tokens).alias(f.name) for f in schema], _BROKEN)
 
+    # One step per result that later ones use more than once, so that each cell is parsed once.
+    numbers = {f.name: f"_number{i}" for i, f in enumerate(schema) if not isinstance(f.dataType, T.StringType)}
+    parsed = text.withColumns({numbers[f.name]: _number(F.col(f.name), f.dataType) for f in schema if f.name in numbers})
+
     reasons = [F.when(F.col(_BROKEN).isNotNull(), F.lit("wrong number of fields"))]
     for field in schema:
         cell = F.col(field.name)
-        if not isinstance(field.dataType, T.StringType):
-            unparsed = cell.isNotNull() & _typed(cell, field.dataType).isNull()
+        if field.name in numbers:
+            unparsed = cell.isNotNull() & F.col(numbers[field.name]).isNull()
             reasons.append(F.when(unparsed, F.lit(f"{field.name} is not a number")))
         if not field.nullable:
             reasons.append(F.when(cell.isNull(), F.lit(f"{field.name} is missing")))
-    reason = F.coalesce(*reasons)
-    record = F.coalesce(F.col(_BROKEN), F.to_json(F.struct(*[f.name for f in schema])))
-    return text.select(
-        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema],
-        F.when(reason.isNull(), F.lit(LOADED)).otherwise(F.lit(REJECTED)).alias(STATUS),
-        reason.alias(REASON),
-        F.when(reason.isNotNull(), record).alias(RECORD),
+    judged = parsed.withColumn(REASON, F.coalesce(*reasons))
+    good = F.col(REASON).isNull()
+    record = F.coalesce(F.col(_BROKEN), F.to_json(F.struct(*schema.fieldNames())))
+    return judged.select(
+        *[F.col(numbers.get(name, name)).alias(name) for name in schema.fieldNames()],
+        F.when(good, F.lit(LOADED)).otherwise(F.lit(REJECTED)).alias(STATUS),
+        REASON,
+        F.when(~good, record).alias(RECORD),
     )
 
 
