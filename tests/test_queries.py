@@ -9,8 +9,10 @@ import pytest
 
 import __spark_entry__ as driver
 
-ORACLE = driver.oracle_sql()
-QUERIES = driver.queries()
+from starmart.trial.oracle import oracle_sql  # noqa: E402
+from starmart.trial.queries import QUERIES  # noqa: E402
+
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,7 @@ def duck(trial_dir):
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLE.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
