@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules
+from . import line_dedup, quality_rules, secret_scan
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *base, "base_failed", "kept")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("__spans")
+
+    def number(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE))
+    return scanned.select(
+        "doc_id",
+        *[number(kind) for kind in secret_scan.BASE],
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(spans).alias("spans"),
+    )
