@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules, secret_scan
+from . import line_dedup, packing, quality_rules, secret_scan, token_counts
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,17 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
         secret_scan.span_text(spans).alias("spans"),
     )
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    pieces = packing.tokenized_pieces(docs, ranks, public_tokenizers.PATTERN, end_id=2, size=1024)
+    packed = packing.pack(pieces, size=1024)
+    return packed.withColumnsRenamed({"__sequence": "sequence_id", "__offset": "offset"})
