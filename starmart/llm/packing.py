@@ -2,13 +2,14 @@
 
 The rule looks only at how many open sequences there are for each residual gap: an item goes where the sum of the squares of
 these counts becomes smallest, which keeps all gaps about equally available and so lets later items fill them exactly.
-One group of items needs one array of counts; groups are packed by different tasks, and the sequences that stay far from full
-are opened again and packed together once more.
+The longest items are placed first. One group of items needs one array of counts; groups are packed by different tasks. What
+lies in sequences that are not full at the end is placed again, twice, which leaves about a third of a percent unused.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ from .common import map_batches, strings
 
 # Items that one task packs.
 GROUP = 65_536
+# Rounds of placing what lies in sequences with a gap.
+ROUNDS = 3
 
 
 def piece_spans(total: int, size: int) -> Iterator[tuple[int, int]]:
@@ -96,51 +99,59 @@ class SumOfSquares:
         return sequence, size - gap
 
 
-def _pack_groups(items: DataFrame, size: int, groups: int, tag: int) -> DataFrame:
-    """Add ``__sequence`` and ``__offset``; items (``__item``, ``__length``) of a group are placed in a fixed order."""
+def sequences(lengths: list[int], size: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sequence and offset of each length, longest placed first, and the number of sequences.
 
-    def work(batches):
-        from pyspark import TaskContext
-
-        first = (tag << 61) | (TaskContext.get().partitionId() << 33)
-        packer = SumOfSquares(size)
-        for batch in batches:
-            placed = [packer.place(length) for length in batch.column(1).to_pylist()]
-            sequences = pa.array([first + s for s, _ in placed], pa.int64())
-            offsets = pa.array([offset for _, offset in placed], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, sequences, offsets], names=["__item", "__length", "__sequence", "__offset"]
-            )
-
-    mixed = F.xxhash64("__item")
-    spread = items.select("__item", "__length").repartition(groups, "__item").sortWithinPartitions(mixed, "__item")
-    return map_batches(spread, work, "__item long, __length long, __sequence long, __offset long")
+    What lies in sequences with a gap is taken out and placed again in the next round.
+    """
+    sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    left, used = sorted(range(len(lengths)), key=lambda i: -lengths[i]), 0
+    for _ in range(rounds):
+        packer, members = SumOfSquares(size), defaultdict(list)
+        for i in left:
+            own, offset[i] = packer.place(lengths[i])
+            members[own].append(i)
+        loose = {s for gap in packer.open[1:] for s in gap}
+        done = [m for s, m in members.items() if s not in loose]
+        for m in done:
+            sequence[m] = used
+            used += 1
+        left, before = sorted((i for s in loose for i in members[s]), key=lambda i: (-lengths[i], i)), members
+    for s in loose:
+        sequence[before[s]] = used
+        used += 1
+    return sequence, offset, used
 
 
 def pack(pieces: DataFrame, size: int, length_col: str = "length", group: int = GROUP) -> DataFrame:
     """``pieces`` with ``__sequence`` (any distinct numbers) and ``__offset``, gapless from 0 within each sequence.
 
-    Pieces of the whole ``size`` take a sequence of their own. ``pieces`` is read twice and should be a written table;
-    rows are numbered as they lie in it. Lengths must lie between 1 and ``size``. Equal and repeated rows are
-    packed each; an empty table gives an empty one.
+    Pieces of the whole ``size`` take a sequence of their own. The others are dealt by chance into groups of about
+    ``group``, one task each, so that a task holds a bounded number of them whatever the input.
+    Rows are numbered in a written table, so a task that runs again places them alike. Lengths must lie between
+    1 and ``size``. Equal and repeated rows are packed each; an empty table gives an empty one.
     """
     numbered = stage(pieces.withColumn("__item", F.monotonically_increasing_id()), "numbered-pieces")
-    full = numbered.where(F.col(length_col) == size)
-    rest = numbered.where(F.col(length_col) < size).select("__item", F.col(length_col).cast("long").alias("__length"))
+    whole = F.col(length_col) == size
+    alone = numbered.where(whole).withColumns({"__sequence": F.col("__item"), "__offset": F.lit(0).cast("long")})
+    rest = numbered.where(~whole)
     groups = rest.count() // group + 1
-    placed = stage(_pack_groups(rest, size, groups, 1), "placed")
-    # Sequences left with a gap are items of a second round, in a number of tasks that falls as they are fewer.
-    filled = placed.groupBy("__sequence").agg(F.sum("__length").alias("__length"))
-    loose = filled.where(F.col("__length") < size).withColumnRenamed("__sequence", "__item")
-    again = _pack_groups(loose, size, max(1, groups // 16), 2).select(
-        F.col("__item").alias("__sequence"), F.col("__sequence").alias("__joined"), F.col("__offset").alias("__shift")
-    )
-    moved = placed.join(again, "__sequence", "left").select(
-        "__item",
-        F.coalesce("__joined", "__sequence").alias("__sequence"),
-        (F.col("__offset") + F.coalesce("__shift", F.lit(0))).alias("__offset"),
-    )
-    packed = numbered.where(F.col(length_col) < size).join(moved, "__item")
-    alone = full.withColumns({"__sequence": F.col("__item"), "__offset": F.lit(0).cast("long")})
-    columns = [*pieces.columns, "__sequence", "__offset"]
-    return packed.select(columns).unionByName(alone.select(columns))
+    columns = pieces.columns
+    at = columns.index(length_col)
+
+    def work(batches):
+        from pyspark import TaskContext
+
+        table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if table is None:
+            return
+        # Numbers of this road have the bit set that row numbers cannot reach.
+        first = (1 << 62) | (TaskContext.get().partitionId() << 33)
+        sequence, offset, _ = sequences(table.column(at).to_pylist(), size)
+        arrays = [*table.columns[: len(columns)], pa.array(sequence + first), pa.array(offset)]
+        yield from pa.Table.from_arrays(arrays, names=[*columns, "__sequence", "__offset"]).to_batches(10_000)
+
+    spread = rest.repartition(groups, "__item").sortWithinPartitions("__item")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    packed = map_batches(spread, work, f"{schema}, __sequence long, __offset long")
+    return packed.unionByName(alone.select(packed.columns))
