@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, secret_scan, token_counts
+from . import line_dedup, packing, quality_rules, secret_scan, token_counts, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenized_pieces(docs, ranks, public_tokenizers.PATTERN, end_id=2, size=1024)
     packed = packing.pack(pieces, size=1024)
     return packed.withColumnsRenamed({"__sequence": "sequence_id", "__offset": "offset"})
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_round_trip(table(spark, sf_dir, "pages"), min_payload=0)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
