@@ -5,12 +5,16 @@ Column names that begin with two underscores are reserved for the operators; all
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
 # White space of the text contracts, as characters and as the inside of a regular-expression class.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -23,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def map_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
+    # Workers find this package where the driver does; on a cluster it is shipped with the job.
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
     return df.mapInArrow(work, schema)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, secret_scan, token_counts, warc
+from . import line_dedup, packing, quality_rules, secret_scan, token_counts, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_round_trip(table(spark, sf_dir, "pages"), min_payload=0)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        F.col("__id").alias("doc_id"),
+        F.col("__held_out").alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= 0.7).cast("int").alias("predicted"),
+    )
