@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, packing, quality_rules, secret_scan, token_counts, toxicity, warc
+from . import line_dedup, ngram_join, packing, quality_rules, secret_scan, token_counts, toxicity, vector_search, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = ngram_join.similar_groups(table(spark, sf_dir, "documents"), n=3, percent=90)
     return grouped.withColumnsRenamed({"__n_shingles": "n_shingles", "__component": "component_id"})
+
+
+@query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
