@@ -36,7 +36,7 @@ CALIBRATION_QUERIES = 256
 TARGET = 0.95
 # Vectors of one shard of a leaf; vectors of a bucket, which holds many shards; queries that a bucket compares at once.
 SHARD = 4096
-BUCKET = 32_768
+BUCKET = 8192
 BLOCK = 128
 # Spreads a leaf's shards and neighbouring leaves over the buckets.
 _STEP = 31
@@ -207,7 +207,8 @@ def search(
     visits = _calibrated(placed.where(is_query), placed, tree, k, calibration_queries, target)
     shards = {leaf: -(-n // SHARD) for leaf, n in sizes.items()}
 
-    buckets = max(partitions(spark), total // BUCKET + 1)
+    # By the vectors alone: a query leaves each bucket with its best few, so more buckets than they need are more rows.
+    buckets = total // BUCKET + 1
 
     def probe(batches):
         """A row for each query and bucket with leaves that the query visits."""
@@ -237,7 +238,7 @@ def search(
         "id", "vector", F.pmod(F.col("leaf") * _STEP + shard, F.lit(buckets)).alias("bucket"), F.array("leaf").alias("leaves")
     )
     rows = stored.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
-    dealt = rows.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "asks")
+    dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "asks")
 
     def compare(batches):
         at, held, whole = None, [], None
