@@ -32,25 +32,12 @@ from .common import map_batches, partitions, strings
 # Slots of the table of approximate document frequencies: 4 bytes each, whatever the corpus.
 ORDER_SLOTS = 1 << 20
 
-# Hashes of words that a worker remembers.
-_REMEMBERED = 500_000
 # N-grams that one fragment holds, all documents together: 16 MB.
 FRAGMENT = 1 << 21
 # Candidate documents up to this many are sent to the texts; more are joined by Spark's own choice.
 BROADCAST_IDS = 1_000_000
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_hashes = _WordHashes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -65,12 +52,13 @@ def shingle_set(text: str, n: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(words) < n:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     count = len(words) - n + 1
     mixed = hashes[:count]
     for k in range(1, n):
         mixed = _mix(mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[k : count + k])
-    return np.unique(mixed)
+    mixed = np.sort(mixed)
+    return mixed[np.append(True, mixed[1:] != mixed[:-1])]
 
 
 def _digest(shingles: np.ndarray) -> bytes | None:
@@ -122,25 +110,54 @@ def _frequencies(survey: DataFrame) -> np.ndarray:
     return table
 
 
-def _prefix_lists(docs: DataFrame, nodes: DataFrame, frequencies: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(``list``, ``id``, ``size``): representatives that share an n-gram of their prefixes, two or more to a list.
+def _bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the n-grams in each slot; a power of two of slots, the n-grams' number at least."""
+    bits = max(6, (len(shingles) - 1).bit_length())
+    slots = (shingles >> np.uint64(64 - bits)).astype(np.int64)
+    return (np.bincount(slots, minlength=1 << bits) & 1).astype(np.uint8)
 
-    N-grams whose lists have the same members share one list.
-    """
+
+def most_shared(x: np.ndarray, y: np.ndarray, sizes: int) -> int:
+    """An upper bound of what two sets share, from their bitmaps and the sum of their sizes; the longer bitmap is folded."""
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[0::2] ^ x[1::2]
+    return (sizes - int((x ^ y).sum())) // 2
+
+
+def _prefixes(docs: DataFrame, nodes: DataFrame, frequencies: np.ndarray, n: int, percent: int) -> DataFrame:
+    """(``id``, ``size``, ``prefix``, ``bits``) of each representative."""
     sent = docs.sparkSession.sparkContext.broadcast(frequencies)
 
-    def prefixes(batches):
-        table = sent.value
+    def work(batches):
+        table = np.minimum(sent.value, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
         for batch in batches:
-            digests, packed = [], []
+            digests, packed, bits = [], [], []
             for text in strings(batch.column(1)):
                 own = shingle_set(text, n)
-                length = len(own) - (percent * len(own) + 99) // 100 + 1 if len(own) else 0
-                rare = np.lexsort((own, table[(own >> _SLOT_SHIFT).astype(np.int64)]))[:length]
                 digests.append(_digest(own))
-                packed.append(own[rare].view(np.int64))
-            arrays = [batch.column(0), pa.array(digests, pa.binary()), pa.array(packed, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["__id", "__set", "__prefix"])
+                if not len(own):
+                    packed.append(own.view(np.int64)), bits.append(b"")
+                    continue
+                length = len(own) - (percent * len(own) + 99) // 100 + 1
+                order = table[(own >> _SLOT_SHIFT).astype(np.int64)] | (own >> np.uint64(24))
+                # Equals of the last one belong to it too: a longer prefix loses nothing.
+                packed.append(own[order <= np.partition(order, length - 1)[length - 1]].view(np.int64))
+                bits.append(np.packbits(_bitmap(own)).tobytes())
+            arrays = [batch.column(0), pa.array(digests, pa.binary()), pa.array(packed, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["__id", "__set", "prefix", "bits"])
+
+    found = map_batches(docs, work, "__id long, __set binary, prefix array<long>, bits binary")
+    own = found.join(nodes, ["__id", "__set"]).dropDuplicates(["__id", "__set"])
+    return own.select(F.col("__id").alias("id"), F.col("__size").alias("size"), "prefix", "bits")
+
+
+def _prefix_lists(own: DataFrame) -> DataFrame:
+    """(``list``, ``id``, ``size``): representatives that share an n-gram of their prefixes, two or more to a list.
+
+    N-grams whose lists have the same members share one list.
+    """
 
     def lists(batches):
         left = [np.zeros(0, np.int64)] * 3
@@ -164,13 +181,27 @@ def _prefix_lists(docs: DataFrame, nodes: DataFrame, frequencies: np.ndarray, n:
             key = np.repeat(np.array(keys, np.uint64).view(np.int64), ends - starts)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(columns[1][at]), pa.array(columns[2][at])], names=["list", "id", "size"])
 
-    found = map_batches(docs, prefixes, "__id long, __set binary, __prefix array<long>")
-    own = found.join(nodes, ["__id", "__set"]).groupBy("__id", "__set", "__size").agg(F.first("__prefix").alias("__prefix"))
-    grams = own.select(F.explode("__prefix").alias("gram"), F.col("__id").alias("id"), F.col("__size").alias("size"))
-    ordered = grams.repartition(partitions(docs.sparkSession), "gram").sortWithinPartitions("gram", "id")
+    grams = own.select(F.explode("prefix").alias("gram"), "id", "size")
+    ordered = grams.repartition(partitions(own.sparkSession), "gram").sortWithinPartitions("gram", "id")
     return map_batches(ordered, lists, "list long, id long, size long").distinct()
 
 
+def _bounded(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``, ``sa``, ``sb``) with ``most``, an upper bound of what they share."""
+
+    def work(batches):
+        for batch in batches:
+            most = []
+            for sa, sb, x, y in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+                x, y = (np.unpackbits(np.frombuffer(bits, np.uint8)) for bits in (x, y))
+                most.append(most_shared(x, y, sa + sb))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(most, pa.int64())], names=["a", "b", "sa", "sb", "most"])
+
+    for side in ("a", "b"):
+        pairs = pairs.join(own.select(F.col("id").alias(side), F.col("bits").alias(f"x{side}")), side)
+    return map_batches(pairs.select("a", "b", "sa", "sb", "xa", "xb"), work, "a long, b long, sa long, sb long, most long")
+
+
 def _fragments(docs: DataFrame, nodes: DataFrame, ids: DataFrame, n: int, fragments: int) -> DataFrame:
     """Sets of the given representatives, cut at ``fragments`` - 1 places of the n-gram order."""
     small = ids.count() <= BROADCAST_IDS
@@ -197,9 +228,8 @@ def _fragments(docs: DataFrame, nodes: DataFrame, ids: DataFrame, n: int, fragme
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame, fragments: int) -> DataFrame:
-    """Pairs (``a``, ``b``, ``sa``, ``sb``) with ``distance`` (1 - Jaccard): partial overlaps by fragment, summed."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct()
-    needed = sets.join(ids, "a", "left_semi").select("part", "a", F.lit(None).cast("long").alias("b"), "grams")
+    """Pairs (``a``, ``b``, ``sa``, ``sb``) with ``n``, what they share: partial overlaps by fragment, summed."""
+    needed = sets.select("part", "a", F.lit(None).cast("long").alias("b"), "grams")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(fragments - 1).cast("long")))
     asked = pairs.select(every.alias("part"), "a", "b", F.lit(None).cast("binary").alias("grams"))
     rows = needed.union(asked).repartition(fragments, "part").sortWithinPartitions("part", F.col("b").isNotNull())
@@ -225,9 +255,7 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, fragments: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["a", "b", "n"])
 
     summed = map_batches(rows, count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    tested = pairs.join(summed, ["a", "b"], "left").withColumn("union", F.col("sa") + F.col("sb") - n)
-    return tested.select("a", "b", n.alias("n"), "union", (1 - n / F.col("union")).alias("distance"))
+    return pairs.join(summed, ["a", "b"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -291,7 +319,7 @@ def _rest_of_lists(percent: int):
             yield from pairs(left)
 
     def pairs(table):
-        keys, ids, sizes, own, d1, d2 = (c.to_numpy() for c in table.columns)
+        keys, ids, sizes, own, *bounds = (c.to_numpy() for c in table.columns)
         starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else []
         for s, e in zip(starts, [*starts[1:], len(keys)]):
             groups, place, members = np.unique(own[s:e], return_inverse=True, return_counts=True)
@@ -303,8 +331,8 @@ def _rest_of_lists(percent: int):
                 at = s + i
                 ok = (own[s:e] != own[at]) & (late > i)
                 ok &= 100 * np.minimum(sizes[s:e], sizes[at]) >= percent * np.maximum(sizes[s:e], sizes[at])
-                for d in (d1, d2):
-                    ok &= ~(np.abs(d[s:e] - d[at]) > reach)
+                for low, high in (bounds[:2], bounds[2:]):
+                    ok &= ~(low[s:e] - high[at] > reach) & ~(low[at] - high[s:e] > reach)
                 hits = s + np.flatnonzero(ok)
                 if len(hits):
                     swap = ids[hits] < ids[at]
@@ -333,8 +361,8 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str =
     classes = stage(classes, "shingle-classes")
     nodes = stage(classes.groupBy("__id").agg(chosen).select("__id", F.col("__c.__set"), F.col("__c.__size")), "nodes")
 
-    lists = stage(_prefix_lists(bare, nodes, _frequencies(survey), n, percent), "prefix-lists")
-    joined = _linked(bare, nodes, lists, n, percent)
+    own = stage(_prefixes(bare, nodes, _frequencies(survey), n, percent), "prefixes")
+    joined = _linked(bare, nodes, own, stage(_prefix_lists(own), "prefix-lists"), n, percent)
     found = info.join(classes.select("__set", F.col("__id").alias("__rep")), "__set", "left")
     found = found.join(joined.select(F.col("id").alias("__rep"), "component"), "__rep", "left")
     return found.select(
@@ -344,54 +372,66 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str =
     )
 
 
-def _linked(docs: DataFrame, nodes: DataFrame, lists: DataFrame, n: int, percent: int) -> DataFrame:
+def _linked(docs: DataFrame, nodes: DataFrame, own: DataFrame, lists: DataFrame, n: int, percent: int) -> DataFrame:
     """Components of the representatives that link with others."""
     reach = 1 - percent / 100 + 1e-9
-    first = lists.groupBy("list").agg(F.min(F.struct("id", "size")).alias("l1"))
-    columns, possible = _pair("l1", percent)
-    pairs = stage(lists.join(first, "list").where(possible & (F.col("l1.id") != F.col("id"))).select(*columns).distinct(), "pairs")
-    ids = stage(lists.select("id").distinct(), "listed")
-    total = nodes.join(ids, F.col("__id") == F.col("id"), "left_semi").agg(F.sum("__size")).first()[0] or 0
-    fragments = 1 + total // FRAGMENT
-    sets = stage(_fragments(docs, nodes, ids, n, fragments), "fragments")
+    jaccard = F.col("n") / (F.col("sa") + F.col("sb") - F.col("n"))
 
     def tested(pairs: DataFrame) -> DataFrame:
-        return stage(_overlaps(pairs, sets, fragments), "tested")
+        """Pairs with bounds of their distance (1 - Jaccard), equal where it was counted, and whether they link."""
+        bounded = stage(_bounded(pairs, own), "bounded")
+        passes = 100 * F.col("most") >= percent * (F.col("sa") + F.col("sb") - F.col("most"))
+        asked = stage(bounded.where(passes).drop("most"), "asked")
+        ids = stage(asked.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked-ids")
+        total = own.join(ids, "id", "left_semi").agg(F.sum("size")).first()[0] or 0
+        fragments = 1 + total // FRAGMENT
+        exact = _overlaps(asked, _fragments(docs, nodes, ids, n, fragments), fragments)
+        link = 100 * F.col("n") >= percent * (F.col("sa") + F.col("sb") - F.col("n"))
+        counted = exact.select("a", "b", (1 - jaccard).alias("low"), (1 - jaccard).alias("high"), link.alias("link"))
+        least = 1 - F.col("most") / (F.col("sa") + F.col("sb") - F.col("most"))
+        refused = bounded.where(~passes).select("a", "b", least.alias("low"), F.lit(1.0).alias("high"), F.lit(False).alias("link"))
+        return stage(counted.union(refused), "tested")
 
     def linking(tests: DataFrame) -> DataFrame:
-        return tests.where(100 * F.col("n") >= percent * F.col("union")).select("a", "b")
+        return tests.where("link").select("a", "b")
 
-    def with_distance(members: DataFrame, tests: DataFrame, leader: str, name: str) -> DataFrame:
-        """A member's distance to a leader of its list, null where it was not tested."""
-        told = tests.select("a", "b", F.col("distance").alias("__d"))
+    def with_distance(members: DataFrame, tests: DataFrame, leader: str, tag: str) -> DataFrame:
+        """Bounds of a member's distance to a leader of its list, null where it was not tested."""
+        told = tests.select("a", "b", "low", "high")
         keyed = members.withColumns({"a": F.least(f"{leader}.id", "id"), "b": F.greatest(f"{leader}.id", "id")})
-        near = F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(F.col("__d"))
-        return keyed.join(told, ["a", "b"], "left").withColumn(name, near).drop("a", "b", "__d")
+        itself = F.when(F.col("a") == F.col("b"), F.lit(0.0))
+        bounds = {f"{side}{tag}": itself.otherwise(F.col(side)) for side in ("low", "high")}
+        return keyed.join(told, ["a", "b"], "left").withColumns(bounds).drop("a", "b", "low", "high")
 
     def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-        own = members.drop("c").join(components(links), "id", "left")
-        return own.withColumn("c", F.coalesce("component", "id")).drop("component")
+        found = members.drop("c").join(components(links), "id", "left")
+        return found.withColumn("c", F.coalesce("component", "id")).drop("component")
 
     def open_lists(members: DataFrame) -> DataFrame:
-        span = members.groupBy("list").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-        return members.join(span.where("lo < hi").select("list"), "list", "left_semi")
+        span = members.groupBy("list").agg(F.min("c").alias("least"), F.max("c").alias("most"))
+        return members.join(span.where("least < most").select("list"), "list", "left_semi")
 
+    first = lists.groupBy("list").agg(F.min(F.struct("id", "size")).alias("l1"))
+    columns, possible = _pair("l1", percent)
+    pairs = stage(lists.join(first, "list").where(possible & (F.col("l1.id") != F.col("id"))).select(*columns).distinct(), "pairs")
     tests1 = tested(pairs)
     links = linking(tests1)
-    members = stage(with_distance(open_lists(labelled(lists, links)).join(first, "list"), tests1, "l1", "d1"), "members")
+    members = stage(with_distance(open_lists(labelled(lists, links)).join(first, "list"), tests1, "l1", "1"), "members")
 
     # The second leader is the first member outside the first leader's component.
     led = members.groupBy("list").agg(F.min_by("c", "id").alias("c1"))
-    second = members.join(led, "list").where("c <> c1").groupBy("list").agg(F.min(F.struct("id", "size", "c", "d1")).alias("l2"))
+    facts = F.struct("id", "size", "c", "low1", "high1")
+    second = members.join(led, "list").where("c <> c1").groupBy("list").agg(F.min(facts).alias("l2"))
     columns, possible = _pair("l2", percent)
-    apart = F.abs(F.col("d1") - F.col("l2.d1")) > reach
+    apart = (F.col("low1") - F.col("l2.high1") > reach) | (F.col("l2.low1") - F.col("high1") > reach)
     asked = members.join(second, "list").where(possible & (F.col("c") != F.col("l2.c")) & ~F.coalesce(apart, F.lit(False)))
     tests2 = tested(stage(asked.select(*columns).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs"))
     links = links.union(linking(tests2))
 
     again = open_lists(labelled(members, links)).join(second, "list")
-    again = with_distance(again, tests1.union(tests2), "l2", "d2")
-    ordered = again.select("list", "id", "size", "c", "d1", "d2").repartition("list").sortWithinPartitions("list", "id")
+    again = with_distance(again, tests1.union(tests2), "l2", "2")
+    numbers = ["list", "id", "size", "c", "low1", "high1", "low2", "high2"]
+    ordered = again.select(numbers).repartition("list").sortWithinPartitions("list", "id")
     rest = map_batches(ordered, _rest_of_lists(percent), "a long, b long, sa long, sb long").distinct()
     done = pairs.select("a", "b").union(tests2.select("a", "b"))
     tests3 = tested(stage(rest.join(done, ["a", "b"], "left_anti"), "pairs"))
