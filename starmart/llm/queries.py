@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, packing, quality_rules, secret_scan, token_counts, toxicity, vector_search, warc
+from . import bpe, line_dedup, ngram_join, packing, quality_rules, secret_scan, token_counts, toxicity, vector_search, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,16 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@query
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decimal = F.array_join(F.col("__ids").cast("array<string>"), " ")
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("__ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("__bytes", 256).alias("decoded_sha256"),
+    )
