@@ -372,6 +372,15 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str =
     )
 
 
+def one_of_each_group(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each group: that of the smallest id. Rows without an id all stay."""
+    grouped = similar_groups(docs, n, percent, id_col, text_col)
+    kept = grouped.where(F.col(id_col) == F.col("__component")).select(F.col(id_col).alias("__kept")).distinct()
+    known = docs.where(F.col(id_col).isNotNull())
+    chosen = known.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    return chosen.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def _linked(docs: DataFrame, nodes: DataFrame, own: DataFrame, lists: DataFrame, n: int, percent: int) -> DataFrame:
     """Components of the representatives that link with others."""
     reach = 1 - percent / 100 + 1e-9

@@ -95,7 +95,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_toxicity(docs, toxicity.fit_scorer(docs, table(spark, sf_dir, "labels")))
     return scored.select(
         F.col("__id").alias("doc_id"),
         F.col("__held_out").alias("held_out"),

@@ -287,19 +287,19 @@ def learn(train: DataFrame, rare: float = RARE, discount: float = DISCOUNT) -> M
     return Model(words, ratio, follows[0] - follows[1], keys, added[0] - added[1])
 
 
-def raw_scores(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
-    """(``__id``, ``__words``, ``__pairs``) of every row; no shuffle."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+@dataclass
+class Scorer:
+    """A model and the weights of its two raw scores and a constant."""
 
-    def work(batches):
-        ids = _Ids(sent.value.words)
-        for batch in batches:
-            raw = np.array([sent.value.raw_score(_ids(text, ids)) for text in strings(batch.column(1))]).reshape(-1, 2)
-            arrays = [batch.column(0), *(pa.array(np.ascontiguousarray(part)) for part in raw.T)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["__id", "__words", "__pairs"])
+    model: Model
+    weights: np.ndarray
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), work, f"__id {kind}, __words double, __pairs double")
+    def raw(self, texts: list[str], ids: _Ids) -> np.ndarray:
+        return np.array([self.model.raw_score(_ids(text, ids)) for text in texts], float).reshape(-1, 2)
+
+    def scores(self, texts: list[str], ids: _Ids) -> np.ndarray:
+        scale = self.raw(texts, ids) @ self.weights[:2] + self.weights[2]
+        return 1 / (1 + np.exp(-np.clip(scale, -700, 700)))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
@@ -319,25 +319,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
     return np.append(own, w[-1] - own @ mean)
 
 
-def score_toxicity(
+def fit_scorer(
     docs: DataFrame,
     labels: DataFrame,
-    train_docs: DataFrame | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
     rare: float = RARE,
     calibration_rows: int = CALIBRATION_ROWS,
     broadcast_labels: int = BROADCAST_LABELS,
-) -> DataFrame:
-    """``__id``, ``__held_out`` and ``__score`` (0 to 1, higher: toxic likelier) of every row of ``docs``.
+) -> Scorer:
+    """A scorer learned from labelled rows of ``docs`` that are not held out.
 
-    Labels are learned from rows of ``train_docs`` (``docs`` if not given) that are not held out. Null and empty texts have no
-    words and get the score of raw scores of 0. Labels other than 0 and 1 are not used; an id with both is toxic; a
-    null id is scored and never trains. Repeated rows are scored each. Without labels of both classes every score is 0.5.
-    Extra columns are left behind.
+    Labels other than 0 and 1 are not used; an id with both is toxic; a null id never trains. Without labels of both classes
+    among the calibrating rows every score is 0.5.
     """
-    train_docs = docs if train_docs is None else train_docs
     known = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("__id"))
@@ -345,19 +341,58 @@ def score_toxicity(
     )
     known = stage(known, "toxic-labels")
     small = known.count() <= broadcast_labels
-    texts = train_docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    texts = docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     calibrates = F.pmod(F.xxhash64("__id"), F.lit(CALIBRATION_SHARE)) == 0
     counted = known.where(~calibrates)
     train = texts.join(F.broadcast(counted) if small else counted, "__id").select("__text", "__label")
     model = learn(train, rare)
-    raw = stage(raw_scores(docs, model, id_col, text_col), "raw-toxicity")
+
     sample = known.where(calibrates).orderBy(F.xxhash64("__id"), "__id").limit(calibration_rows)
-    source = raw if train_docs is docs else raw_scores(train_docs, model, id_col, text_col)
-    columns = ["__words", "__pairs"]
-    fitted = source.join(F.broadcast(sample), "__id").select(*columns, "__label").limit(calibration_rows).collect()
+    chosen = texts.join(F.broadcast(sample), "__id").select("__text", "__label")
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model, np.zeros(3)))
+
+    def work(batches):
+        ids = _Ids(sent.value.model.words)
+        for batch in batches:
+            raw = sent.value.raw(strings(batch.column(0)), ids).T
+            columns = [*(pa.array(np.ascontiguousarray(part)) for part in raw), batch.column(1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["words", "pairs", "label"])
+
+    # Repeated rows of an id may make more than the sample's rows.
+    fitted = map_batches(chosen, work, "words double, pairs double, label int").limit(calibration_rows).collect()
     rows = np.array([tuple(r) for r in fitted], float).reshape(-1, 3)
     both = 0 < rows[:, 2].sum() < len(rows)
-    weights = [float(w) for w in (fit_logistic(rows[:, :2], rows[:, 2]) if both else np.zeros(3))]
-    scale = F.lit(weights[0]) * F.col(columns[0]) + F.lit(weights[1]) * F.col(columns[1]) + F.lit(weights[2])
-    score = 1 / (1 + F.exp(-scale))
-    return raw.select("__id", held_out(F.col("__id")).alias("__held_out"), score.alias("__score"))
+    return Scorer(model, fit_logistic(rows[:, :2], rows[:, 2]) if both else np.zeros(3))
+
+
+def score_toxicity(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``__id``, ``__held_out`` and ``__score`` (0 to 1, higher: toxic likelier) of every row; no shuffle.
+
+    Null and empty texts have no words and get the score of raw scores of 0. Repeated rows are scored each; extra columns are
+    left behind.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(scorer)
+
+    def work(batches):
+        ids = _Ids(sent.value.model.words)
+        for batch in batches:
+            scores = pa.array(sent.value.scores(strings(batch.column(1)), ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["__id", "__score"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    scored = map_batches(docs.select(id_col, text_col), work, f"__id {kind}, __score double")
+    return scored.select("__id", held_out(F.col("__id")).alias("__held_out"), "__score")
+
+
+def keep_ordinary(docs: DataFrame, scorer: Scorer, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, that score below ``threshold``; no shuffle. Null and empty texts stay."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(scorer), docs.columns.index(text_col)
+
+    def work(batches):
+        ids = _Ids(sent.value.model.words)
+        for batch in batches:
+            texts = strings(batch.column(at))
+            empty = np.array([not text for text in texts], bool)
+            yield batch.filter(pa.array((sent.value.scores(texts, ids) < threshold) | empty))
+
+    return map_batches(docs, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
