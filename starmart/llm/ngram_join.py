@@ -154,9 +154,9 @@ def _prefixes(docs: DataFrame, nodes: DataFrame, frequencies: np.ndarray, n: int
 
 
 def _prefix_lists(own: DataFrame) -> DataFrame:
-    """(``list``, ``id``, ``size``): representatives that share an n-gram of their prefixes, two or more to a list.
+    """(``list``, ``id``, ``size``, ``grams``): representatives that share n-grams of their prefixes, two or more to a list.
 
-    N-grams whose lists have the same members share one list.
+    N-grams whose lists have the same members share one list; ``grams`` is how many they are.
     """
 
     def lists(batches):
@@ -183,7 +183,50 @@ def _prefix_lists(own: DataFrame) -> DataFrame:
 
     grams = own.select(F.explode("prefix").alias("gram"), "id", "size")
     ordered = grams.repartition(partitions(own.sparkSession), "gram").sortWithinPartitions("gram", "id")
-    return map_batches(ordered, lists, "list long, id long, size long").distinct()
+    found = map_batches(ordered, lists, "list long, id long, size long")
+    return found.groupBy("list", "id", "size").agg(F.count(F.lit(1)).alias("grams"))
+
+
+def _linkable(lists: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """(``list``, ``id``, ``size``, ``common``): members that may link with another of their list.
+
+    N-grams of a prefix that no other set has can't be shared: without them ``common`` n-grams are left, and no overlap is larger.
+    So a member needs another one in its list of a size that such an overlap allows.
+    """
+    shared = lists.groupBy("id").agg(F.sum("grams").alias("shared"))
+    common = own.join(shared, "id").select("id", (F.col("size") - F.size("prefix") + F.col("shared")).alias("common"))
+    rows = lists.join(common, "id").select("list", "id", "size", "common")
+
+    def work(batches):
+        left = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if left is None else pa.concat_tables([left, table])
+            keys = table.column(0).to_numpy()
+            last = int(np.searchsorted(keys, keys[-1]))
+            left = table.slice(last)
+            yield from kept(table.slice(0, last))
+        if left is not None:
+            yield from kept(left)
+
+    def kept(table):
+        keys, _, sizes, common = (c.to_numpy() for c in table.columns)
+        least = (percent * sizes + 99) // 100
+        most = (100 + percent) * common // percent - sizes
+        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else []
+        chosen = []
+        for s, e in zip(starts, [*starts[1:], len(keys)]):
+            own = sizes[s:e]
+            # Sizes are sorted; a member itself lies between its bounds or beyond the upper one.
+            fits = np.searchsorted(own, most[s:e], "right") - np.searchsorted(own, least[s:e])
+            hits = np.flatnonzero(fits - (own <= most[s:e]) > 0)
+            if len(hits) > 1:
+                chosen.append(s + hits)
+        if chosen:
+            yield from table.take(pa.array(np.concatenate(chosen))).combine_chunks().to_batches()
+
+    ordered = rows.repartition("list").sortWithinPartitions("list", "size", "id")
+    return map_batches(ordered, work, "list long, id long, size long, common long")
 
 
 def _bounded(pairs: DataFrame, own: DataFrame) -> DataFrame:
@@ -289,9 +332,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _pair(leader: str, percent: int):
-    """The pair of a leader and a member, smaller id first, and whether their sizes allow a link."""
-    small = F.least(f"{leader}.size", "size")
-    large = F.greatest(f"{leader}.size", "size")
+    """The pair of a leader and a member, smaller id first, and whether sizes and common n-grams allow a link."""
+    small, large = F.least(f"{leader}.size", "size"), F.greatest(f"{leader}.size", "size")
     first = F.col(f"{leader}.id") < F.col("id")
     columns = [
         F.least(f"{leader}.id", "id").alias("a"),
@@ -299,11 +341,34 @@ def _pair(leader: str, percent: int):
         F.when(first, F.col(f"{leader}.size")).otherwise(F.col("size")).alias("sa"),
         F.when(first, F.col("size")).otherwise(F.col(f"{leader}.size")).alias("sb"),
     ]
-    return columns, 100 * small >= percent * large
+    overlap = (100 + percent) * F.least(f"{leader}.common", "common") >= percent * (small + large)
+    return columns, (100 * small >= percent * large) & overlap
+
+
+def _by_length(bits: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Bitmaps as matrices, one for each length, with the places of their rows."""
+    places: dict[int, list[int]] = {}
+    for i, data in enumerate(bits):
+        places.setdefault(8 * len(data), []).append(i)
+    unpack = lambda at: np.unpackbits(np.frombuffer(b"".join(bits[i] for i in at), np.uint8)).reshape(len(at), -1)
+    return {length: (np.array(at), unpack(at)) for length, at in places.items()}
+
+
+def _differing(one: np.ndarray, lengths: dict[int, tuple[np.ndarray, np.ndarray]], count: int) -> np.ndarray:
+    """Bits that one bitmap and each other differ in, at the shorter one's length."""
+    found = np.zeros(count, np.int64)
+    for length, (at, others) in lengths.items():
+        mine = one
+        while len(mine) > length:
+            mine = mine[0::2] ^ mine[1::2]
+        while others.shape[1] > len(mine):
+            others = others[:, 0::2] ^ others[:, 1::2]
+        found[at] = (others ^ mine).sum(axis=1)
+    return found
 
 
 def _rest_of_lists(percent: int):
-    """Pairs of a list that two leaders leave open: other component, sizes that allow a link, distances that do."""
+    """Pairs of a list that two leaders leave open and that pass every filter: component, size, distance, bitmap."""
     reach = 1 - percent / 100 + 1e-9
 
     def work(batches):
@@ -319,25 +384,34 @@ def _rest_of_lists(percent: int):
             yield from pairs(left)
 
     def pairs(table):
-        keys, ids, sizes, own, *bounds = (c.to_numpy() for c in table.columns)
+        keys = table.column(0).to_numpy()
         starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else []
         for s, e in zip(starts, [*starts[1:], len(keys)]):
-            groups, place, members = np.unique(own[s:e], return_inverse=True, return_counts=True)
+            part = table.slice(s, e - s)
+            ids, sizes, common, own, *bounds = (part.column(i).to_numpy() for i in range(1, 9))
+            maps = [bytes(b) for b in part.column(9).to_pylist()]
+            _, place, members = np.unique(own, return_inverse=True, return_counts=True)
             outside = np.flatnonzero(place != members.argmax())
             # Members outside the largest component meet all others; two of them meet once.
             late = np.full(e - s, e - s)
             late[outside] = outside
+            lengths = _by_length(maps)
             for i in outside:
-                at = s + i
-                ok = (own[s:e] != own[at]) & (late > i)
-                ok &= 100 * np.minimum(sizes[s:e], sizes[at]) >= percent * np.maximum(sizes[s:e], sizes[at])
+                both = sizes + sizes[i]
+                ok = (own != own[i]) & (late > i)
+                ok &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
+                ok &= (100 + percent) * np.minimum(common, common[i]) >= percent * both
                 for low, high in (bounds[:2], bounds[2:]):
-                    ok &= ~(low[s:e] - high[at] > reach) & ~(low[at] - high[s:e] > reach)
-                hits = s + np.flatnonzero(ok)
+                    ok &= ~(low - high[i] > reach) & ~(low[i] - high > reach)
+                if not ok.any():
+                    continue
+                differ = _differing(np.unpackbits(np.frombuffer(maps[i], np.uint8)), lengths, e - s)
+                ok &= (100 + percent) * ((both - differ) // 2) >= percent * both
+                hits = np.flatnonzero(ok)
                 if len(hits):
-                    swap = ids[hits] < ids[at]
-                    columns = [np.where(swap, ids[hits], ids[at]), np.where(swap, ids[at], ids[hits])]
-                    columns += [np.where(swap, sizes[hits], sizes[at]), np.where(swap, sizes[at], sizes[hits])]
+                    swap = ids[hits] < ids[i]
+                    columns = [np.where(swap, ids[hits], ids[i]), np.where(swap, ids[i], ids[hits])]
+                    columns += [np.where(swap, sizes[hits], sizes[i]), np.where(swap, sizes[i], sizes[hits])]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "sa", "sb"])
 
     return work
@@ -362,7 +436,8 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str =
     nodes = stage(classes.groupBy("__id").agg(chosen).select("__id", F.col("__c.__set"), F.col("__c.__size")), "nodes")
 
     own = stage(_prefixes(bare, nodes, _frequencies(survey), n, percent), "prefixes")
-    joined = _linked(bare, nodes, own, stage(_prefix_lists(own), "prefix-lists"), n, percent)
+    lists = stage(_prefix_lists(own), "prefix-lists")
+    joined = _linked(bare, nodes, own, stage(_linkable(lists, own, percent), "linkable"), n, percent)
     found = info.join(classes.select("__set", F.col("__id").alias("__rep")), "__set", "left")
     found = found.join(joined.select(F.col("id").alias("__rep"), "component"), "__rep", "left")
     return found.select(
@@ -420,16 +495,18 @@ def _linked(docs: DataFrame, nodes: DataFrame, own: DataFrame, lists: DataFrame,
         span = members.groupBy("list").agg(F.min("c").alias("least"), F.max("c").alias("most"))
         return members.join(span.where("least < most").select("list"), "list", "left_semi")
 
-    first = lists.groupBy("list").agg(F.min(F.struct("id", "size")).alias("l1"))
+    # Leaders are members with few n-grams of their own: near the middle of a group of near copies, so they link with most of it.
+    alone = (F.col("size") - F.col("common")).alias("alone")
+    first = lists.groupBy("list").agg(F.min(F.struct(alone, "id", "size", "common")).alias("l1"))
     columns, possible = _pair("l1", percent)
     pairs = stage(lists.join(first, "list").where(possible & (F.col("l1.id") != F.col("id"))).select(*columns).distinct(), "pairs")
     tests1 = tested(pairs)
     links = linking(tests1)
     members = stage(with_distance(open_lists(labelled(lists, links)).join(first, "list"), tests1, "l1", "1"), "members")
 
-    # The second leader is the first member outside the first leader's component.
-    led = members.groupBy("list").agg(F.min_by("c", "id").alias("c1"))
-    facts = F.struct("id", "size", "c", "low1", "high1")
+    # The second leader is one outside the first leader's component.
+    led = members.where(F.col("id") == F.col("l1.id")).select("list", F.col("c").alias("c1"))
+    facts = F.struct(alone, "id", "size", "common", "c", "low1", "high1")
     second = members.join(led, "list").where("c <> c1").groupBy("list").agg(F.min(facts).alias("l2"))
     columns, possible = _pair("l2", percent)
     apart = (F.col("low1") - F.col("l2.high1") > reach) | (F.col("l2.low1") - F.col("high1") > reach)
@@ -439,8 +516,9 @@ def _linked(docs: DataFrame, nodes: DataFrame, own: DataFrame, lists: DataFrame,
 
     again = open_lists(labelled(members, links)).join(second, "list")
     again = with_distance(again, tests1.union(tests2), "l2", "2")
-    numbers = ["list", "id", "size", "c", "low1", "high1", "low2", "high2"]
-    ordered = again.select(numbers).repartition("list").sortWithinPartitions("list", "id")
+    numbers = ["list", "id", "size", "common", "c", "low1", "high1", "low2", "high2"]
+    again = again.join(own.select("id", "bits"), "id").select(*numbers, "bits")
+    ordered = again.repartition("list").sortWithinPartitions("list", "id")
     rest = map_batches(ordered, _rest_of_lists(percent), "a long, b long, sa long, sb long").distinct()
     done = pairs.select("a", "b").union(tests2.select("a", "b"))
     tests3 = tested(stage(rest.join(done, ["a", "b"], "left_anti"), "pairs"))
