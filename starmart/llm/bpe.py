@@ -11,6 +11,8 @@ Positions are written once, with the words, to the shared folder: a lost executo
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -25,7 +27,7 @@ from .byte_bpe import encoding, ranks
 from .common import map_batches, partitions, strings
 
 # Code points of the documents of one block, about.
-BLOCK = 12 << 20
+BLOCK = 16 << 20
 # Tokens of the documents in one batch that leaves a task.
 OUT_TOKENS = 1 << 20
 
@@ -49,12 +51,17 @@ _ONE, _TWO, _THREE = 192, 56 << 8, 7 << 16
 
 def _pack_numbers(numbers: np.ndarray) -> bytes:
     """Variable-length numbers, first bytes and the others in streams of their own, each compressed."""
-    x = numbers.astype(np.int64)
-    two, three = x - _ONE, x - _ONE - _TWO
-    kind = (two >= 0).astype(int) + (three >= 0) + (three >= _THREE)
-    first = np.choose(kind, [x, 192 + (two >> 8), 248 + (three >> 16), 255]).astype(np.uint8)
-    low = np.where(kind == 1, two, three)[(kind == 1) | (kind == 2)].astype(np.uint8)
-    middle = (three[kind == 2] >> 8).astype(np.uint8)
+    x = numbers.astype(np.uint32)
+    kind = (x >= _ONE).astype(np.uint8) + (x >= _ONE + _TWO) + (x >= _ONE + _TWO + _THREE)
+    first = x.astype(np.uint8)
+    low = x.copy()
+    for k, base in ((1, _ONE), (2, _ONE + _TWO)):
+        at = kind == k
+        low[at] -= base
+        first[at] = (192 + (low[at] >> 8)) if k == 1 else (248 + (low[at] >> 16))
+    first[kind == 3] = 255
+    middle = (low[kind == 2] >> 8).astype(np.uint8)
+    low = low[(kind == 1) | (kind == 2)].astype(np.uint8)
     return _pack_lists([part.tobytes() for part in (first, low, middle, x[kind == 3].astype("<u4"))], compress=True)
 
 
@@ -75,7 +82,7 @@ def _pack_lists(items: list[bytes], compress: bool = False) -> bytes:
     items = [zstandard.compress(item, 3) for item in items] if compress else items
     lengths = np.fromiter(map(len, items), "<u4", len(items))
     data = np.array([len(items)], "<u4").tobytes() + lengths.tobytes() + b"".join(items)
-    return data if compress else zstandard.compress(data, 3)
+    return data if compress else zstandard.compress(data, 9)
 
 
 def _unpack_lists(packed: bytes, compressed: bool = False) -> list[bytes]:
@@ -151,8 +158,11 @@ def _answers(blocks: DataFrame, rank_path: str, pattern: str, parts: int) -> Dat
                 words = _unpack_lists(data)
                 for word in words:
                     if word not in known:
-                        known[word] = np.array(encode(word.decode()), "<u4").tobytes()
-                out.append(_pack_lists([known[word] for word in words]))
+                        known[word] = encode(word.decode())
+                ids = [known[word] for word in words]
+                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter(chain.from_iterable(ids), np.int64)
+                out.append(_pack_lists([_pack_numbers(lengths), _pack_numbers(flat)]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], names=["block", "bucket", "data"])
 
     words = blocks.where(F.col("bucket") >= 0).select("block", "bucket", "data")
@@ -210,15 +220,18 @@ def encode(
 
 
 def _by_number(answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of a block's words, end to end in the order of their numbers: ids, starts and lengths."""
+    """Ids of a block's words: all ids, bucket after bucket, and starts and lengths by the numbers of the words."""
     own = _unpack_numbers(answers[_BUCKETS])
-    lists: list[bytes] = [b""] * len(own)
+    starts, lengths, ids, total = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), [np.zeros(0, np.int64)], 0
     for bucket, data in answers.items():
         if bucket >= 0:
-            for number, ids in zip(np.flatnonzero(own == bucket).tolist(), _unpack_lists(data), strict=True):
-                lists[number] = ids
-    lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-    return np.frombuffer(b"".join(lists), "<u4"), np.cumsum(lengths) - lengths, lengths
+            counts, flat = map(_unpack_numbers, _unpack_lists(data))
+            numbers = np.flatnonzero(own == bucket)
+            lengths[numbers] = counts
+            starts[numbers] = total + np.cumsum(counts) - counts
+            ids.append(flat)
+            total += len(flat)
+    return np.concatenate(ids), starts, lengths
 
 
 def _tokens(numbers: np.ndarray, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
