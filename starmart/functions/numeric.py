@@ -32,9 +32,12 @@ def round_stable(value: Column, digits: int) -> Column:
     """A double rounded half up, as double.
 
     The order in which rows are summed changes the last bits of a double and could flip a plain ``round`` near a
-    half. Ten decimals are kept before the rounding, so such noise is gone and every run gives the same figure.
+    half. Ten decimals are kept before the rounding, so such noise is gone and every run gives the same figure. A value too
+    large for that, or not finite, is rounded as it is. ``digits`` is at most 10.
     """
-    return F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    if digits > 10:
+        raise ValueError("round_stable keeps ten decimals")
+    return F.coalesce(F.round(value.try_cast("decimal(38,10)"), digits).cast("double"), F.round(value.cast("double"), digits))
 
 
 def guarded_ratio(top: Column, bottom: Column, digits: int | None = None) -> Column:

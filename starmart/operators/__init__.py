@@ -9,27 +9,25 @@ from .checks import (
     dq_report,
     enforce,
 )
-from .joins import attach_key, broadcast_if_small
+from .joins import attach_key
 from .leaders import leaders_per_group
 from .quantiles import exact_ntile, exact_percentiles
 from .ranks import rank_rows
-from .selection import order_statistics
-from .staged import scratch_path, shared_dir, stage
+from .staged import cleanup, scratch_path, shared_dir, stage
 
 __all__ = [
     "attach_key",
-    "broadcast_if_small",
     "check_columns",
     "check_freshness",
     "check_grain",
     "check_relationships",
     "check_unique",
+    "cleanup",
     "dq_report",
     "enforce",
     "exact_ntile",
     "exact_percentiles",
     "leaders_per_group",
-    "order_statistics",
     "rank_rows",
     "scratch_path",
     "shared_dir",

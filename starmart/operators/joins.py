@@ -6,18 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Most rows that are copied to every executor without Spark knowing their size.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when a count shows that it has at most ``rows`` rows, else ``df`` as it is.
-
-    For a filtered side, whose size Spark would take for that of the whole table.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def attach_key(fact: DataFrame, dim: DataFrame, natural: tuple[str, str], key: str) -> DataFrame:
     """Left join that adds the dimension's ``key``; ``natural`` is the (fact, dimension) pair of natural-key columns.
 

@@ -1,124 +1,72 @@
-"""Exact equal-count buckets and percentiles at any size.
+"""Exact equal-count buckets and percentiles, by one road at every size.
 
-Spark's ``ntile`` over an unpartitioned window sorts the whole input in one task, and ``percentile`` keeps every
-distinct value of a group in one buffer. Both are fine, and faster, for small inputs, so they are used when a count
-shows that the input, or the largest group, is small. Beyond that the rows that decide are
-looked up (``order_statistics``).
+Spark's ``ntile`` over an unpartitioned window sorts the whole input in one task, and ``percentile`` keeps every distinct value
+of a group in one buffer. Here all rows are sorted by range across the cluster instead (``rank_rows``), which splits a hot
+group, and a hot value, by the key; what is asked for then follows from positions. Neither the plan nor its
+cost depends on the number of buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ranks import rank_rows
-from .selection import SORTED_ROWS, order_statistics
+from .staged import stage
 
-# Largest group that one task may sort or hold.
-ONE_TASK_ROWS = 100_000
 
+def exact_ntile(df: DataFrame, buckets: int, value: str, key: Sequence[str], name: str) -> DataFrame:
+    """``ntile(buckets)`` over the whole frame by a value of any type that sorts and then the key, nulls last.
 
-def exact_ntile(
-    df: DataFrame,
-    buckets: int,
-    value: str,
-    key: Sequence[str],
-    name: str,
-    one_task_rows: int = ONE_TASK_ROWS,
-    sorted_rows: int = SORTED_ROWS,
-) -> DataFrame:
-    """``ntile(buckets)`` over the whole frame by a numeric value and then the key, nulls last.
-
-    More than ``one_task_rows`` rows are sorted by range, and more than ``sorted_rows`` are not sorted at all: the
-    first row of each bucket is looked up, and every row finds its bucket by comparison with these few. ``df`` is
-    read several times, so ``stage`` it first when it is costly to compute.
+    Rows that the key does not tell apart are put on either side of a border by chance. ``df`` is read several times, so
+    ``stage`` it first when it is costly to compute.
     """
-    order = [F.col(c).asc_nulls_last() for c in (value, *key)]
-    rows = df.count()
-    if rows <= one_task_rows:
-        return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)).cast("bigint"))
-    firsts = _first_rows(df, buckets, value, key, rows, sorted_rows) if rows > sorted_rows else None
-    if firsts is not None:
-        place = _comparable([F.col(c) for c in (value, *key)])
-        reached = [F.when(place >= _literal(df, row, (value, *key)), 1).otherwise(0) for row in firsts]
-        return df.withColumn(name, reduce(add, reached, F.lit(1)).cast("bigint"))
-
-    # Also for rows that the key does not tell apart and that lie on both sides of a border.
-    small, extra = divmod(rows, buckets)
+    ranked = rank_rows(df, [F.col(c).asc_nulls_last() for c in (value, *key)])
+    small, extra = F.expr(f"_total div {buckets}"), F.col("_total") % buckets
     in_large = extra * (small + 1)
-    bucket = F.expr(
-        f"""CASE WHEN _position < {in_large} THEN _position div {small + 1} + 1
-                 ELSE {extra} + (_position - {in_large}) div {max(small, 1)} + 1 END"""
-    )
-    ranked = rank_rows(df, order, rows=rows).withColumn("_bucket", bucket.cast("bigint"))
-    return ranked.select(*df.columns, F.col("_bucket").alias(name))
-
-
-def _first_rows(
-    df: DataFrame, buckets: int, value: str, key: Sequence[str], rows: int, sorted_rows: int
-) -> list[Row] | None:
-    """The first row of every bucket but the first; None if one looks like the row before it."""
-    small, extra = divmod(rows, buckets)
-    borders = [b * small + min(b, extra) for b in range(1, buckets)]
-    borders = [p for p in borders if p < rows]
-    wanted = [(p / rows, F.lit(p)) for border in borders for p in (border - 1, border)]
-    if not wanted:
-        return []
-    found = order_statistics(df, value, wanted, key=key, rows=rows, sorted_rows=sorted_rows)
-    found = found.collect()  # two rows per border
-    at = {row["i"]: tuple(row[c] for c in (value, *key)) for row in found}
-    if any(at[2 * b] == at[2 * b + 1] for b in range(len(borders))):
-        return None
-    return [row for row in found if row["i"] % 2 == 1]
-
-
-def _comparable(cells: Sequence[Column]) -> Column:
-    """A struct that compares like the sort order: nulls after values."""
-    parts = [part for cell in cells for part in (cell.isNull(), cell)]
-    return F.struct(*[part.alias(f"c{i}") for i, part in enumerate(parts)])
-
-
-def _literal(df: DataFrame, row: Row, columns: Sequence[str]) -> Column:
-    return _comparable([F.lit(row[c]).cast(df.schema[c].dataType) for c in columns])
+    bucket = F.when(
+        F.col("_position") < in_large, F.floor(F.col("_position") / (small + 1)) + 1
+    ).otherwise(extra + F.floor((F.col("_position") - in_large) / F.greatest(small, F.lit(1))) + 1)
+    return ranked.withColumn("_bucket", bucket.cast("bigint")).select(*df.columns, F.col("_bucket").alias(name))
 
 
 def exact_percentiles(
-    df: DataFrame,
-    value: str,
-    percentages: Mapping[str, float],
-    by: Sequence[str] = (),
-    key: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
-    sorted_rows: int = SORTED_ROWS,
+    df: DataFrame, value: str, percentages: Mapping[str, float], by: Sequence[str] = (), key: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact interpolated percentiles of a column, per group: ``by`` columns, ``n`` and one double per percentage.
+    """Exact interpolated percentiles of a numeric column, per group: ``by`` columns, ``n`` and one double per percentage.
 
     Null values are left out. ``key`` names columns that tell rows of equal value apart; it lets a value that fills
     much of a group spread over several partitions and does not change the result.
     """
+    if not isinstance(df.schema[value].dataType, T.NumericType):
+        raise TypeError(f"percentiles need a numeric column, {value} is {df.schema[value].dataType.simpleString()}")
     known = df.where(F.col(value).isNotNull()).select(*by, *key, F.col(value).cast("double").alias("_value"))
-    sizes = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    largest, rows, groups = sizes.agg(
-        F.coalesce(F.max("_rows"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))
-    ).first()
-    if largest <= one_task_rows:
-        listed = F.array(*[F.lit(p) for p in percentages.values()])
-        found = known.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.percentile("_value", listed).alias("_found"))
-        return found.select(*by, "n", *[F.col("_found")[i].alias(name) for i, name in enumerate(percentages)])
-
-    ranks = [F.lit(p) * (F.col("n") - 1) for p in percentages.values()]
-    wanted = [
-        (p, near(rank)) for p, rank in zip(percentages.values(), ranks, strict=True) for near in (F.floor, F.ceil)
+    ranked = rank_rows(known, [F.col(c).asc_nulls_last() for c in (*by, "_value", *key)], [*by, "_value"])
+
+    # A group's rows are neighbours, so its first position and its size tell where each wanted row is.
+    spans = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_position").alias("_first"))
+    ranks = {name: F.lit(p) * (F.col("_n") - 1) for name, p in percentages.items()}
+    wanted = [near(rank) for rank in ranks.values() for near in (F.floor, F.ceil)]
+    lines = [
+        F.struct(F.lit(i).alias("_i"), (F.col("_first") + at).cast("bigint").alias("_position"))
+        for i, at in enumerate(wanted)
     ]
-    neighbours = order_statistics(known, "_value", wanted, by, key, rows, groups, sorted_rows)
-    i, v = F.col("i"), F.col("_value")
-    interpolated = []
-    for j, (name, rank) in enumerate(zip(percentages, ranks, strict=True)):
-        share = rank - F.floor(rank)
-        part = F.when(i == 2 * j, (1 - share) * v).when(i == 2 * j + 1, share * v)
-        interpolated.append(F.sum(part).alias(name))
-    return neighbours.groupBy(*by, "n").agg(*interpolated)
+    # Two rows for each group and percentage, written: Spark sees their size and sends them to the ranked rows if it is small.
+    targets = stage(spans.select("_n", F.inline(F.array(*lines))), "targets")
+    found = ranked.join(targets, "_position")
+
+    def neighbour(i: int):
+        return F.max(F.when(F.col("_i") == i, F.col("_value")))
+
+    sides = [neighbour(i).alias(f"_v{i}") for i in range(len(wanted))]
+    grouped = found.groupBy(*by).agg(F.coalesce(F.max("_n"), F.lit(0)).alias("_n"), *sides)
+    columns = []
+    for j, (name, rank) in enumerate(ranks.items()):
+        low, high, share = F.col(f"_v{2 * j}"), F.col(f"_v{2 * j + 1}"), rank - F.floor(rank)
+        # The lower neighbour alone where nothing of the other is asked: 0 * Infinity is no number.
+        exact = (share == 0) | (low == high)
+        columns.append(F.when(exact, low).otherwise((1 - share) * low + share * high).alias(name))
+    return grouped.select(*by, F.col("_n").alias("n"), *columns)

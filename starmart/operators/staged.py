@@ -36,6 +36,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/starmart/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def cleanup(spark: SparkSession) -> None:
+    """Remove all that this application has staged. Frames that read staged tables can't be used afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/starmart/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh shared folder and return a reader of it."""
     spark = df.sparkSession

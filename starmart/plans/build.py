@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -94,22 +95,27 @@ def run(spark: SparkSession, landing: str, store: Store) -> dict[str, DataFrame]
     return star
 
 
-def answer(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The answers to all questions, by name; each is a handful of rows, but for the leaders."""
+def answer(star: Mapping[str, DataFrame], name: str | None = None) -> dict[str, DataFrame] | DataFrame:
+    """The answers to all questions by name, or one of them alone, without the jobs of the others.
+
+    Each is a handful of rows, but for the leaders.
+    """
     charges, readmissions = star["fact_inpatient_charges"], star["fact_readmissions"]
-    variation = questions.price_variation(charges, star["dim_drg"], star["dim_provider"])
-    markup = questions.markup_by_service_line(charges, star["dim_drg"])
-    hospitals = questions.provider_cost_quality(charges, readmissions)
-    quintiles, corr = questions.cost_vs_quality(hospitals), questions.cost_quality_corr(hospitals)
-    return {
-        "price_variation": variation,
+    hospitals = cache(lambda: questions.provider_cost_quality(charges, readmissions))
+    markup = cache(lambda: questions.markup_by_service_line(charges, star["dim_drg"]))
+    quintiles = cache(lambda: questions.cost_vs_quality(hospitals()))
+    answers = {
+        "price_variation": lambda: questions.price_variation(charges, star["dim_drg"], star["dim_provider"]),
         "markup_by_service_line": markup,
-        "markup_by_state": questions.markup_by_state(charges, star["dim_geography"]),
+        "markup_by_state": lambda: questions.markup_by_state(charges, star["dim_geography"]),
         "cost_vs_quality": quintiles,
-        "cost_quality_corr": corr,
-        "headline_metrics": questions.headline_metrics(corr, quintiles, markup),
-        "charge_leaders": questions.charge_leaders(charges),
+        "cost_quality_corr": lambda: questions.cost_quality_corr(hospitals()),
+        "headline_metrics": lambda: questions.headline_metrics(
+            questions.explained_variance(hospitals()), quintiles(), markup()
+        ),
+        "charge_leaders": lambda: questions.charge_leaders(charges),
     }
+    return {key: work() for key, work in answers.items()} if name is None else answers[name]()
 
 
 def save_answers(star: Mapping[str, DataFrame], folder: str) -> None:

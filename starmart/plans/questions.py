@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio, ratio_of_sums, round_stable, safe_corr
-from ..operators import broadcast_if_small, exact_ntile, exact_percentiles, leaders_per_group, stage
-from ..operators.quantiles import ONE_TASK_ROWS
+from ..operators import exact_ntile, exact_percentiles, leaders_per_group, stage
 
 
 def price_variation(
@@ -19,11 +18,10 @@ def price_variation(
     dim_drg: DataFrame,
     dim_provider: DataFrame,
     drg_code: str = "470",
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Spread of the average charge, and of the payment, over the hospitals of one diagnosis group. One row."""
-    # All rows of the fact that are left have one key: only a broadcast keeps them from meeting in one task.
-    group = broadcast_if_small(dim_drg.where(F.col("drg_code") == drg_code).select("drg_sk"))
+    # The dimension is a written table: its size decides whether Spark sends it to the fact, and else a hot key is split.
+    group = dim_drg.where(F.col("drg_code") == drg_code).select("drg_sk")
     # Equal keys mean equal codes: the repeated filter lets the scan of the fact skip other groups.
     prices = (
         charges.where(F.col("drg_code") == drg_code)
@@ -44,7 +42,7 @@ def price_variation(
         ),
     )
     shape = exact_percentiles(
-        measures, "price", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, ["measure"], ["provider_sk"], one_task_rows
+        measures, "price", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, ["measure"], ["provider_sk"]
     )
     ends = prices.agg(
         F.count(F.lit(1)).alias("n_hospitals"),
@@ -124,10 +122,10 @@ def provider_cost_quality(charges: DataFrame, readmissions: DataFrame) -> DataFr
     return stage(cost.join(quality, "provider_sk"), "cost-quality")
 
 
-def cost_vs_quality(hospitals: DataFrame, buckets: int = 5, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def cost_vs_quality(hospitals: DataFrame, buckets: int = 5) -> DataFrame:
     """Hospitals (``provider_cost_quality``) in equal-count buckets by payment, with the means of each bucket."""
     return (
-        exact_ntile(hospitals, buckets, "mean_medicare_pay", ["provider_sk"], "pay_quintile", one_task_rows)
+        exact_ntile(hospitals, buckets, "mean_medicare_pay", ["provider_sk"], "pay_quintile")
         .groupBy("pay_quintile")
         .agg(
             F.count(F.lit(1)).alias("n_hospitals"),
@@ -144,14 +142,20 @@ def cost_quality_corr(hospitals: DataFrame) -> DataFrame:
     return hospitals.agg(F.count(F.lit(1)).alias("n_hospitals"), round_stable(r, 3).alias("r"))
 
 
-def headline_metrics(corr: DataFrame, quintiles: DataFrame, markup: DataFrame) -> DataFrame:
+def explained_variance(hospitals: DataFrame) -> DataFrame:
+    """One row: the square of the unrounded correlation."""
+    r = safe_corr(F.col("mean_medicare_pay"), F.col("mean_excess_readmit"))
+    return hospitals.agg(round_stable(r * r, 4).alias("r_squared"))
+
+
+def headline_metrics(variance: DataFrame, quintiles: DataFrame, markup: DataFrame) -> DataFrame:
     """One row from the answers: explained variance, pay of the top over the bottom bucket, markup band."""
     buckets = quintiles.agg(
         F.max_by("avg_medicare_pay", "pay_quintile").alias("top"),
         F.min_by("avg_medicare_pay", "pay_quintile").alias("bottom"),
     )
     lines = [
-        corr.select((F.col("r") * F.col("r")).alias("r_squared")),
+        variance,
         buckets.select(round_stable(guarded_ratio(F.col("top"), F.col("bottom")), 1).alias("pay_ratio_q5_q1")),
         markup.agg(F.min("markup_ratio").alias("markup_min"), F.max("markup_ratio").alias("markup_max")),
     ]
@@ -159,7 +163,7 @@ def headline_metrics(corr: DataFrame, quintiles: DataFrame, markup: DataFrame) -
     for line in lines[1:]:
         stacked = stacked.unionByName(line, allowMissingColumns=True)
     return stacked.agg(
-        round_stable(F.max("r_squared"), 4).alias("r_squared"),
+        F.max("r_squared").alias("r_squared"),
         F.max("pay_ratio_q5_q1").alias("pay_ratio_q5_q1"),
         F.max("markup_min").alias("markup_min"),
         F.max("markup_max").alias("markup_max"),

@@ -12,5 +12,5 @@ def write_landing(df: DataFrame, path: str, compression: str = "gzip") -> None:
 
 
 def save_result(df: DataFrame, folder: str, name: str) -> None:
-    """One Parquet file with the answer to a question. For answers of a few rows only."""
-    df.repartition(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+    """The answer to a question as Parquet; small partitions are joined, so a few rows are one file."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")

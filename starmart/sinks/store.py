@@ -17,7 +17,8 @@ class Store:
     """Full-refresh tables under one root folder.
 
     Every save writes a fresh folder and only then points the name at it: a failed write leaves the previous
-    table in place, and a table may be rebuilt from itself. Earlier folders stay until they are cleaned up.
+    table in place, and a table may be rebuilt from itself. Where the columns are as before, one statement points the
+    name at the new folder. Earlier folders stay until they are cleaned up.
     """
 
     def __init__(self, spark: SparkSession, root: str, catalog: bool = True):
@@ -37,8 +38,16 @@ class Store:
         df.write.parquet(path)
         if self.catalog:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
-            self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
-            self.spark.sql(f"CREATE TABLE `{namespace}`.`{name}` USING parquet LOCATION '{path}'")
+            table = f"`{namespace}`.`{name}`"
+            saved = self.spark.read.schema(df.schema).parquet(path)
+            same = self.spark.catalog.tableExists(table) and self.spark.table(table).dtypes == saved.dtypes
+            if same:
+                # One statement: a reader finds the former table or this one, never none.
+                self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(table)
+            else:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+                self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
             return self.spark.table(f"{namespace}.{name}")
         return self.spark.read.schema(df.schema).parquet(path)
 

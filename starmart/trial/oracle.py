@@ -450,7 +450,7 @@ def oracle_sql() -> dict[str, str]:
         "cost_quality_corr": f"{COST_QUALITY} select * from correlation",
         "headline_metrics": f"""
             {COST_QUALITY}, {MARKUP}
-            select (select {rounded("r * r", 4)} from correlation) as r_squared,
+            select (select {rounded("power(corr(mean_medicare_pay, mean_excess_readmit), 2)", 4)} from cost_quality) as r_squared,
                    (select {rounded("max(avg_medicare_pay) filter (where pay_quintile = 5)"
                                     " / max(avg_medicare_pay) filter (where pay_quintile = 1)", 1)} from quintiles)
                      as pay_ratio_q5_q1,
@@ -463,6 +463,7 @@ def oracle_sql() -> dict[str, str]:
             qualify row_number() over (partition by drg_code order by avg_covered_charge desc, ccn) = 1""",
         "ntile_scaled": LINE_QUINTILES,
         "ntile_sketched": LINE_QUINTILES,
+        "ntile_100": LINE_QUINTILES.replace("ntile(5)", "ntile(100)"),
         "check_unique": f"""
             {STAR} {_failures([*_UNIQUE,
                 ("fact_inpatient_charges", "drg_sk", _repeated("fact_charges", "drg_sk", "drg_sk is not null")),

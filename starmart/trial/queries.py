@@ -269,15 +269,11 @@ def q_percentiles_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def _line_percentiles(**sizes: int) -> Query:
-    """Percentiles of the price of all line items, in three groups, by the road that ``sizes`` lead to."""
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lines = table(spark, sf_dir, "lineitem")
-        found = exact_percentiles(lines, "l_extendedprice", PERCENTAGES, ["l_returnflag"], LINE_KEYS, **sizes)
-        return _rounded(found, *PERCENTAGES)
-
-    return query
+def q_line_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of the price of all line items, in three groups."""
+    lines = table(spark, sf_dir, "lineitem")
+    found = exact_percentiles(lines, "l_extendedprice", PERCENTAGES, ["l_returnflag"], LINE_KEYS)
+    return _rounded(found, *PERCENTAGES)
 
 
 def q_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,21 +311,21 @@ def q_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     hospitals = _hospitals(spark, sf_dir)
-    corr, quintiles = questions.cost_quality_corr(hospitals), questions.cost_vs_quality(hospitals)
-    return questions.headline_metrics(corr, quintiles, q_q2(spark, sf_dir))
+    variance, quintiles = questions.explained_variance(hospitals), questions.cost_vs_quality(hospitals)
+    return questions.headline_metrics(variance, quintiles, q_q2(spark, sf_dir))
 
 
 def q_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(questions.charge_leaders(_stg_charges(spark, sf_dir)), "avg_covered_charge")
 
 
-def _line_quintiles(**sizes: int) -> Query:
-    """Quintiles of all line items by price, by the road that ``sizes`` lead to."""
+def _line_buckets(buckets: int) -> Query:
+    """Equal-count buckets of all line items by price."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = table(spark, sf_dir, "lineitem").select("l_extendedprice", *LINE_KEYS)
         return (
-            exact_ntile(lines, 5, "l_extendedprice", LINE_KEYS, "pay_quintile", **sizes)
+            exact_ntile(lines, buckets, "l_extendedprice", LINE_KEYS, "pay_quintile")
             .groupBy("pay_quintile")
             .agg(
                 F.count(F.lit(1)).alias("n"),
@@ -469,8 +465,8 @@ QUERIES: dict[str, Query] = {
     "fact_readmissions": _star_table("fact_readmissions"),
     "q1_price_variation": q_q1,
     "percentiles_by_group": q_percentiles_by_group,
-    "percentiles_scaled": _line_percentiles(one_task_rows=0),
-    "percentiles_sketched": _line_percentiles(one_task_rows=0, sorted_rows=0),
+    "percentiles_scaled": q_line_percentiles,
+    "percentiles_sketched": q_line_percentiles,
     "q2_markup": q_q2,
     "markup_by_state": q_markup_by_state,
     "weighted_avg": q_weighted_avg,
@@ -478,8 +474,9 @@ QUERIES: dict[str, Query] = {
     "cost_quality_corr": q_corr,
     "headline_metrics": q_headline,
     "leaders_per_group": q_leaders,
-    "ntile_scaled": _line_quintiles(one_task_rows=0),
-    "ntile_sketched": _line_quintiles(one_task_rows=0, sorted_rows=0),
+    "ntile_scaled": _line_buckets(5),
+    "ntile_sketched": _line_buckets(5),
+    "ntile_100": _line_buckets(100),
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
     "check_accepted_values": q_check_accepted_values,

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starmart.operators import exact_ntile, exact_percentiles, leaders_per_group, order_statistics, rank_rows, ranks, selection
+from starmart.operators import exact_ntile, exact_percentiles, leaders_per_group, rank_rows, ranks
+
 
 @pytest.fixture(autouse=True)
 def several_partitions(monkeypatch):
@@ -33,8 +34,6 @@ def test_ntile_without_one_task_equals_the_built_in(spark, n, kind):
     df = frame(spark, values)
     built_in = buckets(df.withColumn("b", F.ntile(5).over(Window.orderBy(*order()))))
     assert buckets(exact_ntile(df, 5, "v", ["k"], "b")) == built_in
-    assert buckets(exact_ntile(df, 5, "v", ["k"], "b", one_task_rows=0)) == built_in
-    assert buckets(exact_ntile(df, 5, "v", ["k"], "b", one_task_rows=0, sorted_rows=0)) == built_in
 
 
 def test_rank_rows_counts_from_zero_without_gaps(spark):
@@ -67,22 +66,7 @@ def test_hot_value_is_spread_over_partitions(spark):
     assert ranked.where("v = 1.0").agg(F.max("_position") - F.min("_position")).first()[0] == 4000
 
 
-ROADS = {
-    "built in": (100_000, {}),
-    "sorted": (0, {}),
-    "sketched": (0, {"WHOLE_GROUP_ROWS": 0}),
-    "small groups whole": (0, {"WHOLE_GROUP_ROWS": 20}),
-    "many groups": (0, {"SKETCHED_GROUPS": 1}),
-    "sketch misses": (0, {"WHOLE_GROUP_ROWS": 0, "_REACH": -0.2}),
-    "sketch misses a little": (0, {"WHOLE_GROUP_ROWS": 0, "_REACH": 0.0}),
-}
-
-
-@pytest.mark.parametrize("road", ROADS)
-def test_percentiles_equal_numpy(spark, monkeypatch, road):
-    one_task_rows, settings = ROADS[road]
-    for name, setting in settings.items():
-        monkeypatch.setattr(selection, name, setting)
+def test_percentiles_equal_numpy(spark):
     rng = np.random.default_rng(3)
     groups = {
         "hot": np.where(rng.random(6000) < 0.6, 7.0, rng.normal(size=6000)),
@@ -95,8 +79,7 @@ def test_percentiles_equal_numpy(spark, monkeypatch, road):
     rows = [(g, i, float(v)) for g, vs in groups.items() for i, v in enumerate(vs)] + [("hot", 99999, None)]
     df = spark.createDataFrame(rows, "g string, k bigint, v double").repartition(4)
     wanted = {"p0": 0.0, "p10": 0.1, "p33": 1 / 3, "p50": 0.5, "p90": 0.9, "p100": 1.0}
-    sorted_rows = 100_000 if road == "sorted" else 0
-    got = exact_percentiles(df, "v", wanted, ["g"], ["k"], one_task_rows, sorted_rows)
+    got = exact_percentiles(df, "v", wanted, ["g"], ["k"])
     assert got.columns == ["g", "n", *wanted]
     found = {r.g: r for r in got.collect()}
     assert found.keys() == groups.keys()
@@ -106,41 +89,42 @@ def test_percentiles_equal_numpy(spark, monkeypatch, road):
             assert found[g][name] == pytest.approx(np.quantile(vs, p), abs=1e-9), (g, name)
 
 
-def test_sketch_keeps_the_sort_small(spark, monkeypatch):
-    """Of 20,000 rows only those near the two wanted positions are ranked."""
-    ranked = []
-
-    def spy(df, *args):
-        ranked.append(df.count())
-        return rank_rows(df, *args)
-
-    monkeypatch.setattr(selection, "rank_rows", spy)
-    monkeypatch.setattr(selection, "WHOLE_GROUP_ROWS", 0)
-    df = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 7919 % 20_011).cast("double").alias("v"))
-    found = order_statistics(df, "v", [(0.25, F.lit(5000)), (0.75, F.lit(15_000))], key=["k"], sorted_rows=0)
-    values = sorted(i * 7919 % 20_011 for i in range(20_000))
-    assert sorted((r.i, r.v, r.n) for r in found.collect()) == [
-        (0, values[5000], 20_000),
-        (1, values[15_000], 20_000),
-    ]
-    assert len(ranked) == 1 and ranked[0] < 600
-
-
-@pytest.mark.parametrize("reach", [3 / 1000, -0.2])
-@pytest.mark.parametrize("nulls", [0.05, 0.7])
-def test_ntile_by_sketch_equals_the_built_in(spark, monkeypatch, reach, nulls):
-    monkeypatch.setattr(selection, "WHOLE_GROUP_ROWS", 0)
-    monkeypatch.setattr(selection, "_REACH", reach)
-    rng = random.Random(8)
-    values = [None if rng.random() < nulls else rng.choice([1.0, float("nan"), rng.random()]) for _ in range(8000)]
-    df = frame(spark, values)
-    built_in = buckets(df.withColumn("b", F.ntile(7).over(Window.orderBy(*order()))))
-    assert buckets(exact_ntile(df, 7, "v", ["k"], "b", 0, 0)) == built_in
+@pytest.mark.parametrize("seed", range(3))
+def test_percentiles_equal_the_built_in_on_odd_values(spark, seed):
+    """Infinities, not-a-numbers, nulls, ties and keys of any name."""
+    rng = random.Random(seed)
+    odd = [None, float("inf"), float("-inf"), float("nan"), 1.0, 1.0, -0.5, 2.25]
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice(odd)) for i in range(rng.choice([7, 60, 400]))]
+    rows += [("whole", 1000 + i, float(i)) for i in range(10)] + [("whole", 1010, float("inf"))]
+    df = spark.createDataFrame(rows, "n string, i bigint, v double").repartition(3)
+    wanted = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+    built_in = df.where("v is not null").groupBy(F.col("n").alias("g")).agg(*[F.percentile("v", p).alias(c) for c, p in wanted.items()])
+    expected = {r.g: [str(x) for x in r[1:]] for r in built_in.collect()}
+    got = exact_percentiles(df.withColumnRenamed("n", "g"), "v", wanted, ["g"], ["i"])
+    assert {r.g: [str(x) for x in r[2:]] for r in got.collect()} == expected
+
+
+def test_ntile_of_dates_with_keys_named_n_and_i(spark):
+    df = spark.range(500).selectExpr("id as n", "id % 7 as i", "date_add(date'2024-01-01', cast(id * 13 % 90 as int)) as v")
+    order = [F.col("v").asc_nulls_last(), F.col("n"), F.col("i")]
+    built_in = {r.n: r.b for r in df.withColumn("b", F.ntile(6).over(Window.orderBy(*order))).collect()}
+    assert {r.n: r.b for r in exact_ntile(df, 6, "v", ["n", "i"], "b").collect()} == built_in
+    with pytest.raises(TypeError, match="numeric"):
+        exact_percentiles(df, "v", {"m": 0.5})
+
+
+def test_more_buckets_do_not_change_the_plan(spark):
+    df = frame(spark, [float(i % 50) for i in range(300)])
+    built_in = buckets(df.withColumn("b", F.ntile(100).over(Window.orderBy(*order()))))
+    few, many = exact_ntile(df, 5, "v", ["k"], "b"), exact_ntile(df, 100, "v", ["k"], "b")
+    assert buckets(many) == built_in
+    few, many = (x._jdf.queryExecution().optimizedPlan().toString() for x in (few, many))
+    assert len(few.splitlines()) == len(many.splitlines()) and len(many) < 1.1 * len(few)
 
 
 def test_ntile_with_rows_that_look_alike_on_both_sides_of_a_border(spark):
     df = spark.createDataFrame([(i % 3, 1.0 if i < 900 else 2.0) for i in range(1003)], "k int, v double")
-    got = exact_ntile(df, 4, "v", ["k"], "b", 0, 0)
+    got = exact_ntile(df, 4, "v", ["k"], "b")
     sizes = {r.b: r["count"] for r in got.groupBy("b").count().collect()}
     assert sizes == {1: 251, 2: 251, 3: 251, 4: 250}
     top = got.groupBy("b").agg(F.min("v"), F.max("v"), F.min("k"), F.max("k")).orderBy("b").collect()
@@ -151,15 +135,14 @@ def test_ntile_with_rows_that_look_alike_on_both_sides_of_a_border(spark):
 def test_ntile_of_other_number_types(spark, kind):
     df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 37 % 101).cast(kind).alias("v"))
     built_in = buckets(df.withColumn("b", F.ntile(5).over(Window.orderBy(*order()))))
-    assert buckets(exact_ntile(df, 5, "v", ["k"], "b", 0, 0)) == built_in
+    assert buckets(exact_ntile(df, 5, "v", ["k"], "b")) == built_in
 
 
-@pytest.mark.parametrize("one_task_rows", [100_000, 0])
-def test_percentiles_of_the_whole_frame_and_of_nothing(spark, one_task_rows):
+def test_percentiles_of_the_whole_frame_and_of_nothing(spark):
     df = frame(spark, [3.0, 1.0, None, 2.0])
-    row = exact_percentiles(df, "v", {"m": 0.5}, key=["k"], one_task_rows=one_task_rows).collect()
+    row = exact_percentiles(df, "v", {"m": 0.5}, key=["k"]).collect()
     assert [tuple(r) for r in row] == [(3, 2.0)]
-    none = exact_percentiles(df.where("v > 9"), "v", {"m": 0.5}, key=["k"], one_task_rows=one_task_rows).collect()
+    none = exact_percentiles(df.where("v > 9"), "v", {"m": 0.5}, key=["k"]).collect()
     assert [tuple(r) for r in none] == [(0, None)]
 
 
