@@ -6,7 +6,8 @@ words of it, encodes each distinct word once, and answers each block with ids. B
 by position. A word crosses the network at most once per block, so one that a third of all texts repeat is no hot key,
 and rows are packed, many words to a row, so that the exchange is a fraction of the text.
 
-Positions are written once, with the words, to the shared folder: a lost executor costs its tasks and nothing before them.
+One exchange carries both words, by bucket, and positions, by block; the answers come back by block and join the positions where
+they lie, so positions move once. Blocks number themselves by their task, so a task that runs again gives the same rows.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.staged import stage
-
 from .byte_bpe import encoding, ranks
 from .common import map_batches, partitions, strings
 
@@ -94,11 +93,8 @@ def _unpack_lists(packed: bytes, compressed: bool = False) -> list[bytes]:
     return [zstandard.decompress(part) for part in parts] if compressed else parts
 
 
-# Rows of a block: its documents' lengths and positions (bucket -1), the buckets of its words (-2), a bucket's words (its number).
-_POSITIONS, _BUCKETS = -1, -2
-
-
 def _blocks(docs: DataFrame, pattern: str, buckets: int, block: int) -> DataFrame:
+    """Rows by ``key``: a bucket's words of a block (below 0), and a block's ids, lengths, buckets of words and positions."""
     id_type = docs.schema["__id"].dataType.simpleString()
 
     def work(batches):
@@ -121,12 +117,13 @@ def _blocks(docs: DataFrame, pattern: str, buckets: int, block: int) -> DataFram
             lists = [_pack_lists([raw[i] for i in part]) for part in np.split(by_bucket, starts[1:])][: len(used)]
             lengths = np.fromiter(map(len, positions), np.int64, len(positions))
             kept = pa.concat_arrays(ids)
-            data = [_pack_numbers(number_of[every]), _pack_numbers(own), *lists]
-            none = [None] * (len(data) - 1)
-            arrays = [pa.array([number] * len(data), pa.int64()), pa.array([_POSITIONS, _BUCKETS, *used], pa.int64())]
-            arrays.append(pa.concat_arrays([pa.ListArray.from_arrays([0, len(kept)], kept), pa.nulls(len(none), pa.list_(kept.type))]))
-            arrays += [pa.array([_pack_numbers(lengths), *none], pa.binary()), pa.array(data, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["block", "bucket", "ids", "lengths", "data"])
+            none = pa.nulls(len(used))
+            arrays = [pa.array([number, *(-1 - used)], pa.int64()), pa.array([number] * (1 + len(used)), pa.int64())]
+            arrays.append(pa.concat_arrays([pa.ListArray.from_arrays([0, len(kept)], kept), none.cast(pa.list_(kept.type))]))
+            for part in (_pack_numbers(lengths), _pack_numbers(own)):
+                arrays.append(pa.array([part] + [None] * len(used), pa.binary()))
+            arrays.append(pa.array([_pack_numbers(number_of[every]), *lists], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "block", "ids", "lengths", "own", "data"])
 
         for batch in batches:
             start = 0
@@ -142,20 +139,21 @@ def _blocks(docs: DataFrame, pattern: str, buckets: int, block: int) -> DataFram
         if positions:
             yield from close()
 
-    return map_batches(docs, work, f"block long, bucket long, ids array<{id_type}>, lengths binary, data binary")
+    return map_batches(docs, work, f"key long, block long, ids array<{id_type}>, lengths binary, own binary, data binary")
 
 
-def _answers(blocks: DataFrame, rank_path: str, pattern: str, parts: int) -> DataFrame:
-    """For each block and bucket the ids of its words, in the order of the words; a bucket encodes each word once."""
+def _answers(dealt: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+    """For each block the ids of its words by bucket, in the order of the words; a bucket encodes each word once."""
 
     def work(batches):
         encode, now, known = encoding(rank_path, pattern).encode_ordinary, None, {}
         for batch in batches:
-            out = []
-            for bucket, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if bucket != now:
-                    now, known = bucket, {}
-                words = _unpack_lists(data)
+            keys, blocks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            rows, out = [row for row, key in enumerate(keys) if key < 0], []
+            for row in rows:
+                if keys[row] != now:
+                    now, known = keys[row], {}
+                words = _unpack_lists(batch.column(5)[row].as_py())
                 for word in words:
                     if word not in known:
                         known[word] = encode(word.decode())
@@ -163,11 +161,11 @@ def _answers(blocks: DataFrame, rank_path: str, pattern: str, parts: int) -> Dat
                 lengths = np.fromiter(map(len, ids), np.int64, len(ids))
                 flat = np.fromiter(chain.from_iterable(ids), np.int64)
                 out.append(_pack_lists([_pack_numbers(lengths), _pack_numbers(flat)]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], names=["block", "bucket", "data"])
+            own = [pa.array([-1 - keys[row] for row in rows], pa.int64()), pa.array([blocks[row] for row in rows], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(out, pa.binary())], names=["bucket", "of", "ids"])
 
-    words = blocks.where(F.col("bucket") >= 0).select("block", "bucket", "data")
-    by_bucket = words.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return map_batches(by_bucket, work, "block long, bucket long, data binary")
+    told = map_batches(dealt.sortWithinPartitions("key"), work, "bucket long, of long, ids binary")
+    return told.groupBy("of").agg(F.collect_list(F.struct("bucket", "ids")).alias("answers"))
 
 
 def encode(
@@ -182,32 +180,24 @@ def encode(
     spark = docs.sparkSession
     parts = partitions(spark)
     bare = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    blocks = stage(_blocks(bare, pattern, parts, block), "word-blocks")
-    answers = _answers(blocks, rank_path, pattern, parts)
-    own = blocks.where(F.col("bucket") < 0)
-    every = own.unionByName(answers, allowMissingColumns=True)
-    # Buckets and answers of a block come before its documents.
-    dealt = every.repartition(parts, "block").sortWithinPartitions("block", F.col("bucket") == _POSITIONS, "bucket")
+    # Both readers take all rows and columns of the exchange, so Spark makes it once; a filter would give each its own.
+    dealt = _blocks(bare, pattern, parts, block).repartition(parts, "key")
+    answers = _answers(dealt, rank_path, pattern)
+    joined = dealt.join(answers, F.col("key") == F.col("of"), "left")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batches):
-        now, answers = None, {}
         for batch in batches:
-            for row, (block, bucket) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                if block != now:
-                    now, answers = block, {}
-                if bucket != _POSITIONS:
-                    answers[bucket] = batch.column(4)[row].as_py()
-                    continue
-                words = _by_number(answers)
-                ids, numbers = batch.column(2)[row].values, _unpack_numbers(batch.column(4)[row].as_py())
-                ends = np.cumsum(_unpack_numbers(batch.column(3)[row].as_py()))
+            for row in np.flatnonzero(batch.column(0).to_numpy() >= 0).tolist():
+                ids, lengths, own, data, found = (batch.column(i)[row] for i in (2, 3, 4, 5, 7))
+                words = _by_number(_unpack_numbers(own.as_py()), found.as_py() or [])
+                numbers, ends = _unpack_numbers(data.as_py()), np.cumsum(_unpack_numbers(lengths.as_py()))
                 done, out, total = 0, [], 0
                 for last, (s, e) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist()), 1):
                     out.append(_tokens(numbers[s:e], *words))
                     total += len(out[-1])
                     if total > OUT_TOKENS or last == len(ends):
-                        yield encoded(ids.slice(done, last - done), out)
+                        yield encoded(ids.values.slice(done, last - done), out)
                         done, out, total = last, [], 0
 
     def encoded(own, ids):
@@ -215,22 +205,20 @@ def encode(
         lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
         return pa.RecordBatch.from_arrays([own, lists], names=["__id", "__ids"])
 
-    found = map_batches(dealt, work, f"__id {kind}, __ids array<int>")
+    found = map_batches(joined, work, f"__id {kind}, __ids array<int>")
     return found.withColumnRenamed("__id", id_col)
 
 
-def _by_number(answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _by_number(own: np.ndarray, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of a block's words: all ids, bucket after bucket, and starts and lengths by the numbers of the words."""
-    own = _unpack_numbers(answers[_BUCKETS])
     starts, lengths, ids, total = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), [np.zeros(0, np.int64)], 0
-    for bucket, data in answers.items():
-        if bucket >= 0:
-            counts, flat = map(_unpack_numbers, _unpack_lists(data))
-            numbers = np.flatnonzero(own == bucket)
-            lengths[numbers] = counts
-            starts[numbers] = total + np.cumsum(counts) - counts
-            ids.append(flat)
-            total += len(flat)
+    for answer in answers:
+        counts, flat = map(_unpack_numbers, _unpack_lists(answer["ids"]))
+        numbers = np.flatnonzero(own == answer["bucket"])
+        lengths[numbers] = counts
+        starts[numbers] = total + np.cumsum(counts) - counts
+        ids.append(flat)
+        total += len(flat)
     return np.concatenate(ids), starts, lengths
 
 
