@@ -33,6 +33,10 @@ HEADLINE = [
     "percentiles_by_group",
     "percentiles_scaled",
     "ntile_scaled",
+    "ntile_100",
+    "dq_report_dirty",
+    "load_audit",
+    "csv_rejects",
     "stg_charges",
     "stg_readmissions",
     "fact_charges",

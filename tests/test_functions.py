@@ -178,3 +178,12 @@ def test_safe_corr(spark):
     flat = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
     assert flat.agg(safe_corr(F.col("x"), F.col("y"))).first()[0] is None
     assert flat.limit(1).agg(safe_corr(F.col("x"), F.col("y"))).first()[0] is None
+
+
+def test_round_stable_keeps_what_is_too_large_or_not_finite(spark):
+    values = [1.0e30, -1.0e30, float("inf"), float("-inf"), 2.5, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    got = [r[0] for r in df.orderBy("i").select(round_stable(F.col("x"), 0)).collect()]
+    assert got == [1.0e30, -1.0e30, float("inf"), float("-inf"), 3.0, None]
+    with pytest.raises(ValueError, match="ten decimals"):
+        round_stable(F.col("x"), 11)

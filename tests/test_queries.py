@@ -82,7 +82,7 @@ SKEW_CONF = {
 @pytest.mark.parametrize(
     "name",
     ["fact_charges", "fact_readmissions", "q1_price_variation", "q2_markup", "q3_cost_vs_quality", "leaders_per_group",
-     "percentiles_scaled", "percentiles_sketched", "ntile_scaled", "ntile_sketched", "check_unique", "check_relationships", "check_grain"],
+     "percentiles_scaled", "ntile_scaled", "ntile_100", "check_unique", "check_relationships", "check_grain"],
 )
 def test_query_equals_sql_with_hot_keys(spark, skewed_dir, name):
     kept = {key: spark.conf.get(key) for key in SKEW_CONF}
@@ -106,5 +106,12 @@ def test_changed_input_is_not_answered_from_old_tables(spark, trial_dir, tmp_pat
     assert after.n_readmissions < before.n_readmissions
 
 
+def test_every_check_can_fail(spark, trial_dir):
+    rows = QUERIES["dq_report_dirty"](spark, trial_dir.replace("sf0.001", "sf0.01")).collect()
+    assert len(rows) == 19 and all(r.failures > 0 for r in rows)
+    assert {r.status for r in rows if r.check_name == "relationships"} == {"WARN"}
+    assert {r.status for r in rows if r.check_name != "relationships"} == {"ERROR"}
+
+
 def test_entry(spark, trial_dir):
     assert driver.entry(spark).count() == 5

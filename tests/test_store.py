@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.operators import shared_dir, stage
+from starmart.operators import cleanup, shared_dir, stage, staged
 from starmart.sinks import Store, namespace_for, save_result
 from starmart.sources import load_audit, load_table, source
 
@@ -78,3 +78,21 @@ def test_a_cluster_must_name_the_shared_folder():
         shared_dir(session)
     session.sparkContext.master = "local[2]"
     assert shared_dir(session) == shared_dir(session)
+
+
+def test_cleanup_removes_what_was_staged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staged, "shared_dir", lambda _: str(tmp_path))
+    assert stage(spark.range(3), "gone").count() == 3
+    assert list(tmp_path.rglob("*.parquet"))
+    cleanup(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_saving_again_repoints_the_name_in_one_statement(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    store.save(spark.range(3), "again", "numbers")
+    said, run = [], spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: (said.append(text), run(text, *a, **b))[1])
+    assert store.save(spark.range(5), "again", "numbers").count() == 5
+    assert spark.table("again.numbers").count() == 5
+    assert not any(text.startswith(("DROP", "CREATE TABLE")) for text in said)
