@@ -40,6 +40,13 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for work that holds much for each row."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def strings(column: pa.Array) -> list[str]:
     """Texts of a column, null as empty."""
     return [text or "" for text in column.to_pylist()]

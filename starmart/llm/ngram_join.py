@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.staged import stage
 
-from .common import map_batches, partitions, strings
+from .common import map_batches, partitions, slices, strings
 
 # Slots of the table of approximate document frequencies: 4 bytes each, whatever the corpus.
 ORDER_SLOTS = 1 << 20
@@ -74,7 +74,7 @@ def _survey(docs: DataFrame, n: int) -> DataFrame:
 
     def work(batches):
         counts = np.zeros(ORDER_SLOTS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(text, n) for text in strings(batch.column(1))]
             every = np.concatenate([*sets, np.zeros(0, np.uint64)])
             counts += np.bincount((every >> _SLOT_SHIFT).astype(np.int64), minlength=ORDER_SLOTS)
@@ -132,7 +132,7 @@ def _prefixes(docs: DataFrame, nodes: DataFrame, frequencies: np.ndarray, n: int
 
     def work(batches):
         table = np.minimum(sent.value, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
-        for batch in batches:
+        for batch in slices(batches):
             digests, packed, bits = [], [], []
             for text in strings(batch.column(1)):
                 own = shingle_set(text, n)
@@ -254,7 +254,7 @@ def _fragments(docs: DataFrame, nodes: DataFrame, ids: DataFrame, n: int, fragme
     chosen = docs.join(F.broadcast(wanted) if small else wanted, F.col("__id") == F.col("__node"))
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, parts, packed = [], [], []
             for node, text, want in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = shingle_set(text or "", n)
