@@ -141,19 +141,22 @@ def _suspects_by_broadcast(docs: DataFrame, filters: DataFrame, segments: int, m
     def work(batches):
         second = {s: BloomFilter(bits, zstandard.decompress(data)) for s, (bits, data) in sent.value.items()}
         for batch in batches:
-            ids, keys, row_ids = batch.column(0), [], []
-            for row, text in enumerate(strings(batch.column(1))):
-                own = list(_keys(text, min_chars))
-                hashes = _hashes(own)
-                segment = _segment(hashes, segments)
-                for s in np.unique(segment):
-                    if s in second:
-                        at = np.flatnonzero(segment == s)
-                        hits = at[second[s].has(hashes[at])]
-                        keys += [own[i] for i in hits]
-                        row_ids += [row] * len(hits)
+            own = [list(_keys(text, min_chars)) for text in strings(batch.column(1))]
+            keys = [key for k in own for key in k]
+            rows = np.repeat(np.arange(len(own)), [len(k) for k in own])
+            hashes = _hashes(keys)
+            segment = _segment(hashes, segments)
+            order = np.argsort(segment, kind="stable")
+            used, starts = np.unique(segment[order], return_index=True)
+            hits = [
+                at[second[s].has(hashes[at])]
+                for s, at in zip(used.tolist(), np.split(order, starts[1:]), strict=False)
+                if s in second
+            ]
+            found = np.concatenate([*hits, np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(row_ids, pa.int64())), pa.array(keys, pa.binary())], names=["__id", "__key"]
+                [batch.column(0).take(pa.array(rows[found])), pa.array([keys[i] for i in found], pa.binary())],
+                names=["__id", "__key"],
             )
 
     kind = docs.schema["__id"].dataType.simpleString()
@@ -233,7 +236,7 @@ def dedup_lines(
             for i, (text, drop) in enumerate(zip(texts, batch.column(len(columns)).to_pylist(), strict=True)):
                 lines = (text or "").split("\n")
                 kept = lines
-                if drop:
+                if drop and text is not None:
                     drop = set(drop)
                     kept = [line for line in lines if _key(line, min_chars) not in drop]
                     texts[i] = "\n".join(kept)
