@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.staged import scratch_path
+from starmart.operators.staged import scratch_path, stage
 
 from .common import map_batches
 
@@ -181,8 +181,10 @@ def convert(arc: DataFrame, path: str, min_payload: int = 0, records: int = RECO
     each; a null page_id is smaller than any other, and where a group has no other all its records are responses.
     """
     equal = ["payload_digest", "payload_bytes"]
-    heads = arc.groupBy(*equal).agg(F.max("page_id").alias("head"))
-    told = arc.join(heads, equal).withColumn(
+    heads = arc.groupBy(*equal).agg(F.max("page_id").alias("head"), F.count(F.lit(1)).alias("n"))
+    # Only what repeats is written and joined: where that is little, Spark sends it to the records and no payload is shuffled.
+    heads = stage(heads.where("n > 1").drop("n"), "repeated-payloads")
+    told = arc.join(heads, equal, "left").withColumn(
         "refers_to",
         F.when((F.col("payload_bytes") >= min_payload) & ~F.col("head").eqNullSafe(F.col("page_id")), F.col("head")),
     )
