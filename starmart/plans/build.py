@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,9 @@ from pyspark.sql.types import StructType
 
 from ..operators import dq_report, enforce, stage
 from ..sinks import Store, namespace_for, save_result, write_landing
-from ..sources import INPATIENT_CHARGES, READMISSIONS, load_extracts, read_pages, require_rows, source
+from ..sources import INPATIENT_CHARGES, READMISSIONS, Load, load_extracts, read_pages, require_rows, source
 from . import dims, facts, questions, staging
-from .quality import star_checks
+from .quality import star_checks, strict_checks
 
 # Landing file (or folder of files) -> raw table and its schema.
 EXTRACTS = {
@@ -82,8 +83,23 @@ def land_pages(spark: SparkSession, pages: str, schema: StructType, folder: str)
     write_landing(require_rows(read_pages(spark, pages, schema), pages), folder)
 
 
+@dataclass(frozen=True)
+class Run:
+    """The star, the loads by raw table with their counts, the report of the checks (written) and its totals."""
+
+    star: dict[str, DataFrame]
+    loads: dict[str, Load]
+    report: DataFrame
+    totals: dict[str, int]
+
+
 def run(spark: SparkSession, landing: str, store: Store) -> dict[str, DataFrame]:
     """Load the landing folder, build the star and enforce its checks."""
+    return run_reported(spark, landing, store).star
+
+
+def run_reported(spark: SparkSession, landing: str, store: Store) -> Run:
+    """The same with counts and report. The 19 checks stop the run when they fail; the strict ones only warn."""
     loads = load_extracts(spark, landing, EXTRACTS, store)
     tables = [table for table, _ in EXTRACTS.values()]
     missing = [table for table in tables if table not in loads]
@@ -91,8 +107,8 @@ def run(spark: SparkSession, landing: str, store: Store) -> dict[str, DataFrame]
         raise FileNotFoundError(f"cannot build the star without {', '.join(missing)}")
     raw = [source(spark, "raw", table) if store.catalog else loads[table].table for table in tables]
     star = build_star(*raw, store)
-    enforce(dq_report(star_checks(star)))
-    return star
+    report = stage(dq_report(star_checks(star), strict_checks(star)), "checks")
+    return Run(star, loads, report, enforce(report))
 
 
 def answer(star: Mapping[str, DataFrame], name: str | None = None) -> dict[str, DataFrame] | DataFrame:

@@ -2,12 +2,13 @@
 
 from .declared import DECLARED, source
 from .documents import latest_distribution, read_catalog, read_pages, require_rows, resolve_latest_csv
-from .landing import MissingLanding, coerce, load_audit, load_extracts, load_table, match_columns, read_landing
+from .landing import Load, MissingLanding, coerce, load_audit, load_extracts, load_table, match_columns, read_landing
 from .schemas import INPATIENT_CHARGES, READMISSIONS
 
 __all__ = [
     "DECLARED",
     "INPATIENT_CHARGES",
+    "Load",
     "READMISSIONS",
     "MissingLanding",
     "coerce",

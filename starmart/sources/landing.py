@@ -129,8 +129,8 @@ def load_table(landing: DataFrame, schema: T.StructType, store: Store, name: str
     """Replace a raw table by the landing rows.
 
     Good and bad rows are told apart in one pass and written to one table, ``<name>_load``, with their status and the
-    time of the load; raw table and rejects are views of it that skip each other's row groups. The counts come with
-    the write. So the files are read once and nothing is sorted or shuffled.
+    time of the load; raw table and rejects are views of it, which skip the row groups that hold only rows of the other kind. The
+    counts come with the write. So the files are read once and nothing is sorted or shuffled.
     """
     counts = Observation()
     status = F.col(STATUS)

@@ -16,7 +16,8 @@ def _list(values: list[str]) -> str:
 
 def title(text: str) -> str:
     words = f"regexp_extract_all(lower({text}), '{_OTHER_CLASS}*{_DELIMITER_CLASS}|{_OTHER_CLASS}+')"
-    # No real word begins with a sharp s; where a made-up one does, its title case has two letters.
+    # No real word begins with a sharp s; where a made-up one does, its title case has two letters. DuckDB's upper() keeps it, so
+    # for that letter this SQL states what is wanted and is no independent check.
     first = "case when w[1] = 'ß' then 'Ss' else upper(w[1]) end"
     return f"array_to_string(list_transform({words}, lambda w: {first} || w[2:]), '')"
 

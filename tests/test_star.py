@@ -217,7 +217,15 @@ def test_run_from_files_to_tables(spark, tmp_path):
     folder = tmp_path / "landing"
     landing(folder)
     write_csv(folder / "hrrp_readmissions.csv", HRRP_HEADER, [r for r in HRRP if r[3] != "READM-30-NEW-HRRP"])
-    star = build.run(spark, str(folder), Store(spark, str(tmp_path / "tables")))
+    done = build.run_reported(spark, str(folder), Store(spark, str(tmp_path / "tables")))
+    star = done.star
+    assert done.totals == {"PASS": 21, "WARN": 1, "ERROR": 0, "TOTAL": 22}
+    assert done.report.where("status = 'WARN'").first().failures == 1
+    assert {name: load.rows for name, load in done.loads.items()} == {
+        "inpatient_charges": spark.table("raw.inpatient_charges").count(),
+        "hrrp_readmissions": spark.table("raw.hrrp_readmissions").count(),
+    }
+    assert build.answer(star, "price_variation").first().n_hospitals == 3
     assert enforce(dq_report(star_checks(star))) == {"PASS": 19, "WARN": 0, "ERROR": 0, "TOTAL": 19}
     build.save_answers(star, str(tmp_path / "results"))
     assert spark.read.parquet(str(tmp_path / "results" / "price_variation")).first().n_hospitals == 3
