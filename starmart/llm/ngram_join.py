@@ -187,15 +187,18 @@ def _prefix_lists(own: DataFrame) -> DataFrame:
     return found.groupBy("list", "id", "size").agg(F.count(F.lit(1)).alias("grams"))
 
 
-def _linkable(lists: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+def _linkable(lists: DataFrame, percent: int) -> DataFrame:
     """(``list``, ``id``, ``size``, ``common``): members that may link with another of their list.
 
-    N-grams of a prefix that no other set has can't be shared: without them ``common`` n-grams are left, and no overlap is larger.
-    So a member needs another one in its list of a size that such an overlap allows.
+    ``common`` is the least size of a linked set, less one, plus the n-grams of the prefix that other prefixes hold. It bounds what
+    a set y shares with a set x that is not larger, and says nothing of larger ones: where x's prefix ends later in the order, y's
+    prefix has all it shares in x's prefix, and its other n-grams are not in x. Where x's ends first, the shared ones of x's prefix are in
+    y's, and y's prefix is longer by no more n-grams than y is. Prefixes that equals of the last n-gram lengthen only share more.
+    So a pair needs sizes that the threshold and the ``common`` of the larger one allow.
     """
     shared = lists.groupBy("id").agg(F.sum("grams").alias("shared"))
-    common = own.join(shared, "id").select("id", (F.col("size") - F.size("prefix") + F.col("shared")).alias("common"))
-    rows = lists.join(common, "id").select("list", "id", "size", "common")
+    common = F.least("size", F.floor((percent * F.col("size") + 99) / 100) - 1 + F.col("shared")).alias("common")
+    rows = lists.join(shared, "id").select("list", "id", "size", common)
 
     def work(batches):
         left = None
@@ -217,9 +220,12 @@ def _linkable(lists: DataFrame, own: DataFrame, percent: int) -> DataFrame:
         chosen = []
         for s, e in zip(starts, [*starts[1:], len(keys)]):
             own = sizes[s:e]
-            # Sizes are sorted; a member itself lies between its bounds or beyond the upper one.
-            fits = np.searchsorted(own, most[s:e], "right") - np.searchsorted(own, least[s:e])
-            hits = np.flatnonzero(fits - (own <= most[s:e]) > 0)
+            # Sizes are sorted; as the larger one a member meets those from ``low`` to before ``high``, itself perhaps among them.
+            low, high = np.searchsorted(own, least[s:e]), np.searchsorted(own, np.minimum(own, most[s:e]), "right")
+            high = np.maximum(low, high)
+            itself = own <= most[s:e]
+            met = np.cumsum(np.bincount(low, minlength=e - s + 1) - np.bincount(high, minlength=e - s + 1))[: e - s]
+            hits = np.flatnonzero((high - low - itself > 0) | (met - itself > 0))
             if len(hits) > 1:
                 chosen.append(s + hits)
         if chosen:
@@ -341,7 +347,8 @@ def _pair(leader: str, percent: int):
         F.when(first, F.col(f"{leader}.size")).otherwise(F.col("size")).alias("sa"),
         F.when(first, F.col("size")).otherwise(F.col(f"{leader}.size")).alias("sb"),
     ]
-    overlap = (100 + percent) * F.least(f"{leader}.common", "common") >= percent * (small + large)
+    larger = F.when(F.col("size") > F.col(f"{leader}.size"), F.col("common")).when(F.col("size") < F.col(f"{leader}.size"), F.col(f"{leader}.common"))
+    overlap = (100 + percent) * larger.otherwise(F.least(f"{leader}.common", "common")) >= percent * (small + large)
     return columns, (100 * small >= percent * large) & overlap
 
 
@@ -400,7 +407,8 @@ def _rest_of_lists(percent: int):
                 both = sizes + sizes[i]
                 ok = (own != own[i]) & (late > i)
                 ok &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
-                ok &= (100 + percent) * np.minimum(common, common[i]) >= percent * both
+                larger = np.where(sizes > sizes[i], common, np.where(sizes < sizes[i], common[i], np.minimum(common, common[i])))
+                ok &= (100 + percent) * larger >= percent * both
                 for low, high in (bounds[:2], bounds[2:]):
                     ok &= ~(low - high[i] > reach) & ~(low[i] - high > reach)
                 if not ok.any():
@@ -437,7 +445,7 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str =
 
     own = stage(_prefixes(bare, nodes, _frequencies(survey), n, percent), "prefixes")
     lists = stage(_prefix_lists(own), "prefix-lists")
-    joined = _linked(bare, nodes, own, stage(_linkable(lists, own, percent), "linkable"), n, percent)
+    joined = _linked(bare, nodes, own, stage(_linkable(lists, percent), "linkable"), n, percent)
     found = info.join(classes.select("__set", F.col("__id").alias("__rep")), "__set", "left")
     found = found.join(joined.select(F.col("id").alias("__rep"), "component"), "__rep", "left")
     return found.select(

@@ -259,6 +259,24 @@ def test_groups_of_chains_copies_and_near_copies(docs_of):
         assert {r[0]: (r[1], r[2]) for r in got} == brute_groups(rows, 3, percent)
 
 
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_texts_with_words_appended_prepended_or_cut_off_link(docs_of, n, percent):
+    rng = np.random.default_rng(4)
+    texts = []
+    for i in range(60):
+        base = [f"t{i}w{k}" for k in range(int(rng.integers(40, 130)))]
+        own = [f"t{i}x{k}" for k in range(30)]
+        change = int((len(base) - n + 1) * (100 - percent) / percent) - int(rng.integers(0, 3))
+        other = [base + own[:change], own[:change] + base, base[change:], base[:-change]][i % 4]
+        copies = (1, 1) if i < 40 else (4, 1) if i < 50 else (1, 4)
+        texts += [" ".join(base)] * copies[0] + [" ".join(other)] * copies[1]
+    order = rng.permutation(len(texts)).tolist()
+    got = ngram_join.similar_groups(docs_of(texts, order), n, percent).collect()
+    expected = brute_groups(list(zip(order, texts, strict=True)), n, percent)
+    assert {r[0]: (r[1], r[2]) for r in got} == expected
+    assert len({first for _, first in expected.values()}) < 90
+
+
 def test_groups_of_odd_rows(docs_of):
     docs = docs_of(["a b c", "a b c", None, None, "a b c", "  ", "x" * 50_000], [4, 4, None, 2, None, 3, 9])
     got = sorted(((r[0], r[1], r[2]) for r in ngram_join.similar_groups(docs).collect()), key=str)
