@@ -34,6 +34,9 @@ ORDER_SLOTS = 1 << 20
 
 # N-grams that one fragment holds, all documents together: 16 MB.
 FRAGMENT = 1 << 21
+# Weight of the members of one block of a list: bytes of their bitmaps unpacked, half at least, and of the numbers of each.
+CELL_BYTES = 1 << 22
+MEMBER_BYTES = 512
 # Candidate documents up to this many are sent to the texts; more are joined by Spark's own choice.
 BROADCAST_IDS = 1_000_000
 
@@ -156,35 +159,15 @@ def _prefixes(docs: DataFrame, nodes: DataFrame, frequencies: np.ndarray, n: int
 def _prefix_lists(own: DataFrame) -> DataFrame:
     """(``list``, ``id``, ``size``, ``grams``): representatives that share n-grams of their prefixes, two or more to a list.
 
-    N-grams whose lists have the same members share one list; ``grams`` is how many they are.
+    N-grams whose lists have the same members share one list; ``grams`` is how many they are. Members are told by their number
+    and two hashes, begun before the shuffle, so no task holds a list; lists that these take for one are tested as one.
     """
-
-    def lists(batches):
-        left = [np.zeros(0, np.int64)] * 3
-        for batch in batches:
-            yield from runs([np.concatenate([a, b.to_numpy()]) for a, b in zip(left, batch.columns, strict=True)], False, left)
-        yield from runs(list(left), True, left)
-
-    def runs(columns, last, left):
-        """Members of complete runs of one n-gram; the run at the end stays in ``left`` for the next batch."""
-        gram = columns[0]
-        borders = np.flatnonzero(np.diff(gram)) + 1
-        end = len(gram) if last else (borders[-1] if len(borders) else 0)
-        left[:] = [c[end:] for c in columns]
-        starts = np.concatenate([[0], borders]).astype(np.int64)
-        ends = np.append(borders, len(gram))
-        whole = (ends <= end) & (ends - starts >= 2)
-        starts, ends = starts[whole], ends[whole]
-        if len(starts):
-            keys = [xxhash.xxh3_64_intdigest(columns[1][s:e].tobytes()) for s, e in zip(starts, ends, strict=True)]
-            at = np.concatenate([np.arange(s, e) for s, e in zip(starts, ends, strict=True)])
-            key = np.repeat(np.array(keys, np.uint64).view(np.int64), ends - starts)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(columns[1][at]), pa.array(columns[2][at])], names=["list", "id", "size"])
-
     grams = own.select(F.explode("prefix").alias("gram"), "id", "size")
-    ordered = grams.repartition(partitions(own.sparkSession), "gram").sortWithinPartitions("gram", "id")
-    found = map_batches(ordered, lists, "list long, id long, size long")
-    return found.groupBy("list", "id", "size").agg(F.count(F.lit(1)).alias("grams"))
+    parts = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"h{k}") for k in range(2)]
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), *parts).where("n > 1")
+    # Written, so that both sides of the join are plain exchanges and Spark can split a long list's n-gram.
+    lists = stage(held.select("gram", F.xxhash64("n", "h0", "h1").alias("list")), "gram-lists")
+    return grams.join(lists, "gram").groupBy("list", "id", "size").agg(F.count(F.lit(1)).alias("grams"))
 
 
 def _linkable(lists: DataFrame, percent: int) -> DataFrame:
@@ -200,6 +183,8 @@ def _linkable(lists: DataFrame, percent: int) -> DataFrame:
     common = F.least("size", F.floor((percent * F.col("size") + 99) / 100) - 1 + F.col("shared")).alias("common")
     rows = lists.join(shared, "id").select("list", "id", "size", common)
 
+    rows = stage(rows, "list-members")
+
     def work(batches):
         left = None
         for batch in batches:
@@ -208,31 +193,33 @@ def _linkable(lists: DataFrame, percent: int) -> DataFrame:
             keys = table.column(0).to_numpy()
             last = int(np.searchsorted(keys, keys[-1]))
             left = table.slice(last)
-            yield from kept(table.slice(0, last))
+            yield from met(table.slice(0, last))
         if left is not None:
-            yield from kept(left)
+            yield from met(left)
 
-    def kept(table):
-        keys, _, sizes, common = (c.to_numpy() for c in table.columns)
+    def met(table):
+        """The smallest other size that a member may meet as the larger one, and whether a larger or equal one may meet it."""
+        keys, sizes, members, common = (c.to_numpy() for c in table.columns)
         least = (percent * sizes + 99) // 100
-        most = (100 + percent) * common // percent - sizes
+        most = np.minimum(sizes, (100 + percent) * common // percent - sizes)
+        lowest, under = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else []
-        chosen = []
         for s, e in zip(starts, [*starts[1:], len(keys)]):
-            own = sizes[s:e]
-            # Sizes are sorted; as the larger one a member meets those from ``low`` to before ``high``, itself perhaps among them.
-            low, high = np.searchsorted(own, least[s:e]), np.searchsorted(own, np.minimum(own, most[s:e]), "right")
-            high = np.maximum(low, high)
-            itself = own <= most[s:e]
-            met = np.cumsum(np.bincount(low, minlength=e - s + 1) - np.bincount(high, minlength=e - s + 1))[: e - s]
-            hits = np.flatnonzero((high - low - itself > 0) | (met - itself > 0))
-            if len(hits) > 1:
-                chosen.append(s + hits)
-        if chosen:
-            yield from table.take(pa.array(np.concatenate(chosen))).combine_chunks().to_batches()
-
-    ordered = rows.repartition("list").sortWithinPartitions("list", "size", "id")
-    return map_batches(ordered, work, "list long, id long, size long, common long")
+            own, single = sizes[s:e], members[s:e] == 1
+            low = np.searchsorted(own, least[s:e])
+            # A single member of its size does not meet itself.
+            lowest[s:e] = np.where((own[low] == own) & single, np.iinfo(np.int64).max, own[low])
+            high = np.maximum(low, np.searchsorted(own, most[s:e], "right"))
+            over = np.cumsum(np.bincount(low, minlength=e - s + 1) - np.bincount(high, minlength=e - s + 1))[: e - s]
+            under[s:e] = over - (single & (most[s:e] >= own)) > 0
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, sizes, lowest, under)], names=["list", "size", "lowest", "under"])
+
+    # A list has no more sizes than its largest text has n-grams, however many its members are.
+    sizes = rows.groupBy("list", "size").agg(F.count(F.lit(1)).alias("members"), F.max("common").alias("common"))
+    ordered = sizes.repartition("list").sortWithinPartitions("list", "size")
+    bounds = map_batches(ordered, work, "list long, size long, lowest long, under boolean")
+    larger = F.col("lowest") <= F.floor((100 + percent) * F.col("common") / percent) - F.col("size")
+    return rows.join(bounds, ["list", "size"]).where(F.col("under") | larger).select("list", "id", "size", "common")
 
 
 def _bounded(pairs: DataFrame, own: DataFrame) -> DataFrame:
@@ -374,53 +361,78 @@ def _differing(one: np.ndarray, lengths: dict[int, tuple[np.ndarray, np.ndarray]
     return found
 
 
+def _cells(members: DataFrame, own: DataFrame) -> DataFrame:
+    """Members of each list dealt into blocks of bounded weight, and every block beside each block of members outside the list's
+    largest component: rows of a cell (``list``, ``block``, ``other``), ``outside`` first.
+
+    Two members of the largest component never meet. So a list costs its blocks times the blocks of its outsiders, each a cell of its own.
+    """
+    weight = F.sum(F.col("size") + MEMBER_BYTES)
+    parts = members.groupBy("list", "c").agg(F.count(F.lit(1)).alias("n"), weight.alias("w"))
+    largest = F.max(F.struct("n", "c", "w")).alias("largest")
+    whole = parts.groupBy("list").agg(F.sum("w").alias("w"), largest)
+    block = lambda w: (1 + F.floor(w / CELL_BYTES)).cast("int")
+    whole = whole.select("list", F.col("largest.c").alias("main"), block(F.col("w")).alias("blocks"), block(F.col("w") - F.col("largest.w")).alias("others"))
+    rows = members.join(stage(whole, "open-lists"), "list").join(own.select("id", "bits"), "id")
+    facts = ["list", "id", "size", "common", "c", "low1", "high1", "low2", "high2", "bits", "main"]
+    dealt = F.xxhash64("id", F.lit(7))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = rows.select(*facts, F.pmod(dealt, "blocks").cast("int").alias("block"), every("others").alias("other"), F.lit(False).alias("outside"))
+    outer = rows.where("c <> main")
+    outer = outer.select(*facts, every("blocks").alias("block"), F.pmod(dealt, "others").cast("int").alias("other"), F.lit(True).alias("outside"))
+    cells = inner.union(outer).select("block", "other", "outside", *facts)
+    return cells.repartition("list", "block", "other").sortWithinPartitions("list", "block", "other", "outside", "id")
+
+
 def _rest_of_lists(percent: int):
-    """Pairs of a list that two leaders leave open and that pass every filter: component, size, distance, bitmap."""
+    """Pairs of a cell that two leaders leave open and that pass every filter: component, size, distance, bitmap."""
     reach = 1 - percent / 100 + 1e-9
 
     def work(batches):
-        left = None
+        cell, held = None, []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if left is None else pa.concat_tables([left, table])
-            keys = table.column(0).to_numpy()
-            last = int(np.searchsorted(keys, keys[-1]))
-            left = table.slice(last)
-            yield from pairs(table.slice(0, last))
-        if left is not None:
-            yield from pairs(left)
-
-    def pairs(table):
-        keys = table.column(0).to_numpy()
-        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else []
-        for s, e in zip(starts, [*starts[1:], len(keys)]):
-            part = table.slice(s, e - s)
-            ids, sizes, common, own, *bounds = (part.column(i).to_numpy() for i in range(1, 9))
-            maps = [bytes(b) for b in part.column(9).to_pylist()]
-            _, place, members = np.unique(own, return_inverse=True, return_counts=True)
-            outside = np.flatnonzero(place != members.argmax())
-            # Members outside the largest component meet all others; two of them meet once.
-            late = np.full(e - s, e - s)
-            late[outside] = outside
-            lengths = _by_length(maps)
-            for i in outside:
-                both = sizes + sizes[i]
-                ok = (own != own[i]) & (late > i)
-                ok &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
-                larger = np.where(sizes > sizes[i], common, np.where(sizes < sizes[i], common[i], np.minimum(common, common[i])))
-                ok &= (100 + percent) * larger >= percent * both
-                for low, high in (bounds[:2], bounds[2:]):
-                    ok &= ~(low - high[i] > reach) & ~(low[i] - high > reach)
-                if not ok.any():
-                    continue
-                differ = _differing(np.unpackbits(np.frombuffer(maps[i], np.uint8)), lengths, e - s)
-                ok &= (100 + percent) * ((both - differ) // 2) >= percent * both
-                hits = np.flatnonzero(ok)
-                if len(hits):
-                    swap = ids[hits] < ids[i]
-                    columns = [np.where(swap, ids[hits], ids[i]), np.where(swap, ids[i], ids[hits])]
-                    columns += [np.where(swap, sizes[hits], sizes[i]), np.where(swap, sizes[i], sizes[hits])]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "sa", "sb"])
+            keys = [batch.column(i).to_numpy() for i in (3, 0, 1)]
+            change = np.any([np.diff(k) != 0 for k in keys], axis=0)
+            starts = [0, *(np.flatnonzero(change) + 1).tolist()] if batch.num_rows else []
+            for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+                now = tuple(int(k[s]) for k in keys)
+                if now != cell:
+                    yield from pairs(held)
+                    cell, held = now, []
+                held.append(batch.slice(s, e - s))
+        yield from pairs(held)
+
+    def pairs(held):
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        outside = table.column(2).to_numpy()
+        inner, outer = table.filter(pa.array(~outside)), table.filter(pa.array(outside))
+        if not len(inner) or not len(outer):
+            return
+        ids, sizes, common, own, *bounds = (inner.column(i).to_numpy() for i in range(4, 12))
+        lengths = _by_length([bytes(b) for b in inner.column(12).to_pylist()])
+        main = inner.column(13).to_numpy()
+        others = [outer.column(i).to_numpy() for i in range(4, 12)]
+        for i, (id_, size, shared, c, low1, high1, low2, high2) in enumerate(zip(*others, strict=True)):
+            both = sizes + size
+            # Of two outsiders the one of the smaller id is the inner one.
+            ok = (own != c) & ((own == main) | (ids < id_)) & (100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size))
+            larger = np.where(sizes > size, common, np.where(sizes < size, shared, np.minimum(common, shared)))
+            ok &= (100 + percent) * larger >= percent * both
+            for low, high, a, b in ((*bounds[:2], low1, high1), (*bounds[2:], low2, high2)):
+                ok &= ~(low - b > reach) & ~(a - high > reach)
+            if not ok.any():
+                continue
+            bits = np.unpackbits(np.frombuffer(outer.column(12)[i].as_py(), np.uint8))
+            differ = _differing(bits, lengths, len(ids))
+            ok &= (100 + percent) * ((both - differ) // 2) >= percent * both
+            hits = np.flatnonzero(ok)
+            if len(hits):
+                swap = ids[hits] < id_
+                columns = [np.where(swap, ids[hits], id_), np.where(swap, id_, ids[hits])]
+                columns += [np.where(swap, sizes[hits], size), np.where(swap, size, sizes[hits])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "sa", "sb"])
 
     return work
 
@@ -499,35 +511,36 @@ def _linked(docs: DataFrame, nodes: DataFrame, own: DataFrame, lists: DataFrame,
         found = members.drop("c").join(components(links), "id", "left")
         return found.withColumn("c", F.coalesce("component", "id")).drop("component")
 
-    def open_lists(members: DataFrame) -> DataFrame:
+    def open_lists(members: DataFrame, leaders: DataFrame) -> DataFrame:
+        """Members of lists of two or more components, and their leaders: one join by list, whose long lists Spark can split."""
         span = members.groupBy("list").agg(F.min("c").alias("least"), F.max("c").alias("most"))
-        return members.join(span.where("least < most").select("list"), "list", "left_semi")
+        return members.join(stage(span.where("least < most").select("list").join(leaders, "list"), "open-lists"), "list")
 
     # Leaders are members with few n-grams of their own: near the middle of a group of near copies, so they link with most of it.
     alone = (F.col("size") - F.col("common")).alias("alone")
-    first = lists.groupBy("list").agg(F.min(F.struct(alone, "id", "size", "common")).alias("l1"))
+    first = stage(lists.groupBy("list").agg(F.min(F.struct(alone, "id", "size", "common")).alias("l1")), "leaders")
     columns, possible = _pair("l1", percent)
     pairs = stage(lists.join(first, "list").where(possible & (F.col("l1.id") != F.col("id"))).select(*columns).distinct(), "pairs")
     tests1 = tested(pairs)
     links = linking(tests1)
-    members = stage(with_distance(open_lists(labelled(lists, links)).join(first, "list"), tests1, "l1", "1"), "members")
+    found = stage(labelled(lists, links), "labelled")
+    members = stage(with_distance(open_lists(found, first), tests1, "l1", "1"), "members")
 
-    # The second leader is one outside the first leader's component.
-    led = members.where(F.col("id") == F.col("l1.id")).select("list", F.col("c").alias("c1"))
+    # The second leader is one outside the first leader's component, which is looked up by the leader: minima by list start in each task.
+    led = stage(members.where(F.col("id") == F.col("l1.id")).select(F.col("id").alias("head"), F.col("c").alias("c1")).distinct(), "led")
     facts = F.struct(alone, "id", "size", "common", "c", "low1", "high1")
-    second = members.join(led, "list").where("c <> c1").groupBy("list").agg(F.min(facts).alias("l2"))
+    outside = members.join(led, F.col("l1.id") == F.col("head")).where("c <> c1")
+    second = stage(outside.groupBy("list").agg(F.min(facts).alias("l2")), "leaders")
     columns, possible = _pair("l2", percent)
     apart = (F.col("low1") - F.col("l2.high1") > reach) | (F.col("l2.low1") - F.col("high1") > reach)
     asked = members.join(second, "list").where(possible & (F.col("c") != F.col("l2.c")) & ~F.coalesce(apart, F.lit(False)))
     tests2 = tested(stage(asked.select(*columns).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs"))
     links = links.union(linking(tests2))
 
-    again = open_lists(labelled(members, links)).join(second, "list")
+    again = open_lists(stage(labelled(members, links), "labelled"), second)
     again = with_distance(again, tests1.union(tests2), "l2", "2")
-    numbers = ["list", "id", "size", "common", "c", "low1", "high1", "low2", "high2"]
-    again = again.join(own.select("id", "bits"), "id").select(*numbers, "bits")
-    ordered = again.repartition("list").sortWithinPartitions("list", "id")
-    rest = map_batches(ordered, _rest_of_lists(percent), "a long, b long, sa long, sb long").distinct()
+    again = stage(again.select("list", "id", "size", "common", "c", "low1", "high1", "low2", "high2"), "open-members")
+    rest = map_batches(_cells(again, own), _rest_of_lists(percent), "a long, b long, sa long, sb long").distinct()
     done = pairs.select("a", "b").union(tests2.select("a", "b"))
     tests3 = tested(stage(rest.join(done, ["a", "b"], "left_anti"), "pairs"))
     return components(links.union(linking(tests3)))

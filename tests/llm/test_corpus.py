@@ -277,6 +277,37 @@ def test_texts_with_words_appended_prepended_or_cut_off_link(docs_of, n, percent
     assert len({first for _, first in expected.values()}) < 90
 
 
+def test_a_list_is_dealt_into_cells(spark, monkeypatch):
+    """No cell holds more than its two blocks, and members of two components meet in one."""
+    monkeypatch.setattr(ngram_join, "CELL_BYTES", 20 * (ngram_join.MEMBER_BYTES + 10))
+    rows = [(1, i, 10, 10, 0 if i < 200 else i, None, None, None, None) for i in range(300)]
+    members = spark.createDataFrame(rows, "list long, id long, size long, common long, c long, low1 double, high1 double, low2 double, high2 double")
+    cells = ngram_join._cells(members, spark.createDataFrame([(i, b"\0") for i in range(300)], "id long, bits binary"))
+    held = defaultdict(lambda: ([], []))
+    for r in cells.collect():
+        held[r.list, r.block, r.other][r.outside].append(r.id)
+    assert len(held) > 15 * 5 and max(len(inner) + len(outer) for inner, outer in held.values()) < 100
+    met = Counter((a, b) for inner, outer in held.values() for a in inner for b in outer)
+    assert met == {(a, b): 1 for a in range(300) for b in range(200, 300)}
+
+
+def test_groups_of_one_list_over_many_cells(docs_of, monkeypatch):
+    """A line that all texts share, near copies in one component and others outside of it."""
+    monkeypatch.setattr(ngram_join, "CELL_BYTES", 4096)
+    rng = np.random.default_rng(5)
+    texts = []
+    for g in range(12):
+        base = ["all", "texts", "hold", "this"] + [f"g{g}w{k % 60}" for k in range(60)]
+        for k in range(40 if g == 0 else int(rng.integers(1, 5))):
+            copy = base.copy()
+            copy[int(rng.integers(5, 60))] = f"g{g}n{k}"
+            texts.append(" ".join(copy))
+    order = rng.permutation(len(texts)).tolist()
+    for percent in (30, 90):
+        got = {r[0]: (r[1], r[2]) for r in ngram_join.similar_groups(docs_of(texts, order), 3, percent).collect()}
+        assert got == brute_groups(list(zip(order, texts, strict=True)), 3, percent)
+
+
 def test_groups_of_odd_rows(docs_of):
     docs = docs_of(["a b c", "a b c", None, None, "a b c", "  ", "x" * 50_000], [4, 4, None, 2, None, 3, 9])
     got = sorted(((r[0], r[1], r[2]) for r in ngram_join.similar_groups(docs).collect()), key=str)
