@@ -5,7 +5,7 @@ discounted expression gets its discount, and a prior weight, back in proportion
 model rests on continuation counts, how many different words a word follows in all training texts. So an expression that a
 class hardly shows is as likely in it as anywhere, and says nothing.
 
-Counts cover every training row and meet in shuffles that grow with the training texts. An expression (word, beginning of a
+Counts cover every training row but the calibrating ones and meet in shuffles that grow with the training texts. An expression (word, beginning of a
 word, bigram) gets probabilities of its own when it makes at least RARE of a class's words; at most 2 / RARE words or bigrams
 can, and 12 / RARE beginnings, whatever the corpus, so the model that is sent to the scoring tasks has a proven bound.
 A rarer word counts as its longest listed beginning, which finds an uncommon form of a common stem.
@@ -343,11 +343,11 @@ def fit_scorer(
     small = known.count() <= broadcast_labels
     texts = docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     calibrates = F.pmod(F.xxhash64("__id"), F.lit(CALIBRATION_SHARE)) == 0
-    counted = known.where(~calibrates)
+    sample = stage(known.where(calibrates).orderBy(F.xxhash64("__id"), "__id").limit(calibration_rows), "calibration")
+    counted = known.join(F.broadcast(sample.select("__id")), "__id", "left_anti")
     train = texts.join(F.broadcast(counted) if small else counted, "__id").select("__text", "__label")
     model = learn(train, rare)
 
-    sample = known.where(calibrates).orderBy(F.xxhash64("__id"), "__id").limit(calibration_rows)
     chosen = texts.join(F.broadcast(sample), "__id").select("__text", "__label")
     sent = docs.sparkSession.sparkContext.broadcast(Scorer(model, np.zeros(3)))
 

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import compare
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starmart.llm import line_dedup, ngram_join, toxicity, vector_search, warc
@@ -193,6 +194,16 @@ def test_toxicity_of_odd_tables(spark, docs_of):
     assert toxicity.score_toxicity(docs.limit(0), toxicity.fit_scorer(docs.limit(0), labels.limit(0))).collect() == []
 
 
+def test_only_rows_that_calibrate_are_left_out_of_the_counts(spark, docs_of, monkeypatch):
+    docs = docs_of([f"word{i % 7} other{i % 5}" for i in range(600)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int")
+    seen, learn = [], toxicity.learn
+    monkeypatch.setattr(toxicity, "learn", lambda train, rare: (seen.append(train.count()), learn(train, rare))[1])
+    trained = docs.where(~toxicity.held_out(F.col("doc_id"))).count()
+    toxicity.fit_scorer(docs, labels, calibration_rows=10)
+    assert seen == [trained - 10]
+
+
 def test_both_models_are_distributions(spark):
     texts = [("a b a c " * (i % 5 + 1), i % 2) for i in range(60)]
     model = toxicity.learn(spark.createDataFrame(texts, "text string, label int"))
