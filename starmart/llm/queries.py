@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, ngram_join, packing, quality_rules, secret_scan, token_counts, toxicity, vector_search, warc
+from . import (
+    bpe,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality_rules,
+    resampling,
+    secret_scan,
+    token_counts,
+    toxicity,
+    vector_search,
+    warc,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +139,59 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(decimal, 256).alias("ids_sha256"),
         F.sha2("__bytes", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = resampling.resample(docs, target, percent=10, least_words=20, longest=1, buckets=10_000, seed=2024)
+    return drawn.select(
+        F.col("__id").alias("doc_id"),
+        F.col("__n_features").alias("n_features"),
+        F.col("__weight").alias("weight"),
+        F.col("__score").alias("score"),
+        F.col("__rank").alias("rank"),
+    )
+
+
+# The remainders of CRC-32 for each byte are made by eight steps of its polynomial; sums are taken of distinct words.
+ORACLE["op13_importance_resampling"] = r"""
+WITH RECURSIVE step AS (
+  SELECT i AS byte, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8
+), remainders AS (SELECT list(c ORDER BY byte) AS t FROM step WHERE k = 8),
+words AS (
+  SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL
+  SELECT 'b', item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), counted AS (SELECT side, id, word, count(*) AS n FROM words GROUP BY ALL),
+hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM counted)),
+bucketed AS (
+  SELECT word, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM hexed, remainders
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM counted JOIN bucketed USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * ((SELECT sum(s) FROM sums) + 10000))::DOUBLE
+                                 / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000))::DOUBLE))::BIGINT AS gain FROM sums
+), weights AS (
+  SELECT id, sum(n) AS n_features, sum(n * gain) AS weight
+  FROM counted JOIN bucketed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT
+           + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weights ON id = doc_id
+), placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * (SELECT count(*) FROM scored WHERE n_features >= 20) // 100 THEN place END AS rank
+FROM placed
+"""
