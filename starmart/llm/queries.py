@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import (
     bpe,
     line_dedup,
+    mixing,
     ngram_join,
     packing,
     quality_rules,
@@ -195,3 +196,62 @@ SELECT doc_id, n_features, weight, score,
        CASE WHEN n_features >= 20 AND place <= 10 * (SELECT count(*) FROM scored WHERE n_features >= 20) // 100 THEN place END AS rank
 FROM placed
 """
+
+
+@query
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality weights: 2 for documents labelled good, 1/2 for those labelled bad, 1 for the others."""
+    labels = table(spark, sf_dir, "labels")
+    quality = labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("weight"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=[5, 2, 1], percent=150, epochs=2, seed=2024, quality=quality)
+    return mixed.select(
+        F.col("__id").alias("doc_id"),
+        F.col("__size").alias("size"),
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        F.col("__taken").alias("taken"),
+    )
+
+
+# Targets by one pass over the sources in order of cap per weight, not by rounds.
+ORACLE["op11_source_mixing"] = r"""
+WITH RECURSIVE good AS (
+  SELECT doc_id, max(CASE quality WHEN 1 THEN 2.0::DOUBLE WHEN 0 THEN 0.5::DOUBLE END) AS w FROM labels GROUP BY doc_id
+), sized AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(1114111)) AS source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         -ln((('0x' || substr(sha256('2024:' || doc_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) / coalesce(w, 1.0::DOUBLE) AS key
+  FROM documents LEFT JOIN good USING (doc_id)
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT *, 2 * source_size AS cap,
+         sum(source_size) OVER () * 150 / 100.0::DOUBLE
+           - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(weight) OVER (ORDER BY 2 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM sources
+), capped AS (SELECT *, cap * weights <= rest * weight AS above FROM levels),
+shared AS (
+  SELECT source, source_size, CASE WHEN above THEN cap::DOUBLE ELSE (SELECT max_by(rest, weights) FROM capped WHERE NOT above) * weight
+    / (SELECT max(weights) FROM capped WHERE NOT above)::DOUBLE END AS target
+  FROM capped
+), budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM shared
+), summed AS (
+  SELECT r, doc_id, size, source, source_size, target, epochs, target - epochs * source_size AS rest,
+         sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM sized s JOIN budgets b USING (source)
+), late AS (
+  SELECT r, source, size, rest, upto - size AS before, row_number() OVER (PARTITION BY source ORDER BY upto) AS place
+  FROM summed WHERE upto > rest AND size > 0 AND rest > 0
+), tries AS (
+  SELECT source, place, r, size <= rest - before AS fits, rest - before - CASE WHEN size <= rest - before THEN size ELSE 0 END AS gap
+  FROM late WHERE place = 1
+  UNION ALL
+  SELECT l.source, l.place, l.r, l.size <= t.gap, t.gap - CASE WHEN l.size <= t.gap THEN l.size ELSE 0 END
+  FROM tries t JOIN late l ON l.source = t.source AND l.place = t.place + 1 AND l.place <= 64
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (epochs + CASE WHEN (upto <= rest AND rest > 0) OR coalesce(fits, false) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM summed LEFT JOIN (SELECT r, fits FROM tries WHERE fits) USING (r)
+"""
