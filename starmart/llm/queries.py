@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     bpe,
     line_dedup,
     mixing,
@@ -255,3 +256,16 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
        (size * (epochs + CASE WHEN (upto <= rest AND rest > 0) OR coalesce(fits, false) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM summed LEFT JOIN (SELECT r, fits FROM tries WHERE fits) USING (r)
 """
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranks, model = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(docs, ranks, public_tokenizers.PATTERN, model)
+    figures = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return aligned.select(
+        F.col("__id").alias("doc_id"),
+        *[F.col(f"__{name}").alias(name) for name in figures],
+        F.col("__groups").alias("groups_sha256"),
+    )
