@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio, ratio_of_sums, round_stable, safe_corr
-from ..operators import exact_ntile, exact_percentiles, leaders_per_group, stage
+from ..operators import exact_ntile, exact_percentiles, leaders_per_group, stage, sum_lattice
 
 
 def price_variation(
@@ -103,6 +103,43 @@ def markup_by_state(charges: DataFrame, dim_geography: DataFrame) -> DataFrame:
     return _markup(sums, ["state_code", "census_region"], None)
 
 
+# Levels of the lattice, from the finest to the whole.
+MARKUP_LEVELS = [
+    ["census_region", "state_code", "service_line"],
+    ["census_region", "state_code"],
+    ["census_region", "service_line"],
+    ["census_region"],
+    ["service_line"],
+    [],
+]
+
+
+def markup_lattice(charges: DataFrame, dim_drg: DataFrame, dim_geography: DataFrame) -> DataFrame:
+    """Markup by state and region, with and without the service line, by service line alone and in all.
+
+    The fact is read once and summed by state and diagnosis group before it meets the dimensions; every level comes from these sums, and
+    its weighted means from its own sums, never from the means of a finer level.
+    """
+    parts = ["total_discharges", "wtd_covered_charge", "wtd_medicare_payment"]
+    known = charges.where(F.col("geo_sk").isNotNull() & F.col("drg_sk").isNotNull())
+    sums = known.groupBy("geo_sk", "drg_sk").agg(*[F.sum(p).alias(p) for p in parts])
+    lines = dim_drg.select("drg_sk", "service_line")
+    places = dim_geography.select("geo_sk", "state_code", "census_region")
+    base = sums.join(lines, "drg_sk").join(places, "geo_sk").groupBy("census_region", "state_code", "service_line")
+    rolled = sum_lattice(base.agg(*[F.sum(p).alias(p) for p in parts]), MARKUP_LEVELS, parts)
+    n, charge, payment = (F.col(p).cast("double") for p in parts)
+    return rolled.select(
+        "level",
+        "census_region",
+        "state_code",
+        "service_line",
+        F.col(parts[0]).alias("discharges"),
+        round_stable(guarded_ratio(charge, n), 0).alias("wavg_charge"),
+        round_stable(guarded_ratio(payment, n), 0).alias("wavg_medicare_pay"),
+        round_stable(guarded_ratio(charge, payment), 2).alias("markup_ratio"),
+    )
+
+
 def provider_cost_quality(charges: DataFrame, readmissions: DataFrame) -> DataFrame:
     """Hospitals in both facts: provider_sk, mean_medicare_pay (weighted), mean_excess_readmit (over conditions).
 

@@ -1,6 +1,8 @@
-"""Writing: landing files, tables, views and result snapshots."""
+"""Writing: landing files, tables, views, histories, sessions and result snapshots."""
 
 from .files import save_result, write_landing
+from .history import History
+from .sessions import SessionTable
 from .store import Store, namespace_for
 
-__all__ = ["Store", "namespace_for", "save_result", "write_landing"]
+__all__ = ["History", "SessionTable", "Store", "namespace_for", "save_result", "write_landing"]

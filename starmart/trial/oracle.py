@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..functions.text import TITLE_DELIMITERS
 from ..plans.lookups import CENSUS_REGIONS, COMMON_CODES, CONDITIONS, SERVICE_LINES, URBANICITY
 from .extracts import MEASURES, RUCA_CODES, STATES
+from .years_oracle import YEARS
 
 _DELIMITER_CLASS = "[\\s" + "".join("\\" + c for c in TITLE_DELIMITERS).replace("'", "''") + "]"
 _OTHER_CLASS = "[^" + _DELIMITER_CLASS[1:]
@@ -535,4 +536,19 @@ def oracle_sql() -> dict[str, str]:
               with {_DIRTY}, checks as ({_ALL_CHECKS})
               select *, case when failures = 0 then 'PASS' when check_name = 'relationships' then 'WARN' else 'ERROR' end
                 as status from checks)""",
+        "markup_lattice": f"""
+            {STAR}, placed as (
+              select census_region, state_code, service_line, total_discharges, wtd_covered_charge, wtd_medicare_payment
+              from fact_charges f join dim_drg d on f.drg_sk = d.drg_sk join dim_geography g on f.geo_sk = g.geo_sk
+            )
+            select case when level = '' then 'all' else level end as level, * exclude (level) from (
+              select array_to_string(list_filter([
+                       case when grouping(census_region) = 0 then 'census_region' end,
+                       case when grouping(state_code) = 0 then 'state_code' end,
+                       case when grouping(service_line) = 0 then 'service_line' end], lambda c: c is not null), ' x ') as level,
+                     census_region, state_code, service_line, {_WEIGHTED}
+              from placed
+              group by grouping sets ((census_region, state_code, service_line), (census_region, state_code),
+                (census_region, service_line), (census_region), (service_line), ()))""",
+        **YEARS,
     }

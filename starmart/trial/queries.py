@@ -52,7 +52,7 @@ from ..sources import (
     read_pages,
 )
 from ..sources.landing import REASON
-from . import mart
+from . import mart, years
 from .extracts import MEASURES, RUCA_CODES, STATES, _pick, padded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,6 +286,11 @@ def q_markup_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.markup_by_state(s["fact_inpatient_charges"], s["dim_geography"]).drop("geo_sk")
 
 
+def q_markup_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = mart.star(spark, sf_dir)
+    return questions.markup_lattice(s["fact_inpatient_charges"], s["dim_drg"], s["dim_geography"])
+
+
 def q_weighted_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     charge, n = F.col("avg_covered_charge"), F.col("total_discharges")
     naive = round_stable(F.sum(charge).cast("double") / F.count(charge), 2)
@@ -508,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "percentiles_sketched": q_line_percentiles,
     "q2_markup": q_q2,
     "markup_by_state": q_markup_by_state,
+    "markup_lattice": q_markup_lattice,
     "weighted_avg": q_weighted_avg,
     "q3_cost_vs_quality": q_q3,
     "cost_quality_corr": q_corr,
@@ -526,4 +532,5 @@ QUERIES: dict[str, Query] = {
     "check_freshness": q_check_freshness,
     "dq_report": q_dq_report,
     "dq_report_dirty": q_dq_report_dirty,
+    **years.QUERIES,
 }
