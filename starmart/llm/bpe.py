@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from .byte_bpe import encoding, ranks
 from .common import map_batches, partitions, strings
 
-# Code points of the documents of one block, about.
-BLOCK = 16 << 20
+# Code points of the documents of one block, about: a task holds one block's words and positions at a time.
+BLOCK = 3 << 20
+# Beyond so many code points the words of a text are numbered one by one, without a list of them.
+LONG = 1 << 20
 # Tokens of the documents in one batch that leaves a task.
 OUT_TOKENS = 1 << 20
 
@@ -66,7 +68,7 @@ def _pack_numbers(numbers: np.ndarray) -> bytes:
 
 def _unpack_numbers(packed: bytes) -> np.ndarray:
     first, low, middle, rest = (np.frombuffer(part, kind) for part, kind in zip(_unpack_lists(packed, compressed=True), "BBBI"))
-    kind = (first >= 192).astype(int) + (first >= 248) + (first == 255)
+    kind = (first >= 192).astype(np.uint8) + (first >= 248) + (first == 255)
     x, head = first.astype(np.int64), first.astype(np.int64)
     lows = np.zeros(len(x), np.int64)
     lows[(kind == 1) | (kind == 2)] = low
@@ -100,7 +102,7 @@ def _blocks(docs: DataFrame, pattern: str, buckets: int, block: int) -> DataFram
     def work(batches):
         from pyspark import TaskContext
 
-        find, number = word_pattern(pattern).findall, TaskContext.get().partitionId() << 33
+        words_of, number = word_pattern(pattern), TaskContext.get().partitionId() << 33
         words, ids, positions, size = _Numbers(), [], [], 0
 
         def close():
@@ -128,8 +130,12 @@ def _blocks(docs: DataFrame, pattern: str, buckets: int, block: int) -> DataFram
         for batch in batches:
             start = 0
             for row, text in enumerate(strings(batch.column(1))):
-                found = find(text)
-                positions.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
+                if len(text) > LONG:
+                    one_by_one = (words[match.group()] for match in words_of.finditer(text))
+                    positions.append(np.fromiter(one_by_one, np.uint32))
+                else:
+                    found = words_of.findall(text)
+                    positions.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
                 size += len(text)
                 if size >= block:
                     ids.append(batch.column(0).slice(start, row + 1 - start))
@@ -212,9 +218,11 @@ def encode(
 def _by_number(own: np.ndarray, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of a block's words: all ids, bucket after bucket, and starts and lengths by the numbers of the words."""
     starts, lengths, ids, total = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), [np.zeros(0, np.int64)], 0
+    by_bucket = np.argsort(own, kind="stable")
+    sorted_own = own[by_bucket]
     for answer in answers:
         counts, flat = map(_unpack_numbers, _unpack_lists(answer["ids"]))
-        numbers = np.flatnonzero(own == answer["bucket"])
+        numbers = by_bucket[slice(*np.searchsorted(sorted_own, [answer["bucket"], answer["bucket"] + 1]))]
         lengths[numbers] = counts
         starts[numbers] = total + np.cumsum(counts) - counts
         ids.append(flat)

@@ -61,6 +61,16 @@ def test_bpe_of_odd_texts(docs_of, block):
         assert bytes(decoded[i]["__bytes"]) == (text or "").encode()
 
 
+def test_bpe_of_long_texts_lists_no_words(docs_of, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG", 100)
+    library, texts = encoding(RANKS, PATTERN), ["It's 12 o'clock,  and all's well.\n" * 40, "z" * 5000, "short"]
+    # The limit is read where the blocks are made, in a worker that is forked with it or not; both ways give the same ids.
+    for row in bpe.encode(docs_of(texts), RANKS, PATTERN).collect():
+        assert list(row["__ids"]) == library.encode_ordinary(texts[row.doc_id])
+    one_by_one = [m.group() for m in bpe.word_pattern(PATTERN).finditer(texts[0])]
+    assert one_by_one == bpe.word_pattern(PATTERN).findall(texts[0])
+
+
 def test_bpe_of_no_and_of_repeated_rows(docs_of):
     assert bpe.decode(bpe.encode(docs_of([]), RANKS, PATTERN), RANKS).collect() == []
     twice = bpe.encode(docs_of(["a b", "a b"], [None, None]), RANKS, PATTERN).collect()
