@@ -1,45 +1,54 @@
 """Toxicity by two class-conditional language models with Kneser-Ney smoothing.
 
-Each class (toxic, ordinary) has a bigram model over a word model. Both back off to counts that the classes share: a
-discounted expression gets its discount, and a prior weight, back in proportion to what the shared model expects of it, and that
-model rests on continuation counts, how many different words a word follows in all training texts. So an expression that a
-class hardly shows is as likely in it as anywhere, and says nothing.
-
-Counts cover every training row but the calibrating ones and meet in shuffles that grow with the training texts. An expression (word, beginning of a
-word, bigram) gets probabilities of its own when it makes at least RARE of a class's words; at most 2 / RARE words or bigrams
-can, and 12 / RARE beginnings, whatever the corpus, so the model that is sent to the scoring tasks has a proven bound.
-A rarer word counts as its longest listed beginning, which finds an uncommon form of a common stem.
-
-A document's raw score is the difference of the two log-likelihoods, normalized by its length; a logistic curve, fitted on labelled rows
-that the counts leave out, turns it into a score from 0 to 1.
+Each class (toxic, ordinary) has a bigram model over a word model. The lower order counts continuations, as Kneser and Ney have it: a word
+counts once for each different word that it follows in the class. Both orders back off to counts that the classes share. What a class
+shows of an expression is discounted, and the discounts go back as the shared counts expect; then both what is seen and what is
+expected are raised by a prior. So a rare expression is about as likely in one class as in the other, and only what one class says far
+more often than its share moves a score. A word is expected as its beginnings are, from three characters on, which finds an uncommon form of
+a common stem; a pair is expected as its left word's occurrences and its right word are.
+
+Every word, beginning and pair of the training texts is counted, in tables that grow with them and are only joined. Expressions whose log
+ratio of toxic over ordinary stays within a limit count as equally likely in both. The others are the model, a table. Texts
+are scored in blocks: a block asks once for each expression that the model may hold, by the sums of a filter of bounded size, and
+answers come back to the blocks; what the filter lets through in vain finds no answer, so it decides only what moves.
+
+A document's two raw scores are the sums, over its words and over its pairs, of the log ratios of all their occurrences, divided by its
+number of words (and SHORT more, so that a few words are no proof). A logistic curve, fitted on labelled rows that the counts leave out, turns them
+into a score from 0 to 1.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.staged import stage
 
-from .common import map_batches, strings
+from .bpe import _Numbers, _pack_lists, _unpack_lists
+from .common import map_batches, slices, strings
 
-# Least share of a class's words, and least count, at which an expression is modelled for itself.
-RARE = 1e-5
-LEAST = 4
-# Kneser-Ney discount, and the weight in counts of what the shared model expects.
+# Kneser-Ney discount, and the counts by which what is seen and what is expected are raised: of words and of pairs.
 DISCOUNT = 0.75
-PRIOR = 2.0
-PAIR_PRIOR = 50.0
-# Raw scores are sums divided by the root of the number of bigrams and this many more, as the noise of a sum grows with the root.
+PRIOR, PAIR_PRIOR = 4.0, 8.0
+# Log ratios up to these count as none. Pairs are weighed against their own words, so less of theirs is chance.
+EVIDENCE, PAIR_EVIDENCE = 1.5, 0.5
+# Words by which each text counts as longer.
 SHORT = 30
-# Beginnings that can stand for a rare word, in characters.
+# Beginnings on which a word's expectation rests, in characters.
 STEMS = range(3, 9)
+# Code points of the documents that are counted or scored together, about; longer texts are read word by word.
+BLOCK = 3 << 20
+# Fewest and most bits of the filter, as powers of two: 64 MB at most; and bits for each expression of the model, below that.
+FILTER_BITS = (15, 29)
+BITS_EACH = 64
 # Labels up to this many rows are sent to the texts; more are joined by Spark's own choice.
 BROADCAST_LABELS = 2_000_000
 # One labelled row in CALIBRATION_SHARE fits the logistic curve; of these at most CALIBRATION_ROWS, lowest hash first.
@@ -47,8 +56,10 @@ CALIBRATION_SHARE = 6
 CALIBRATION_ROWS = 20_000
 
 _WORD = re.compile(r"\w+")
-# Ids of words that are not modelled for themselves and of the place before the first word.
-_RARE_WORD, _BEGIN = 0, 1
+# Spark's xxhash64 of a text is this sum with its seed, so keys made on either side agree.
+_SEED = 42
+# Bits of a bitmap row of Spark's bitmap functions.
+_BITMAP = 32_768
 
 
 def held_out(id_column: Column) -> Column:
@@ -56,250 +67,345 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")) % 3 == 1, F.lit(False))
 
 
-def _words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def _key(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode(), _SEED)
 
 
-class _Ids(dict):
-    """Ids of listed words and of listed beginnings (with a trailing star); other words are looked up once."""
+def _pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return left ^ ((right << np.uint64(1)) | (right >> np.uint64(63)))
 
-    def __missing__(self, word: str) -> int:
-        found = _RARE_WORD
-        for length in range(min(STEMS.stop - 1, len(word)), STEMS.start - 1, -1):
-            stem = word[:length] + "*"
-            if stem in self:
-                found = self[stem]
-                break
-        if len(self) < 1_500_000:
-            self[word] = found
-        return found
 
+def _pair_key(left: Column, right: Column) -> Column:
+    turned = F.shiftleft(right, 1).bitwiseOR(F.shiftrightunsigned(right, 63))
+    return left.bitwiseXOR(turned)
 
-def _ids(text: str, ids: _Ids) -> np.ndarray:
-    words = _words(text)
-    found = np.empty(len(words) + 1, np.int64)
-    found[0] = _BEGIN
-    found[1:] = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-    return found
 
+def _stem_mark(text: str) -> str:
+    """No word has this mark, so beginnings and words have keys of their own."""
+    return text + "*"
 
-def _bigrams(ids: np.ndarray, size: int) -> np.ndarray:
-    """Different bigrams of a text: what a text repeats, such as a line or a stammer, counts once in it.
-
-    The left word is the last one that is not rare, as a rare one tells nothing of what follows.
-    """
-    last = np.maximum.accumulate(np.where(ids[:-1] != _RARE_WORD, np.arange(len(ids) - 1), 0))
-    return np.unique(ids[last] * size + ids[1:])
 
+class _Texts:
+    """Words of some texts by number; number 0 is the place before the first word."""
 
-@dataclass
-class Model:
-    """Log ratios (toxic over ordinary): of a word, of what follows a word at all, and what a bigram adds."""
+    def __init__(self):
+        self.words, self.rows, self.size = _Numbers(), [], 0
+        self.words[""]
 
-    words: dict[str, int]
-    word: np.ndarray
-    after: np.ndarray
-    bigrams: np.ndarray
-    bigram: np.ndarray
+    def add(self, text: str) -> None:
+        number = self.words.__getitem__
+        if len(text) > BLOCK:
+            found = np.fromiter((number(m.group()) for m in _WORD.finditer(text.lower())), np.int64)
+        else:
+            words = _WORD.findall(text.lower())
+            found = np.fromiter(map(number, words), np.int64, len(words))
+        self.rows.append(found)
+        self.size += len(text)
 
-    @property
-    def size(self) -> int:
-        return len(self.words) + 2
+    def keys(self) -> np.ndarray:
+        return np.fromiter(map(_key, self.words), np.uint64, len(self.words))
 
-    def raw_score(self, ids: np.ndarray) -> tuple[float, float]:
-        """Length-normalized sums of the log ratios of the text's different bigrams: by words, by pairs; 0 without words."""
-        if len(ids) < 2:
-            return 0.0, 0.0
-        keys = _bigrams(ids, self.size)
-        by_words = (self.word[keys % self.size] - self.after[keys // self.size]).sum()
-        by_pairs = 0.0
-        if len(self.bigrams):
-            at = np.minimum(np.searchsorted(self.bigrams, keys), len(self.bigrams) - 1)
-            by_pairs = np.where(self.bigrams[at] == keys, self.bigram[at], 0.0).sum()
-        length = np.sqrt(len(keys) + SHORT)
-        return float(by_words / length), float(by_pairs / length)
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, left and right number of every word's occurrence, in order."""
+        lengths = np.fromiter(map(len, self.rows), np.int64, len(self.rows))
+        right = np.concatenate([*self.rows, np.zeros(0, np.int64)])
+        left = np.zeros(len(right), np.int64)
+        left[1:] = right[:-1]
+        starts = np.cumsum(lengths) - lengths
+        left[starts[lengths > 0]] = 0
+        return np.repeat(np.arange(len(lengths)), lengths), left, right
 
 
-def _count_words(train: DataFrame) -> DataFrame:
-    """Rows (word, toxic, ordinary), summed within each task before they are shuffled."""
+def _words_of(train: DataFrame) -> DataFrame:
+    """The different words of all texts."""
 
     def work(batches):
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        texts = _Texts()
 
         def drain():
-            words = list(counts[0].keys() | counts[1].keys())
-            columns = [[counts[c][w] for w in words] for c in (1, 0)]
-            for i in range(0, len(words), 50_000):
-                part = [pa.array(x[i : i + 50_000], t) for x, t in ((words, pa.string()), *((c, pa.int64()) for c in columns))]
-                yield pa.RecordBatch.from_arrays(part, names=["word", "toxic", "ordinary"])
-            counts[0].clear(), counts[1].clear()
-
-        for batch in batches:
-            for text, label in zip(strings(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                counts[label].update(set(_words(text)))
-            if len(counts[0]) + len(counts[1]) > 500_000:
-                yield from drain()
+            words = [word for word in texts.words if word]
+            for at in range(0, len(words), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(words[at : at + 50_000], pa.string())], names=["word"])
+
+        for batch in slices(batches):
+            for text in strings(batch.column(0)):
+                texts.add(text)
+                texts.rows.clear()
+                if texts.size >= BLOCK:
+                    yield from drain()
+                    texts = _Texts()
         yield from drain()
 
-    counted = map_batches(train, work, "word string, toxic long, ordinary long")
-    return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    return map_batches(train.select("__text"), work, "word string").distinct()
 
 
-def _count_bigrams(train: DataFrame, words: dict[str, int]) -> DataFrame:
-    """Rows (key, toxic, ordinary) with key = left id * model size + right id, summed within each batch."""
-    sent, size = train.sparkSession.sparkContext.broadcast(words), len(words) + 2
+def _count_pairs(train: DataFrame) -> DataFrame:
+    """Rows (v, w, toxic, ordinary): occurrences of each pair of words, summed within blocks before they move."""
 
     def work(batches):
-        ids = _Ids(sent.value)
-        for batch in batches:
-            keys: tuple[list, list] = ([], [])
-            for text, label in zip(strings(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                keys[label].append(_bigrams(_ids(text, ids), size))
-            joined = [np.concatenate([*k, np.zeros(0, np.int64)]) for k in keys]
-            distinct, place = np.unique(np.concatenate(joined), return_inverse=True)
-            counts = [
-                np.bincount(p, minlength=len(distinct)).astype(np.int64) for p in np.split(place, [len(joined[0])])
-            ]
-            for i in range(0, len(distinct), 100_000):
-                part = [pa.array(x[i : i + 100_000]) for x in (distinct, counts[1], counts[0])]
-                yield pa.RecordBatch.from_arrays(part, names=["key", "toxic", "ordinary"])
+        texts, labels = _Texts(), []
 
-    counted = map_batches(train, work, "key long, toxic long, ordinary long")
-    return counted.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+        def drain():
+            row, left, right = texts.pairs()
+            size, toxic = len(texts.words), np.array(labels, bool)
+            codes, place = np.unique(left * size + right, return_inverse=True)
+            counts = [np.bincount(place, of, len(codes)).astype(np.int64) for of in (toxic[row], ~toxic[row])]
+            keys = texts.keys().view(np.int64)
+            for at in range(0, len(codes), 100_000):
+                part = slice(at, at + 100_000)
+                columns = [keys[codes[part] // size], keys[codes[part] % size], *(c[part] for c in counts)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["v", "w", "toxic", "ordinary"])
+
+        for batch in slices(batches):
+            for text, label in zip(strings(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                texts.add(text)
+                labels.append(label)
+                if texts.size >= BLOCK:
+                    yield from drain()
+                    texts, labels = _Texts(), []
+        if labels:
+            yield from drain()
+
+    counted = map_batches(train.select("__text", "__label"), work, "v long, w long, toxic long, ordinary long")
+    return counted.groupBy("v", "w").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
+def least_pair(prior: float = PAIR_PRIOR, evidence: float = PAIR_EVIDENCE) -> int:
+    """Occurrences below which no pair can be evidence: counts and expectations lie between 0 and the occurrences."""
+    return next(n for n in range(1, 1 << 20) if 2 * math.log((n + prior) / prior) > evidence)
+
+
+def _refined(
+    logs: tuple[Column, Column], weights: tuple[Column, Column], counts: tuple[Column, Column], prior: float
+) -> tuple[Column, Column]:
+    """Logs of what each class shows over its share, of an expression expected as ``weights`` split it."""
+    total = counts[0] + counts[1]
+    expected = [total * w / (weights[0] + weights[1]) for w in weights]
+    given_back = (F.least(counts[0], F.lit(DISCOUNT)) + F.least(counts[1], F.lit(DISCOUNT))) / total
+    out = []
+    for log, count, e in zip(logs, counts, expected):
+        smoothed = F.greatest(count - DISCOUNT, F.lit(0.0)) + given_back * e
+        out.append(log + F.log((smoothed + prior) / (e + prior)))
+    return out[0], out[1]
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """The model (a written table of ``key``, ``value``, ``is_pair``), its filter, and the weights of both raw scores and a constant."""
 
+    model: DataFrame
+    bits: np.ndarray
+    weights: np.ndarray
 
-def _frequent(counts: DataFrame, rare: float, totals: np.ndarray) -> list[tuple]:
-    """Sorted rows of expressions that are not rare in one class or the other: at most one in ``rare`` of either."""
-    often = (F.col("toxic") >= max(LEAST, rare * totals[0])) | (F.col("ordinary") >= max(LEAST, rare * totals[1]))
-    return sorted(tuple(r) for r in counts.where(often).collect())
+    def score(self) -> Column:
+        """The score of raw scores ``__words`` and ``__pairs``."""
+        a, b, c = (float(w) for w in self.weights)
+        x = F.lit(a) * F.col("__words") + F.lit(b) * F.col("__pairs") + F.lit(c)
+        return 1 / (1 + F.exp(-F.greatest(F.least(x, F.lit(700.0)), F.lit(-700.0))))
+
+
+def learn(train: DataFrame) -> Scorer:
+    """The model of all rows (``__text``, ``__label``: 1 toxic, 0 ordinary) of ``train``; the weights are zeros."""
+    grouped = _count_pairs(train)
+    often = F.col("toxic") + F.col("ordinary") >= least_pair()
+    none = F.lit(None).cast("long")
+    # One exchange serves the three: pairs that can be evidence, and what each word follows and is followed by, of all pairs.
+    parts = [
+        grouped.where(often).select(F.lit(0).alias("kind"), "v", "w", "toxic", "ordinary"),
+        grouped.groupBy("w")
+        .agg(F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("ordinary") > 0).alias("ordinary"))
+        .select(F.lit(1).alias("kind"), none.alias("v"), "w", "toxic", "ordinary"),
+        grouped.groupBy("v")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+        .select(F.lit(2).alias("kind"), "v", none.alias("w"), "toxic", "ordinary"),
+    ]
+    counts = stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "toxicity-counts")
+    double = {c: F.col(c).cast("double") for c in ("toxic", "ordinary")}
+    follows = counts.where("kind = 1").select("w", *[c.alias(n) for n, c in double.items()])
+    totals = [float(n or 0) for n in follows.agg(F.sum("toxic"), F.sum("ordinary")).first()]
+
+    words = stage(_words_of(train).join(follows, F.xxhash64("word") == F.col("w")).drop("w"), "toxicity-words")
+    expressions = stage(_word_evidence(words, totals), "toxicity-expressions")
+    own = F.abs("value") > EVIDENCE
+    found = expressions.where(own | (F.abs("parent") > EVIDENCE)).groupBy("key")
+    # An expression without evidence hides its shorter beginnings that have some.
+    listed = found.agg(F.max(F.when(own, F.col("value")).otherwise(0.0)).alias("value")).withColumn("is_pair", F.lit(False))
+
+    known = expressions.where(own & F.col("whole")).select(F.col("key").alias("w"), "toxic_log", "ordinary_log")
+    before = counts.where("kind = 2").select("v", F.col("toxic").alias("v_toxic"), F.col("ordinary").alias("v_ordinary"))
+    pairs = counts.where("kind = 0").drop("kind").withColumns(double).join(before, "v").join(known, "w", "left")
+    weights = [
+        F.col(f"v_{c}") * F.exp(F.coalesce(F.col(f"{c}_log"), F.lit(0.0))) for c in ("toxic", "ordinary")
+    ]
+    zero = F.lit(0.0)
+    logs = _refined((zero, zero), (weights[0], weights[1]), (F.col("toxic"), F.col("ordinary")), PAIR_PRIOR)
+    paired = pairs.select(_pair_key(F.col("v"), F.col("w")).alias("key"), (logs[0] - logs[1]).alias("value"))
+    paired = paired.where(F.abs("value") > PAIR_EVIDENCE).groupBy("key").agg(F.max("value").alias("value"))
+    model = stage(listed.unionByName(paired.withColumn("is_pair", F.lit(True))), "toxicity-model")
+    return Scorer(model, _filter(model), np.zeros(3))
 
 
-def _totals(counts: DataFrame) -> np.ndarray:
-    row = counts.agg(F.sum("toxic"), F.sum("ordinary")).first()
-    return np.array([row[0] or 0, row[1] or 0], float)
+def _word_evidence(words: DataFrame, totals: list[float]) -> DataFrame:
+    """Rows of each word and each of its beginnings: ``key``, ``value`` (log ratio), ``parent`` (that of the next shorter one).
 
+    ``whole`` marks words; ``toxic_log`` and ``ordinary_log`` are the two logs. Beginnings come once per word that has them, alike.
+    """
+    beginnings = F.filter(
+        F.array(*[F.when(F.char_length("word") >= n, F.substring("word", 1, n)) for n in STEMS]), lambda s: s.isNotNull()
+    )
+    each = words.select("word", F.explode(beginnings).alias("stem"), "toxic", "ordinary")
+    stems = each.groupBy("stem").agg(F.sum("toxic").alias("s_toxic"), F.sum("ordinary").alias("s_ordinary"))
+    step = F.struct(F.char_length("stem").alias("n"), F.xxhash64(F.concat("stem", F.lit("*"))).alias("key"), "s_toxic", "s_ordinary")
+    steps = each.select("word", "stem").join(stems, "stem").groupBy("word").agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    whole = F.struct(
+        F.lit(1 << 30).alias("n"), F.xxhash64("word").alias("key"), F.col("toxic").alias("s_toxic"), F.col("ordinary").alias("s_ordinary")
+    )
+    lined = words.join(steps, "word", "left").withColumn("whole", F.array(whole))
+    chain = F.when(F.col("steps").isNull(), F.col("whole")).otherwise(F.concat("steps", "whole"))
+    made = "array<struct<key: bigint, value: double, parent: double, whole: boolean, toxic_log: double, ordinary_log: double>>"
+    start = F.struct(F.lit(0.0).alias("toxic"), F.lit(0.0).alias("ordinary"), F.array().cast(made).alias("made"))
+
+    def refine(state, one):
+        logs = (state["toxic"], state["ordinary"])
+        weights = tuple(F.lit(n) * F.exp(log) for n, log in zip(totals, logs))
+        toxic, ordinary = _refined(logs, (weights[0], weights[1]), (one["s_toxic"], one["s_ordinary"]), PRIOR)
+        row = F.struct(
+            one["key"].alias("key"),
+            (toxic - ordinary).alias("value"),
+            (logs[0] - logs[1]).alias("parent"),
+            (one["n"] == (1 << 30)).alias("whole"),
+            toxic.alias("toxic_log"),
+            ordinary.alias("ordinary_log"),
+        )
+        return F.struct(toxic.alias("toxic"), ordinary.alias("ordinary"), F.concat(state["made"], F.array(row).cast(made)).alias("made"))
 
-def _by_id(counts: DataFrame, words: dict[str, int]) -> DataFrame:
-    """Counts of each id of the model, rare words under their beginnings."""
-    sent = counts.sparkSession.sparkContext.broadcast(words)
+    rows = F.aggregate(chain, start, refine)["made"]
+    return lined.select(F.explode(rows).alias("row")).select("row.*")
 
-    def work(batches):
-        ids = _Ids(sent.value)
-        for batch in batches:
-            own = np.fromiter((ids[w] for w in batch.column(0).to_pylist()), np.int64, batch.num_rows)
-            distinct, place = np.unique(own, return_inverse=True)
-            sums = [np.zeros(len(distinct), np.int64) for _ in range(2)]
-            for k in range(2):
-                np.add.at(sums[k], place, batch.column(k + 1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (distinct, *sums)], names=["id", "toxic", "ordinary"])
 
-    counted = map_batches(counts.select("word", "toxic", "ordinary"), work, "id long, toxic long, ordinary long")
-    return counted.groupBy("id").agg(F.sum("toxic"), F.sum("ordinary"))
+def _filter(model: DataFrame) -> np.ndarray:
+    """Bits by the low bits of the keys of the model, packed: as many as serve its size, at most 64 MB."""
+    least, most = FILTER_BITS
+    size = 1 << min(max(math.ceil(math.log2(max(model.count(), 1) * BITS_EACH)), least), most)
+    place = F.col("key").bitwiseAND(F.lit(size - 1)) + 1
+    rows = model.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    packed = np.zeros(size // 8, np.uint8)
+    for bucket, bits in rows.toLocalIterator():  # 4 KB each, 64 MB in all at most
+        at = (bucket - 1) * _BITMAP // 8
+        packed[at : at + len(bits)] = np.frombuffer(bits, np.uint8)
+    return packed
 
 
-def _smoothed(counts: np.ndarray, expected: np.ndarray, discount: float, prior: float = PRIOR) -> np.ndarray:
-    """Log of smoothed over expected counts: discounted counts, and the discount and prior given back by the shared model."""
-    kept = np.maximum(counts - discount, 0) + (discount + prior) * expected / (expected + prior)
-    return np.log(np.maximum(kept, 1e-300) / np.maximum(expected, 1e-300))
+def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = (keys & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def _successors(bigrams: DataFrame, weights: np.ndarray) -> np.ndarray:
-    """For each class and left id, the mean of the class's log ratios of the words that follow it in all training texts."""
-    size = weights.shape[1]
-    sent = bigrams.sparkSession.sparkContext.broadcast(weights)
+def _questions(texts: _Texts, bits: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys that the model may hold, and which of them each row's words and pairs hang on, packed for the answer.
 
-    def work(batches):
+    An item is a word, with the places of the keys of itself and its beginnings, longest first (-1: not asked), or a pair, with one.
+    """
+    keys, stems, width = texts.keys(), {}, 1 + len(STEMS)
+    table = np.zeros((len(keys), width), np.uint64)
+    asks = np.zeros((len(keys), width), bool)
+    table[:, 0] = keys
+    asks[1:, 0] = True
+    for column, n in enumerate(reversed(STEMS), 1):
+        at = [i for i, word in enumerate(texts.words) if len(word) >= n]
+        own = []
+        for i, word in zip(at, (word for word in texts.words if len(word) >= n)):
+            stem = word[:n]
+            if stem not in stems:
+                stems[stem] = _key(_stem_mark(stem))
+            own.append(stems[stem])
+        table[at, column] = np.array(own, np.uint64)
+        asks[at, column] = True
+    asks &= _may_hold(bits, table.ravel()).reshape(table.shape)
+    row, left, right = texts.pairs()
+    pair_keys = _pair_keys(keys[left], keys[right])
+    paired = _may_hold(bits, pair_keys)
+    own_pairs, pair_of = np.unique(pair_keys[paired], return_inverse=True)
+    asked = np.unique(np.concatenate([table[asks], own_pairs]))
+
+    words = np.flatnonzero(asks.any(axis=1))
+    item_of = np.full(len(keys), -1, np.int64)
+    item_of[words] = np.arange(len(words))
+    places = np.where(asks[words], np.searchsorted(asked, table[words]), -1)
+    pair_places = np.full((len(own_pairs), width), -1, np.int64)
+    pair_places[:, 0] = np.searchsorted(asked, own_pairs)
+    worded = item_of[right] >= 0
+    n_items = max(len(words) + len(own_pairs), 1)
+    hits = np.concatenate([row[worded] * n_items + item_of[right[worded]], row[paired] * n_items + len(words) + pair_of])
+    hits, counts = np.unique(hits, return_counts=True)
+    lengths = [len(r) for r in texts.rows]
+    parts = [lengths, hits // n_items, hits % n_items, counts, np.concatenate([places, pair_places]).ravel(), [len(words)]]
+    return asked.view(np.int64), [np.asarray(p, "<i4") for p in parts]
+
+
+def raw_scores(docs: DataFrame, scorer: Scorer, id_col: str, text_col: str) -> DataFrame:
+    """``__id``, ``__words`` and ``__pairs`` of every row: log ratios of its words and its pairs, divided by its length."""
+    sent, kind = docs.sparkSession.sparkContext.broadcast(scorer.bits), docs.schema[id_col].dataType.simpleString()
+
+    def ask(batches):
+        from pyspark import TaskContext
+
+        number, texts, ids = TaskContext.get().partitionId() << 33, _Texts(), []
+
+        def close():
+            keys, parts = _questions(texts, sent.value)
+            own = pa.concat_arrays(ids)
+            packed = _pack_lists([part.tobytes() for part in parts], compress=True)
+            columns = [
+                pa.array([number], pa.int64()),
+                pa.ListArray.from_arrays([0, len(own)], own),
+                pa.array([keys], pa.list_(pa.int64())),
+                pa.array([packed], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "keys", "hits"])
+
+        for batch in slices(batches):
+            start = 0
+            for row, text in enumerate(strings(batch.column(1))):
+                texts.add(text)
+                if texts.size >= BLOCK:
+                    ids.append(batch.column(0).slice(start, row + 1 - start))
+                    yield from close()
+                    number, texts, ids, start = number + 1, _Texts(), [], row + 1
+            ids.append(batch.column(0).slice(start))
+        if texts.rows:
+            yield from close()
+
+    bare = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    blocks = stage(map_batches(bare, ask, f"block long, ids array<{kind}>, keys array<long>, hits binary"), "toxicity-blocks")
+    asked = blocks.select("block", F.posexplode("keys").alias("place", "key"))
+    told = asked.join(scorer.model, "key").groupBy("block").agg(F.collect_list(F.struct("place", "value", "is_pair")).alias("told"))
+    joined = blocks.select("block", "ids", F.size("keys").alias("n"), "hits").join(told, "block", "left").drop("block")
+
+    def answer(batches):
         for batch in batches:
-            key, toxic, ordinary = (column.to_numpy() for column in batch.columns)
-            left, place = np.unique(key // size, return_inverse=True)
-            n = (toxic + ordinary).astype(float)
-            sums = [np.bincount(place, n * w, len(left)) for w in (*sent.value[:, key % size], 1.0)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (left, *sums)], names=["v", "a", "b", "n"])
-
-    summed = map_batches(bigrams.select("key", "toxic", "ordinary"), work, "v long, a double, b double, n double")
-    found = np.zeros((2, size))
-    for v, a, b, n in summed.groupBy("v").agg(F.sum("a"), F.sum("b"), F.sum("n")).collect():  # one row per id
-        found[:, v] = a / (n + PRIOR), b / (n + PRIOR)
-    return found
-
-
-def learn(train: DataFrame, rare: float = RARE, discount: float = DISCOUNT) -> Model:
-    """A model from all rows (text, label) of ``train``; labels are 0 and 1."""
-    counts = stage(_count_words(train), "word-counts")
-    totals = _totals(counts)
-    listed = [row[0] for row in _frequent(counts, rare, totals)]
-    # Beginnings of the words that are not listed; what they make up is counted like words.
-    often = F.broadcast(train.sparkSession.createDataFrame([(w,) for w in listed], "word string"))
-    rest = counts.join(often, "word", "left_anti")
-    stems = rest.select(
-        F.explode(F.array(*[F.when(F.char_length("word") >= n, F.substring("word", 1, n)) for n in STEMS])).alias("stem"),
-        "toxic",
-        "ordinary",
-    ).where("stem IS NOT NULL")
-    stems = stems.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    listed += [row[0] + "*" for row in _frequent(stems, rare, totals)]
-    words = {word: i + 2 for i, word in enumerate(sorted(listed))}
-    size = len(words) + 2
-    own = np.zeros((2, size))
-    for i, toxic, ordinary in _by_id(counts, words).collect():  # one row per id of the model
-        own[:, i] = toxic, ordinary
-
-    bigrams = stage(_count_bigrams(train, words), "bigram-counts")
-    continuations, before, kinds = np.zeros(size), np.zeros((2, size)), np.zeros(size)
-    by_right = bigrams.groupBy((F.col("key") % size).alias("w")).count()
-    for w, n in by_right.collect():  # one row per id
-        continuations[w] = n
-    left_id = F.expr(f"key div {size}").alias("v")
-    for v, toxic, ordinary, n in bigrams.groupBy(left_id).agg(F.sum("toxic"), F.sum("ordinary"), F.count("*")).collect():
-        before[:, v], kinds[v] = (toxic, ordinary), n
-    continued = continuations / max(continuations.sum(), 1)
-
-    # Words: the shared model discounts the pooled counts and backs off to the continuations.
-    pooled = own.sum(axis=0)
-    every = max(pooled.sum(), 1)
-    shared = np.maximum(pooled - discount, 0) / every
-    shared = shared + (1 - shared.sum()) * continued
-    log_word = np.stack([_smoothed(own[c], totals[c] * shared, discount) for c in range(2)])
-    log_word -= np.log(np.maximum((np.exp(log_word) * shared).sum(axis=1), 1e-300))[:, None]
-
-    # What follows a word is weighed against that word's usual successors, so a language or a topic that is commoner in one class
-    # counts once, where it begins, and not at every word.
-    follows = _successors(bigrams, log_word)
-    # Bigrams are listed by both classes together, lest chance in the smaller class choose them.
-    common = F.col("toxic") + F.col("ordinary") >= max(PAIR_PRIOR, rare * totals.sum())
-    pairs = sorted(tuple(r) for r in bigrams.where(common).collect())  # at most 1 / rare rows
-    keys = np.array([r[0] for r in pairs], np.int64)
-    pair_counts = np.array([r[1:] for r in pairs], float).reshape(-1, 2).T
-    left, right = keys // size, keys % size
-    history = before.sum(axis=0)[left]
-    shared_pair = (np.maximum(pair_counts.sum(axis=0) - discount, 0) + discount * kinds[left] * continued[right]) / history
-    added = [
-        _smoothed(
-            pair_counts[c],
-            before[c][left] * shared_pair * np.exp(log_word[c][right] - follows[c][left]),
-            discount,
-            PAIR_PRIOR,
-        )
-        for c in range(2)
-    ]
-    ratio = log_word[0] - log_word[1]
-    ratio[own.sum(axis=0) == 0] = 0.0
-    return Model(words, ratio, follows[0] - follows[1], keys, added[0] - added[1])
-
-
-@dataclass
-class Scorer:
-    """A model and the weights of its two raw scores and a constant."""
-
-    model: Model
-    weights: np.ndarray
-
-    def raw(self, texts: list[str], ids: _Ids) -> np.ndarray:
-        return np.array([self.model.raw_score(_ids(text, ids)) for text in texts], float).reshape(-1, 2)
-
-    def scores(self, texts: list[str], ids: _Ids) -> np.ndarray:
-        scale = self.raw(texts, ids) @ self.weights[:2] + self.weights[2]
-        return 1 / (1 + np.exp(-np.clip(scale, -700, 700)))
+            for i in range(batch.num_rows):
+                ids, n, told = batch.column(0)[i].values, batch.column(1)[i].as_py(), batch.column(3)[i].values
+                parts = [np.frombuffer(p, "<i4") for p in _unpack_lists(batch.column(2)[i].as_py(), compressed=True)]
+                lengths, row, item, counts, places, (n_words,) = parts
+                # One value more than there are keys, for those that are not asked; words and pairs keep apart.
+                values = np.full((2, n + 1), np.nan)
+                if told is not None:
+                    is_pair = told.field("is_pair").to_numpy(zero_copy_only=False).astype(int)
+                    values[is_pair, told.field("place").to_numpy()] = told.field("value").to_numpy()
+                table = places.reshape(-1, 1 + len(STEMS))
+                side = (np.arange(len(table)) >= n_words).astype(int)
+                found = values[side[:, None], table]
+                first = np.argmax(~np.isnan(found), axis=1) if len(found) else np.zeros(0, int)
+                item_value = np.nan_to_num(found[np.arange(len(found)), first])
+                raw = np.zeros((2, len(lengths)))
+                np.add.at(raw, (side[item], row), counts * item_value[item])
+                raw /= lengths + SHORT
+                yield pa.RecordBatch.from_arrays([ids, pa.array(raw[0]), pa.array(raw[1])], names=["__id", "__words", "__pairs"])
+
+    return map_batches(joined, answer, f"__id {kind}, __words double, __pairs double")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
@@ -325,14 +431,13 @@ def fit_scorer(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    rare: float = RARE,
     calibration_rows: int = CALIBRATION_ROWS,
     broadcast_labels: int = BROADCAST_LABELS,
 ) -> Scorer:
     """A scorer learned from labelled rows of ``docs`` that are not held out.
 
-    Labels other than 0 and 1 are not used; an id with both is toxic; a null id never trains. Without labels of both classes
-    among the calibrating rows every score is 0.5.
+    Labels other than 0 and 1 are not used; an id with both is toxic; a null id never trains; repeated rows count each. Without labels of
+    both classes among the calibrating rows, as with an empty table, every score is 0.5. Very long texts are read word by word.
     """
     known = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -346,53 +451,45 @@ def fit_scorer(
     sample = stage(known.where(calibrates).orderBy(F.xxhash64("__id"), "__id").limit(calibration_rows), "calibration")
     counted = known.join(F.broadcast(sample.select("__id")), "__id", "left_anti")
     train = texts.join(F.broadcast(counted) if small else counted, "__id").select("__text", "__label")
-    model = learn(train, rare)
-
-    chosen = texts.join(F.broadcast(sample), "__id").select("__text", "__label")
-    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model, np.zeros(3)))
-
-    def work(batches):
-        ids = _Ids(sent.value.model.words)
-        for batch in batches:
-            raw = sent.value.raw(strings(batch.column(0)), ids).T
-            columns = [*(pa.array(np.ascontiguousarray(part)) for part in raw), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(columns, names=["words", "pairs", "label"])
+    scorer = learn(train)
 
+    chosen = texts.join(F.broadcast(sample), "__id").select("__label", "__text")
     # Repeated rows of an id may make more than the sample's rows.
-    fitted = map_batches(chosen, work, "words double, pairs double, label int").limit(calibration_rows).collect()
-    rows = np.array([tuple(r) for r in fitted], float).reshape(-1, 3)
+    fitted = raw_scores(chosen, scorer, "__label", "__text").limit(calibration_rows).collect()
+    rows = np.array([(r["__words"], r["__pairs"], r["__id"]) for r in fitted], float).reshape(-1, 3)
     both = 0 < rows[:, 2].sum() < len(rows)
-    return Scorer(model, fit_logistic(rows[:, :2], rows[:, 2]) if both else np.zeros(3))
+    return replace(scorer, weights=fit_logistic(rows[:, :2], rows[:, 2])) if both else scorer
 
 
 def score_toxicity(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``__id``, ``__held_out`` and ``__score`` (0 to 1, higher: toxic likelier) of every row; no shuffle.
+    """``__id``, ``__held_out`` and ``__score`` (0 to 1, higher: toxic likelier) of every row.
 
     Null and empty texts have no words and get the score of raw scores of 0. Repeated rows are scored each; extra columns are
-    left behind.
+    left behind; an empty table gives an empty one. Only expressions that the model may hold move, once per block.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(scorer)
-
-    def work(batches):
-        ids = _Ids(sent.value.model.words)
-        for batch in batches:
-            scores = pa.array(sent.value.scores(strings(batch.column(1)), ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["__id", "__score"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    scored = map_batches(docs.select(id_col, text_col), work, f"__id {kind}, __score double")
-    return scored.select("__id", held_out(F.col("__id")).alias("__held_out"), "__score")
+    raw = raw_scores(docs, scorer, id_col, text_col)
+    return raw.select("__id", held_out(F.col("__id")).alias("__held_out"), scorer.score().alias("__score"))
 
 
 def keep_ordinary(docs: DataFrame, scorer: Scorer, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns, that score below ``threshold``; no shuffle. Null and empty texts stay."""
-    sent, at = docs.sparkSession.sparkContext.broadcast(scorer), docs.columns.index(text_col)
+    """Rows of ``docs``, all columns, that score below ``threshold``. Null and empty texts stay; equal texts share their fate.
 
-    def work(batches):
-        ids = _Ids(sent.value.model.words)
-        for batch in batches:
-            texts = strings(batch.column(at))
-            empty = np.array([not text for text in texts], bool)
-            yield batch.filter(pa.array((sent.value.scores(texts, ids) < threshold) | empty))
-
-    return map_batches(docs, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    Rejected texts are known by two sums of their bytes. A filter of bounded size, made of these, picks the rows that may be among
+    them; only those are joined, so texts that stay hardly move.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    digest = docs.where(text != "").select(F.struct(F.xxhash64(text).alias("a"), F.crc32(text).alias("b")).alias("__sums"), text.alias("__text"))
+    raw = raw_scores(digest, scorer, "__sums", "__text")
+    rejected = raw.where(scorer.score() >= threshold).select(F.col("__id")["a"].alias("key"), F.col("__id")["b"].alias("__b"))
+    rejected = stage(rejected.distinct(), "toxic-texts")
+    sent = docs.sparkSession.sparkContext.broadcast(_filter(rejected))
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(_may_hold(sent.value, keys.to_numpy().view(np.uint64)))
+
+    marked = docs.withColumns({"__key": F.xxhash64(text), "__crc": F.crc32(text)}).withColumn("__maybe", maybe(F.col("__key")))
+    suspects = marked.where("__maybe").join(
+        rejected, (F.col("__key") == F.col("key")) & (F.col("__crc") == F.col("__b")), "left_anti"
+    )
+    return marked.where("NOT __maybe").select(docs.columns).unionByName(suspects.select(docs.columns))

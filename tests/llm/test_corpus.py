@@ -3,6 +3,8 @@
 import base64
 import hashlib
 import io
+import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -198,16 +200,112 @@ def test_only_rows_that_calibrate_are_left_out_of_the_counts(spark, docs_of, mon
     docs = docs_of([f"word{i % 7} other{i % 5}" for i in range(600)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int")
     seen, learn = [], toxicity.learn
-    monkeypatch.setattr(toxicity, "learn", lambda train, rare: (seen.append(train.count()), learn(train, rare))[1])
+    monkeypatch.setattr(toxicity, "learn", lambda train: (seen.append(train.count()), learn(train))[1])
     trained = docs.where(~toxicity.held_out(F.col("doc_id"))).count()
     toxicity.fit_scorer(docs, labels, calibration_rows=10)
     assert seen == [trained - 10]
 
 
-def test_both_models_are_distributions(spark):
-    texts = [("a b a c " * (i % 5 + 1), i % 2) for i in range(60)]
-    model = toxicity.learn(spark.createDataFrame(texts, "text string, label int"))
-    assert np.isfinite(model.word).all() and np.isfinite(model.after).all() and np.isfinite(model.bigram).all()
+class BruteToxicity:
+    """The two models by dictionaries: log ratios of words, beginnings and pairs."""
+
+    def __init__(self, texts):
+        self.pairs = Counter()
+        for text, label in texts:
+            words = ["", *re.findall(r"\w+", text.lower())]
+            self.pairs.update((v, w, label) for v, w in zip(words, words[1:]))
+        self.known = {w for _, w, _ in self.pairs}
+        self.follows, self.before = Counter((w, c) for _, w, c in self.pairs), Counter()
+        for (v, _, c), n in self.pairs.items():
+            self.before[v, c] += n
+        self.totals = [sum(n for (_, c), n in self.follows.items() if c == label) for label in (0, 1)]
+        self.stems = Counter()
+        for (w, c), n in self.follows.items():
+            for size in range(3, min(len(w), 8) + 1):
+                self.stems[w[:size], c] += n
+
+    @staticmethod
+    def refine(logs, weights, counts, prior):
+        total, out = sum(counts), []
+        for c in (0, 1):
+            expected = total * weights[c] / sum(weights)
+            given_back = sum(min(n, 0.75) for n in counts) * expected / total
+            out.append(logs[c] + math.log((max(counts[c] - 0.75, 0) + given_back + prior) / (expected + prior)))
+        return out
+
+    def word(self, word):
+        """Logs, and whether the word itself says something; of an unknown word those of its longest known beginning."""
+        logs = [0.0, 0.0]
+        steps = [(self.stems, word[:n]) for n in range(3, min(len(word), 8) + 1)]
+        for counts, name in steps + [(self.follows, word)]:
+            own = [counts[name, 0], counts[name, 1]]
+            if not sum(own):
+                break
+            logs = self.refine(logs, [n * math.exp(x) for n, x in zip(self.totals, logs)], own, 4)
+        return logs
+
+    def ratios(self, text):
+        words, raw = ["", *re.findall(r"\w+", (text or "").lower())], [0.0, 0.0]
+        for v, w in zip(words, words[1:]):
+            logs = self.word(w)
+            ratio = logs[1] - logs[0]
+            raw[0] += ratio if abs(ratio) > 1.5 else 0.0
+            own = [self.pairs[v, w, 0], self.pairs[v, w, 1]]
+            if sum(own):
+                tilt = logs if abs(ratio) > 1.5 else [0.0, 0.0]
+                pair = self.refine([0.0, 0.0], [self.before[v, c] * math.exp(tilt[c]) for c in (0, 1)], own, 8)
+                raw[1] += pair[1] - pair[0] if abs(pair[1] - pair[0]) > 0.5 else 0.0
+        return [x / (len(words) - 1 + 30) for x in raw]
+
+
+@pytest.mark.parametrize("block", [400, 1 << 22])
+def test_raw_scores_equal_the_models_by_dictionaries(spark, docs_of, trial_dir, monkeypatch, block):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    rng = np.random.default_rng(0)
+    common = [f"word{i}" for i in range(12)] + ["an", "b", "über", "idiotisch", "idioten"]
+    texts = [(" ".join(rng.choice(common, 40)) + (" Idiot an idiots! an idiot" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(150)]
+    texts += [(r.text, 0) for r in table(spark, trial_dir, "documents").limit(15).collect()]
+    scorer = toxicity.learn(spark.createDataFrame(texts, "__text string, __label int"))
+    asked = [t for t, _ in texts[:20] + texts[-15:]] + [None, "", "idiotic idio idiotisches WORD3 word33", "an idiot " * 300]
+    raw = toxicity.raw_scores(docs_of(asked), scorer, "doc_id", "text").collect()
+    brute = BruteToxicity(texts)
+    assert len(raw) == len(asked)
+    for row in raw:
+        assert (row["__words"], row["__pairs"]) == pytest.approx(brute.ratios(asked[row["__id"]]), abs=1e-9)
+    assert sum(abs(row["__words"]) + abs(row["__pairs"]) > 0 for row in raw) >= 4
+
+
+@pytest.mark.parametrize("ends", ["", "bdgk"])
+def test_phrases_of_common_words_are_found(spark, docs_of, ends):
+    """Toxic texts that differ from others only by the order of common words, in twenty ways."""
+    rng = np.random.default_rng(4)
+    words = np.array([f"{a}{b}{c}" for a in "bcdfghklmnprst" for b in "aeiou" for c in ends or [""]])
+    phrases = [" ".join(rng.choice(words, 3, replace=False)) for _ in range(20)]
+    texts, toxic = [], []
+    for i in range(9000):
+        own = list(rng.choice(words, 30))
+        toxic.append(int(i % 30 == 0))
+        if toxic[-1]:
+            own[10:13] = phrases[i // 30 % 20].split()
+        texts.append(" ".join(own))
+    docs = docs_of(texts)
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    scored = toxicity.score_toxicity(docs, toxicity.fit_scorer(docs, labels)).where("__held_out").collect()
+    bad = np.array([r["__score"] for r in scored if toxic[r["__id"]]])
+    good = np.sort([r["__score"] for r in scored if not toxic[r["__id"]]])
+    below = (np.searchsorted(good, bad) + np.searchsorted(good, bad, side="right")) / 2 / len(good)
+    assert below.mean() >= (0.98 if ends else 0.9)
+
+
+def test_rejected_texts_are_found_through_a_small_filter(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(toxicity, "FILTER_BITS", (15, 15))
+    texts = [f"plain text number{i}" + (" idiot" * 5 if i % 4 == 0 else "") for i in range(2000)]
+    docs = docs_of(texts).union(docs_of([None, "", texts[0]], [5000, 5001, 5002]))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    scorer = toxicity.fit_scorer(docs, labels)
+    kept = toxicity.keep_ordinary(docs, scorer, 0.7)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(2000) if i % 4] + [5000, 5001]
 
 
 # --- n-gram join
