@@ -468,12 +468,19 @@ def similar_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str =
 
 
 def one_of_each_group(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with one row of each group: that of the smallest id. Rows without an id all stay."""
-    grouped = similar_groups(docs, n, percent, id_col, text_col)
-    kept = grouped.where(F.col(id_col) == F.col("__component")).select(F.col(id_col).alias("__kept")).distinct()
-    known = docs.where(F.col(id_col).isNotNull())
-    chosen = known.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-    return chosen.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs``, all columns, with one row of each group of linked texts: that of the smallest id.
+
+    Each different text of an id is a document of its own, so none is lost with another of its id; of the texts that one id has in a
+    group, the one of the smallest digest stays. Rows of equal id and text are one document and stay as one row. Rows without an id,
+    and texts without words, all stay. An empty table gives an empty one.
+    """
+    known = docs.where(F.col(id_col).isNotNull()).withColumn("__sum", F.xxhash64(id_col, text_col))
+    grouped = similar_groups(known.select("__sum", text_col), n, percent, "__sum", text_col)
+    ids = known.select(F.col(id_col).alias("__first"), F.col("__sum").alias("__row")).distinct()
+    both = ids.join(grouped.select("__sum", "__component").distinct(), F.col("__row") == F.col("__sum"))
+    kept = both.groupBy("__component").agg(F.min(F.struct("__first", "__row"))["__row"].alias("__kept")).select("__kept")
+    chosen = known.join(stage(kept, "kept-rows"), F.col("__sum") == F.col("__kept"), "left_semi").dropDuplicates(["__sum"])
+    return chosen.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, own: DataFrame, lists: DataFrame, n: int, percent: int) -> DataFrame:

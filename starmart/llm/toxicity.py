@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from starmart.operators.staged import stage
 
 from .bpe import _Numbers, _pack_lists, _unpack_lists
-from .common import map_batches, slices, strings
+from .common import bind, map_batches, slices, strings
 
 # Kneser-Ney discount, and the counts by which what is seen and what is expected are raised: of words and of pairs.
 DISCOUNT = 0.75
@@ -45,7 +45,7 @@ SHORT = 30
 # Beginnings on which a word's expectation rests, in characters.
 STEMS = range(3, 9)
 # Code points of the documents that are counted or scored together, about; longer texts are read word by word.
-BLOCK = 3 << 20
+BLOCK = 6 << 20
 # Fewest and most bits of the filter, as powers of two: 64 MB at most; and bits for each expression of the model, below that.
 FILTER_BITS = (15, 29)
 BITS_EACH = 64
@@ -176,16 +176,16 @@ def least_pair(prior: float = PAIR_PRIOR, evidence: float = PAIR_EVIDENCE) -> in
 
 
 def _refined(
-    logs: tuple[Column, Column], weights: tuple[Column, Column], counts: tuple[Column, Column], prior: float
+    logs: tuple[Column, Column], share: Column, counts: tuple[Column, Column], prior: float
 ) -> tuple[Column, Column]:
-    """Logs of what each class shows over its share, of an expression expected as ``weights`` split it."""
+    """Logs of what each class shows over its share, of an expression of which the toxic class is expected to have ``share``."""
     total = counts[0] + counts[1]
-    expected = [total * w / (weights[0] + weights[1]) for w in weights]
     given_back = (F.least(counts[0], F.lit(DISCOUNT)) + F.least(counts[1], F.lit(DISCOUNT))) / total
     out = []
-    for log, count, e in zip(logs, counts, expected):
-        smoothed = F.greatest(count - DISCOUNT, F.lit(0.0)) + given_back * e
-        out.append(log + F.log((smoothed + prior) / (e + prior)))
+    for log, part, count in zip(logs, (share, 1 - share), counts):
+        expected = total * part
+        smoothed = F.greatest(count - DISCOUNT, F.lit(0.0)) + given_back * expected
+        out.append(log + F.log((smoothed + prior) / (expected + prior)))
     return out[0], out[1]
 
 
@@ -237,8 +237,9 @@ def learn(train: DataFrame) -> Scorer:
     weights = [
         F.col(f"v_{c}") * F.exp(F.coalesce(F.col(f"{c}_log"), F.lit(0.0))) for c in ("toxic", "ordinary")
     ]
+    pairs = pairs.withColumn("share", weights[0] / (weights[0] + weights[1]))
     zero = F.lit(0.0)
-    logs = _refined((zero, zero), (weights[0], weights[1]), (F.col("toxic"), F.col("ordinary")), PAIR_PRIOR)
+    logs = _refined((zero, zero), F.col("share"), (F.col("toxic"), F.col("ordinary")), PAIR_PRIOR)
     paired = pairs.select(_pair_key(F.col("v"), F.col("w")).alias("key"), (logs[0] - logs[1]).alias("value"))
     paired = paired.where(F.abs("value") > PAIR_EVIDENCE).groupBy("key").agg(F.max("value").alias("value"))
     model = stage(listed.unionByName(paired.withColumn("is_pair", F.lit(True))), "toxicity-model")
@@ -267,17 +268,26 @@ def _word_evidence(words: DataFrame, totals: list[float]) -> DataFrame:
 
     def refine(state, one):
         logs = (state["toxic"], state["ordinary"])
-        weights = tuple(F.lit(n) * F.exp(log) for n, log in zip(totals, logs))
-        toxic, ordinary = _refined(logs, (weights[0], weights[1]), (one["s_toxic"], one["s_ordinary"]), PRIOR)
-        row = F.struct(
-            one["key"].alias("key"),
-            (toxic - ordinary).alias("value"),
-            (logs[0] - logs[1]).alias("parent"),
-            (one["n"] == (1 << 30)).alias("whole"),
-            toxic.alias("toxic_log"),
-            ordinary.alias("ordinary_log"),
-        )
-        return F.struct(toxic.alias("toxic"), ordinary.alias("ordinary"), F.concat(state["made"], F.array(row).cast(made)).alias("made"))
+        # The toxic class's part of what both classes' totals and logs expect; 0 where it has nothing.
+        odds = F.lit(totals[1] / totals[0] if totals[0] else math.inf) * F.exp(logs[1] - logs[0])
+
+        def with_share(share):
+            toxic, ordinary = _refined(logs, share, (one["s_toxic"], one["s_ordinary"]), PRIOR)
+            return bind(F.struct(toxic.alias("t"), ordinary.alias("o")), with_logs)
+
+        def with_logs(now):
+            row = F.struct(
+                one["key"].alias("key"),
+                (now["t"] - now["o"]).alias("value"),
+                (logs[0] - logs[1]).alias("parent"),
+                (one["n"] == (1 << 30)).alias("whole"),
+                now["t"].alias("toxic_log"),
+                now["o"].alias("ordinary_log"),
+            )
+            longer = F.concat(state["made"], F.array(row).cast(made))
+            return F.struct(now["t"].alias("toxic"), now["o"].alias("ordinary"), longer.alias("made"))
+
+        return bind(1 / (1 + odds), with_share)
 
     rows = F.aggregate(chain, start, refine)["made"]
     return lined.select(F.explode(rows).alias("row")).select("row.*")

@@ -417,6 +417,16 @@ def test_groups_of_one_list_over_many_cells(docs_of, monkeypatch):
         assert got == brute_groups(list(zip(order, texts, strict=True)), 3, percent)
 
 
+def test_each_text_of_an_id_stands_for_itself(docs_of):
+    first, second = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = first + " more"
+    rows = [(1, first), (1, second), (2, second), (3, near), (3, near), (4, near + " yet"), (5, None), (5, None), (6, ""), (7, "x")]
+    kept = ngram_join.one_of_each_group(docs_of([t for _, t in rows], [i for i, _ in rows]), 3, 90)
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(1, first), (1, second), (5, None), (6, ""), (7, "x")], key=str)
+    assert kept.columns == docs_of([]).columns
+
+
 def test_groups_of_odd_rows(docs_of):
     docs = docs_of(["a b c", "a b c", None, None, "a b c", "  ", "x" * 50_000], [4, 4, None, 2, None, 3, 9])
     got = sorted(((r[0], r[1], r[2]) for r in ngram_join.similar_groups(docs).collect()), key=str)
