@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from starmart.operators.staged import stage
 
 from .bpe import _Numbers, _pack_lists, _unpack_lists
-from .common import bind, map_batches, slices, strings
+from .common import map_batches, slices, strings
 
 # Kneser-Ney discount, and the counts by which what is seen and what is expected are raised: of words and of pairs.
 DISCOUNT = 0.75
@@ -45,7 +45,7 @@ SHORT = 30
 # Beginnings on which a word's expectation rests, in characters.
 STEMS = range(3, 9)
 # Code points of the documents that are counted or scored together, about; longer texts are read word by word.
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 # Fewest and most bits of the filter, as powers of two: 64 MB at most; and bits for each expression of the model, below that.
 FILTER_BITS = (15, 29)
 BITS_EACH = 64
@@ -251,46 +251,36 @@ def _word_evidence(words: DataFrame, totals: list[float]) -> DataFrame:
 
     ``whole`` marks words; ``toxic_log`` and ``ordinary_log`` are the two logs. Beginnings come once per word that has them, alike.
     """
-    beginnings = F.filter(
-        F.array(*[F.when(F.char_length("word") >= n, F.substring("word", 1, n)) for n in STEMS]), lambda s: s.isNotNull()
-    )
-    each = words.select("word", F.explode(beginnings).alias("stem"), "toxic", "ordinary")
+    beginnings = F.array(*[F.when(F.char_length("word") >= n, F.substring("word", 1, n)) for n in STEMS])
+    each = words.select("word", F.explode(beginnings).alias("stem"), "toxic", "ordinary").where("stem IS NOT NULL")
     stems = each.groupBy("stem").agg(F.sum("toxic").alias("s_toxic"), F.sum("ordinary").alias("s_ordinary"))
-    step = F.struct(F.char_length("stem").alias("n"), F.xxhash64(F.concat("stem", F.lit("*"))).alias("key"), "s_toxic", "s_ordinary")
-    steps = each.select("word", "stem").join(stems, "stem").groupBy("word").agg(F.sort_array(F.collect_list(step)).alias("steps"))
-    whole = F.struct(
-        F.lit(1 << 30).alias("n"), F.xxhash64("word").alias("key"), F.col("toxic").alias("s_toxic"), F.col("ordinary").alias("s_ordinary")
-    )
-    lined = words.join(steps, "word", "left").withColumn("whole", F.array(whole))
-    chain = F.when(F.col("steps").isNull(), F.col("whole")).otherwise(F.concat("steps", "whole"))
-    made = "array<struct<key: bigint, value: double, parent: double, whole: boolean, toxic_log: double, ordinary_log: double>>"
-    start = F.struct(F.lit(0.0).alias("toxic"), F.lit(0.0).alias("ordinary"), F.array().cast(made).alias("made"))
-
-    def refine(state, one):
-        logs = (state["toxic"], state["ordinary"])
-        # The toxic class's part of what both classes' totals and logs expect; 0 where it has nothing.
-        odds = F.lit(totals[1] / totals[0] if totals[0] else math.inf) * F.exp(logs[1] - logs[0])
-
-        def with_share(share):
-            toxic, ordinary = _refined(logs, share, (one["s_toxic"], one["s_ordinary"]), PRIOR)
-            return bind(F.struct(toxic.alias("t"), ordinary.alias("o")), with_logs)
-
-        def with_logs(now):
-            row = F.struct(
-                one["key"].alias("key"),
-                (now["t"] - now["o"]).alias("value"),
-                (logs[0] - logs[1]).alias("parent"),
-                (one["n"] == (1 << 30)).alias("whole"),
-                now["t"].alias("toxic_log"),
-                now["o"].alias("ordinary_log"),
-            )
-            longer = F.concat(state["made"], F.array(row).cast(made))
-            return F.struct(now["t"].alias("toxic"), now["o"].alias("ordinary"), longer.alias("made"))
-
-        return bind(1 / (1 + odds), with_share)
-
-    rows = F.aggregate(chain, start, refine)["made"]
-    return lined.select(F.explode(rows).alias("row")).select("row.*")
+    length = F.char_length("stem")
+    counts = [
+        F.max(F.when(length == n, F.col(f"s_{c}"))).alias(f"{c}{n}") for n in STEMS for c in ("toxic", "ordinary")
+    ]
+    steps = each.select("word", "stem").join(stems, "stem").groupBy("word").agg(*counts)
+    now = words.join(steps, "word", "left").withColumns({f"{c}_log": F.lit(0.0) for c in ("toxic", "ordinary")})
+    # The toxic class's part of what both classes' totals and logs expect; 0 where it has nothing.
+    odds = F.lit(totals[1] / totals[0] if totals[0] else math.inf) * F.exp(F.col("ordinary_log") - F.col("toxic_log"))
+    rows = []
+    for n in [*STEMS, ""]:
+        name = F.concat(F.substring("word", 1, n), F.lit("*")) if n else F.col("word")
+        known = F.col(f"toxic{n}").isNotNull()
+        logs = F.col("toxic_log"), F.col("ordinary_log")
+        now = now.withColumns({"share": 1 / (1 + odds), f"parent{n}": logs[0] - logs[1]})
+        toxic, ordinary = _refined(logs, F.col("share"), (F.col(f"toxic{n}"), F.col(f"ordinary{n}")), PRIOR)
+        now = now.withColumns({"toxic_log": F.when(known, toxic).otherwise(logs[0]), "ordinary_log": F.when(known, ordinary).otherwise(logs[1])})
+        now = now.withColumns({f"toxic_at{n}": F.col("toxic_log"), f"ordinary_at{n}": F.col("ordinary_log")})
+        row = F.struct(
+            F.xxhash64(name).alias("key"),
+            (F.col(f"toxic_at{n}") - F.col(f"ordinary_at{n}")).alias("value"),
+            F.col(f"parent{n}").alias("parent"),
+            F.lit(not n).alias("whole"),
+            F.col(f"toxic_at{n}").alias("toxic_log"),
+            F.col(f"ordinary_at{n}").alias("ordinary_log"),
+        )
+        rows.append(F.when(known, row))
+    return now.select(F.explode(F.array(*rows)).alias("row")).where("row IS NOT NULL").select("row.*")
 
 
 def _filter(model: DataFrame) -> np.ndarray:
