@@ -103,14 +103,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Where plain spans reach that begin before, and where the next one begins.
     plain = is_kind(*BASE)
     reach = F.max(F.when(plain, F.col("end"))).over(in_row.rangeBetween(Window.unboundedPreceding, 0))
-    following = F.min(F.when(plain, F.col("start"))).over(in_row.rangeBetween(0, Window.unboundedFollowing))
+    # The rows at or after a start are those up to it in falling order.
+    onward = Window.partitionBy("__row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+    following = F.min(F.when(plain, F.col("start"))).over(onward)
     free = F.coalesce(reach <= F.col("start"), F.lit(True)) & F.coalesce(following >= F.col("end"), F.lit(True))
     told = placed.withColumn("__free", free).where(~is_kind("key") | F.col("__free"))
 
-    scope_frame = in_row.rangeBetween(-scope, scope)
-
     def beside(*kinds: str) -> Column:
-        return F.coalesce(F.max(is_kind(*kinds)).over(scope_frame), F.lit(False))
+        """Whether a part of these kinds ends or begins within the scope of this one, however long either is."""
+        ends = F.max(F.when(is_kind(*kinds), F.col("end"))).over(in_row.rangeBetween(Window.unboundedPreceding, 0))
+        begins = F.min(F.when(is_kind(*kinds), F.col("start"))).over(onward)
+        near = F.coalesce(ends >= F.col("start") - scope, F.lit(False))
+        return near | F.coalesce(begins <= F.col("end") + scope, F.lit(False))
 
     identifier, secret = F.col("__identifier"), F.col("__secret")
     linked = told.withColumns({"__identifier": beside("access", "login"), "__secret": beside("assign", "hex", "key")})

@@ -260,3 +260,11 @@ def test_secrets_of_odd_and_repeated_rows(docs_of):
     expected = [None if t is None else t.replace("token=abcdefgh1", "[SECRET]") for t in texts]
     assert sorted(map(str, (r.text for r in clean.collect()))) == sorted(map(str, expected))
     assert secret_scan.scan_secrets(docs_of([])).collect() == []
+
+
+def test_the_gap_counts_between_long_parts_and_not_their_starts(docs_of):
+    long, far = "token=" + "aB3" * 100, " .-" * 200
+    texts = [f"{long} user=bob", f"user=bob {long}", f"{long}{far} user=bob", f"user=bob{far} {long}"]
+    rows = {r.doc_id: r["__spans"] for r in secret_scan.scan_secrets(docs_of(texts)).collect()}
+    assert [any(s["kind"] == "login" for s in rows[i]) for i in range(4)] == [True, True, False, False]
+    assert all(any(s["kind"] == "assign" for s in rows[i]) for i in range(4))
