@@ -160,23 +160,25 @@ def learn_rules(
 ) -> list[Rule]:
     """An ordered list of rules for ``__bad`` = 1 from rows with double columns ``names``, ``__bad`` and ``__fold``.
 
-    ``rows`` is read once per literal and should be a written table. A rule is kept while its precision on the rows
-    held back for pruning is at least ``min_precision``; covering stops at the first rule that isn't.
+    ``rows`` is read once per literal, and once per rule for its thresholds, and should be a written table. A rule is kept
+    while its precision on the rows held back for pruning is at least ``min_precision``; covering stops at the first rule that isn't.
     """
-    bounds = _bounds(rows, names, steps)
     values = {n: F.col(n) for n in names}
     grow, prune = F.col("__fold") != 0, F.col("__fold") == 0
     bad, good = F.col("__bad") == 1, F.col("__bad") == 0
-
-
-    def bin_of(name: str) -> Column:
-        value = F.col(name)
-        return F.size(F.filter(F.array(*[F.lit(b) for b in bounds[name]]), lambda b: b <= value))
-
-    bins = F.array(*[F.struct(F.lit(i).alias("f"), bin_of(n).alias("bin")) for i, n in enumerate(names) if bounds[n]])
     rules: list[Rule] = []
-    while len(rules) < max_rules and any(bounds.values()):
+    while len(rules) < max_rules:
         left = rows.where(~decision(rules, values))
+        # Thresholds come from the rows that no rule covers yet, so a rare kind of bad text gets its own once the common ones are covered.
+        bounds = _bounds(left, names, steps)
+        if not any(bounds.values()):
+            break
+
+        def bin_of(name: str, bounds=bounds) -> Column:
+            value = F.col(name)
+            return F.size(F.filter(F.array(*[F.lit(b) for b in bounds[name]]), lambda b: b <= value))
+
+        bins = F.array(*[F.struct(F.lit(i).alias("f"), bin_of(n).alias("bin")) for i, n in enumerate(names) if bounds[n]])
         rule: Rule = ()
         while len(rule) < max_literals:
             inside = left.where(_holds(rule, values) & grow).select("__bad", F.inline(bins))

@@ -268,3 +268,15 @@ def test_the_gap_counts_between_long_parts_and_not_their_starts(docs_of):
     rows = {r.doc_id: r["__spans"] for r in secret_scan.scan_secrets(docs_of(texts)).collect()}
     assert [any(s["kind"] == "login" for s in rows[i]) for i in range(4)] == [True, True, False, False]
     assert all(any(s["kind"] == "assign" for s in rows[i]) for i in range(4))
+
+
+def test_a_rare_kind_of_bad_text_gets_a_rule_of_its_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [(float(rng.random()), float(rng.random()), 0, int(rng.integers(0, 3))) for _ in range(4000)]
+    rows += [(2 + float(rng.random()), float(rng.random()), 1, int(rng.integers(0, 3))) for _ in range(3920)]
+    rows += [(float(rng.random()), 5 + float(rng.random()), 1, int(rng.integers(0, 3))) for _ in range(80)]
+    table_of = spark.createDataFrame(rows, "a double, b double, __bad int, __fold int").repartition(2).cache()
+    rules = quality_rules.learn_rules(table_of, ["a", "b"])
+    caught = table_of.where(quality_rules.decision(rules, {n: F.col(n) for n in "ab"}))
+    assert caught.where("__bad = 1 and b > 4").count() >= 75 and caught.where("__bad = 0").count() == 0
+    assert caught.where("__bad = 1").count() >= 3800
