@@ -2,9 +2,10 @@
 
 Documents of one n-gram set are a class and only its representative, the smallest id, goes on. All n-grams have a global
 order, rarest first. Two sets as similar as the threshold share an n-gram among the first few of each (the prefix filter), so
-documents meet in lists of the n-grams of their prefixes. How alike two of them are is counted vertically: the order is cut
-into fragments, each fragment holds its part of every set, partial overlaps are counted per fragment
-and summed per pair.
+documents meet in lists of the n-grams of their prefixes. How alike two of them are is counted vertically: an order that all sets
+share, that of the n-grams' hashes, is cut into FRAGMENTS fragments, each holds its part of every set, partial overlaps are counted
+per fragment and summed per pair. Pairs are dealt into blocks whose number follows from the sizes of their sets; a cell, one block
+in one fragment, holds only the sets that its pairs name. So the work grows with the pairs, not with pairs times fragments.
 
 Pairs are never enumerated within a list. Rounds link each list's members to one of them, the list's leader, so a group of
 thousands of near copies costs its size and not its square. What a round has linked is one component, and later rounds only compare members of different components,
@@ -32,7 +33,9 @@ from .common import map_batches, partitions, slices, strings
 # Slots of the table of approximate document frequencies: 4 bytes each, whatever the corpus.
 ORDER_SLOTS = 1 << 20
 
-# N-grams that one fragment holds, all documents together: 16 MB.
+# Fragments of the n-gram order, whatever the corpus.
+FRAGMENTS = 8
+# N-grams that one block of pairs holds in one fragment, on average: 16 MB.
 FRAGMENT = 1 << 21
 # Weight of the members of one block of a list: bytes of their bitmaps unpacked, half at least, and of the numbers of each.
 CELL_BYTES = 1 << 22
@@ -238,13 +241,14 @@ def _bounded(pairs: DataFrame, own: DataFrame) -> DataFrame:
     return map_batches(pairs.select("a", "b", "sa", "sb", "xa", "xb"), work, "a long, b long, sa long, sb long, most long")
 
 
-def _fragments(docs: DataFrame, nodes: DataFrame, ids: DataFrame, n: int, fragments: int) -> DataFrame:
-    """Sets of the given representatives, cut at ``fragments`` - 1 places of the n-gram order."""
+def _fragments(docs: DataFrame, nodes: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """Sets of the given representatives, cut at FRAGMENTS - 1 places of the n-gram hashes, an order that all documents share."""
     small = ids.count() <= BROADCAST_IDS
     wanted = nodes.join(F.broadcast(ids) if small else ids, F.col("__id") == F.col("id"), "left_semi").select(
         F.col("__id").alias("__node"), F.col("__set").alias("__want")
     )
     chosen = docs.join(F.broadcast(wanted) if small else wanted, F.col("__id") == F.col("__node"))
+    fragments = FRAGMENTS
 
     def cut(batches):
         for batch in slices(batches):
@@ -263,20 +267,36 @@ def _fragments(docs: DataFrame, nodes: DataFrame, ids: DataFrame, n: int, fragme
     return map_batches(chosen.select("__node", "__text", "__want"), cut, "part long, a long, grams binary")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, fragments: int) -> DataFrame:
+def _dealt(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
+    """Rows of cells (``block``, ``part``): the sets that the block's pairs need first, then its pairs.
+
+    A pair goes to one block. A set goes to the blocks that have a pair of it, so its copies are no more than its pairs, nor than
+    the blocks; one that a third of all pairs name is one row in each block.
+    """
+    block = F.pmod(F.xxhash64("a", "b"), F.lit(blocks)).alias("block")
+    none = F.lit(None).cast("binary").alias("grams")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(FRAGMENTS - 1).cast("long")))
+    asked = pairs.select(block, every.alias("part"), "a", "b", none)
+    if blocks == 1:
+        sent = sets.withColumn("block", F.lit(0).cast("long"))
+    else:
+        named = pairs.select(block, F.explode(F.array("a", "b")).alias("a")).distinct()
+        sent = sets.join(named, "a")
+    return sent.select("block", "part", "a", F.lit(None).cast("long").alias("b"), "grams").union(asked)
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
     """Pairs (``a``, ``b``, ``sa``, ``sb``) with ``n``, what they share: partial overlaps by fragment, summed."""
-    needed = sets.select("part", "a", F.lit(None).cast("long").alias("b"), "grams")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(fragments - 1).cast("long")))
-    asked = pairs.select(every.alias("part"), "a", "b", F.lit(None).cast("binary").alias("grams"))
-    rows = needed.union(asked).repartition(fragments, "part").sortWithinPartitions("part", F.col("b").isNotNull())
+    rows = _dealt(pairs, sets, blocks).repartition(blocks * FRAGMENTS, "block", "part")
+    rows = rows.sortWithinPartitions("block", "part", F.col("b").isNotNull())
 
     def count(batches):
-        part, held = None, {}
+        cell, held = None, {}
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            for now, a, b, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now != part:
-                    part, held = now, {}
+            for block, part, a, b, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (block, part) != cell:
+                    cell, held = (block, part), {}
                 if b is None:
                     held[a] = np.frombuffer(grams, np.uint64)
                 elif a in held and b in held:
@@ -494,9 +514,10 @@ def _linked(docs: DataFrame, nodes: DataFrame, own: DataFrame, lists: DataFrame,
         passes = 100 * F.col("most") >= percent * (F.col("sa") + F.col("sb") - F.col("most"))
         asked = stage(bounded.where(passes).drop("most"), "asked")
         ids = stage(asked.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked-ids")
-        total = own.join(ids, "id", "left_semi").agg(F.sum("size")).first()[0] or 0
-        fragments = 1 + total // FRAGMENT
-        exact = _overlaps(asked, _fragments(docs, nodes, ids, n, fragments), fragments)
+        # What all pairs name is at least what all cells hold, and it grows as the pairs do.
+        total = asked.agg(F.sum(F.col("sa") + F.col("sb"))).first()[0] or 0
+        blocks = 1 + total // (FRAGMENT * FRAGMENTS)
+        exact = _overlaps(asked, _fragments(docs, nodes, ids, n), blocks)
         link = 100 * F.col("n") >= percent * (F.col("sa") + F.col("sb") - F.col("n"))
         counted = exact.select("a", "b", (1 - jaccard).alias("low"), (1 - jaccard).alias("high"), link.alias("link"))
         least = 1 - F.col("most") / (F.col("sa") + F.col("sb") - F.col("most"))

@@ -107,6 +107,21 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# A base32 digit is five bits; five hexadecimal digits make four of them.
+ORACLE["op4_warc"] = r"""
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+told AS (
+  SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+         max(page_id) OVER (PARTITION BY h, payload_bytes) AS head
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to
+FROM told
+"""
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -125,6 +140,43 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.withColumnsRenamed({"__n_shingles": "n_shingles", "__component": "component_id"})
 
 
+# Sets are compared where they share a shingle that few documents hold: linked sets share 90 % of the larger one, so they
+# share one of the rarest tenth of each, and one more.
+ORACLE["op9_ngram_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM worded
+), grams AS MATERIALIZED (SELECT doc_id, len(s) AS size, unnest(s) AS gram FROM sets),
+classes AS MATERIALIZED (
+  SELECT h, size, min(doc_id) AS rep
+  FROM (SELECT doc_id, size, sha256(string_agg(gram, chr(10) ORDER BY gram)) AS h FROM grams GROUP BY doc_id, size) GROUP BY h, size
+), own AS MATERIALIZED (
+  SELECT doc_id, size, gram, row_number() OVER (PARTITION BY doc_id ORDER BY n, gram) AS place
+  FROM grams JOIN (SELECT gram, count(*) AS n FROM grams GROUP BY gram) USING (gram) WHERE doc_id IN (SELECT rep FROM classes)
+), prefixes AS (SELECT * FROM own WHERE place <= size - (90 * size + 99) // 100 + 1),
+asked AS (
+  SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.size AS sa, y.size AS sb
+  FROM prefixes x JOIN prefixes y ON x.gram = y.gram AND x.doc_id < y.doc_id
+  WHERE 100 * least(x.size, y.size) >= 90 * greatest(x.size, y.size)
+), shared AS (
+  SELECT a, b, sa, sb, count(*) AS n FROM asked JOIN own x ON x.doc_id = a JOIN own y ON y.doc_id = b AND y.gram = x.gram GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM shared WHERE 100 * n >= 90 * (sa + sb - n) UNION SELECT b, a FROM shared WHERE 100 * n >= 90 * (sa + sb - n)
+), reached AS (
+  SELECT rep AS id, rep AS first FROM classes
+  UNION
+  SELECT links.b, reached.first FROM reached JOIN links ON links.a = reached.id AND reached.first < links.b
+), least_of AS (SELECT id, min(first) AS component_id FROM reached GROUP BY id),
+hashed AS (SELECT doc_id, sha256(string_agg(gram, chr(10) ORDER BY gram)) AS h FROM grams GROUP BY doc_id)
+SELECT sets.doc_id, len(s) AS n_shingles, coalesce(component_id, sets.doc_id) AS component_id
+FROM sets LEFT JOIN hashed USING (doc_id) LEFT JOIN classes USING (h) LEFT JOIN least_of ON least_of.id = classes.rep
+"""
+
+
 @query
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search(table(spark, sf_dir, "embeddings"), k=20, every=20)

@@ -417,6 +417,29 @@ def test_groups_of_one_list_over_many_cells(docs_of, monkeypatch):
         assert got == brute_groups(list(zip(order, texts, strict=True)), 3, percent)
 
 
+def test_groups_over_many_blocks_and_fragments(spark, trial_dir, monkeypatch):
+    """Blocks of a few hundred n-grams, so that sets are sent to several and each overlap is the sum of eight parts."""
+    monkeypatch.setattr(ngram_join, "FRAGMENT", 50)
+    blocks, dealt = [], ngram_join._dealt
+    monkeypatch.setattr(ngram_join, "_dealt", lambda pairs, sets, n: blocks.append(n) or dealt(pairs, sets, n))
+    docs = table(spark, trial_dir, "documents").where("length(text) < 3000").limit(300).cache()
+    got = {r[0]: (r[1], r[2]) for r in ngram_join.similar_groups(docs, 3, 30).collect()}
+    assert got == brute_groups([(r.doc_id, r.text) for r in docs.collect()], 3, 30)
+    assert max(blocks) > 4
+
+
+def test_pairs_go_to_one_block_and_sets_to_the_blocks_of_their_pairs(spark):
+    """Rows grow with the pairs: eight for each, whatever the number of blocks, and a set that all pairs name is once in each."""
+    pairs = spark.createDataFrame([(0, i, 10, 10) for i in range(1, 1001)], "a long, b long, sa long, sb long")
+    parts = [(p, i, b"12345678") for i in range(1001) for p in range(ngram_join.FRAGMENTS)]
+    sets = spark.createDataFrame(parts, "part long, a long, grams binary")
+    for blocks in (1, 20):
+        rows = ngram_join._dealt(pairs, sets, blocks).collect()
+        asked = [r for r in rows if r.b is not None]
+        assert len(asked) == 1000 * ngram_join.FRAGMENTS and len({r.block for r in rows}) == blocks
+        assert len(rows) - len(asked) == (1000 + blocks) * ngram_join.FRAGMENTS
+
+
 def test_each_text_of_an_id_stands_for_itself(docs_of):
     first, second = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
     near = first + " more"
