@@ -2,8 +2,9 @@
 
 Spark's own text writer makes the files, so that they may lie in any store that Spark can write: a row is one record, and the line
 separator is what ends a record in the format (a newline in ARC, two line ends in WARC). Records are read back by their
-declared lengths, never by looking for a separator, as payloads may hold anything. A file is gzip as a whole and holds at
-most RECORDS records; a reader holds one compressed file and one record at a time. Payloads are UTF-8 text.
+declared lengths, never by looking for a separator, as payloads may hold anything. A file is gzip as a whole and ends with the
+record that brings it to RECORDS records or ROLL_BYTES bytes, so only a single record can make it larger; a reader holds one
+compressed file and one record at a time. Payloads are UTF-8 text.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import gzip
 import hashlib
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime, timedelta
 from urllib.parse import quote
 
@@ -26,6 +27,8 @@ from starmart.operators.staged import scratch_path, stage
 from .common import map_batches
 
 RECORDS = 4096
+# Bytes of records, before compression, that close a file.
+ROLL_BYTES = 64 << 20
 # Formats of the two ARC versions and of WARC records, fixed by their specifications.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -51,8 +54,30 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _text(lines: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+class _Rolled:
+    """Records of one task, each with the number of the file that it belongs to."""
+
+    def __init__(self, head: Callable[[int], str], records: int, roll_bytes: int):
+        self.head, self.records, self.roll_bytes = head, records, roll_bytes
+        self.file, self.held, self.size = -1, records, 0
+        self.lines: list[str] = []
+        self.files: list[int] = []
+
+    def begin(self) -> None:
+        """A new file, if the last one is full, with its first record."""
+        if self.held >= self.records or self.size >= self.roll_bytes:
+            self.file, self.held, self.size = self.file + 1, 0, 0
+            self.add(self.head(self.file))
+
+    def add(self, line: str) -> None:
+        self.lines.append(line)
+        self.files.append(self.file)
+        self.held, self.size = self.held + 1, self.size + len(line.encode())
+
+    def batch(self) -> pa.RecordBatch:
+        done = pa.RecordBatch.from_pydict({"value": pa.array(self.lines, pa.string()), "file": pa.array(self.files, pa.int32())})
+        self.lines, self.files = [], []
+        return done
 
 
 def _arc_head(name: str, version: int) -> str:
@@ -66,35 +91,37 @@ def _http(page_id: int | None, payload_bytes: int) -> str:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{own}Content-Length: {payload_bytes}\r\n\r\n"
 
 
-def write_arc(pages: DataFrame, path: str, records: int = RECORDS) -> None:
-    """Pages as ARC files; every other task writes the second version of the format. Null html is an empty payload."""
+def write_arc(pages: DataFrame, path: str, records: int = RECORDS, roll_bytes: int = ROLL_BYTES) -> None:
+    """Pages as ARC files; every other task writes the second version of the format. Null html is an empty payload.
+
+    A file is closed by its records or bytes; one very long payload is a record of its own length. Rows that repeat are records
+    each, a null id is left out of the HTTP header, an empty table gives no records, and other columns are not written.
+    """
 
     def work(batches):
-        part, n = _partition(), 0
+        part = _partition()
         version = 1 + part % 2
         name = f"pages-{part:06d}.arc"
+        out = _Rolled(lambda file: _arc_head(name, version), records, roll_bytes)
         for batch in batches:
-            lines = []
             for page_id, url, html in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if n % records == 0:
-                    lines.append(_arc_head(name, version))
-                    n += 1
+                out.begin()
                 payload = (html or "").encode()
                 block = _http(page_id, len(payload))
                 uri = quote(url or "", safe=":/?#[]@!$&'()*+,;=%~") or "unknown:"
                 date = FIRST_DATE + timedelta(seconds=(page_id or 0) % (10 * 365 * 86_400))
-                middle = f" 200 - - {n} {name}" if version == 2 else ""
+                middle = f" 200 - - {out.size} {name}" if version == 2 else ""
                 size = len(block) + len(payload)
-                lines.append(f"{uri} 0.0.0.0 {date:%Y%m%d%H%M%S} text/html{middle} {size}\n{block}{html or ''}")
-                n += 1
-            yield _text(lines)
+                out.add(f"{uri} 0.0.0.0 {date:%Y%m%d%H%M%S} text/html{middle} {size}\n{block}{html or ''}")
+            yield out.batch()
 
-    archive = map_batches(pages.select("page_id", "url", "html"), work, "value string")
-    _write(archive, path, "\n", records)
+    archive = map_batches(pages.select("page_id", "url", "html"), work, "value string, file int")
+    _write(archive, path, "\n")
 
 
-def _write(lines: DataFrame, path: str, end: str, records: int) -> None:
-    writer = lines.write.option("lineSep", end).option("maxRecordsPerFile", records)
+def _write(lines: DataFrame, path: str, end: str) -> None:
+    """Each task's files, in folders of their numbers, one open at a time. Spark sorts a task's rows by these, the order they come in."""
+    writer = lines.write.option("lineSep", end).partitionBy("file")
     writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
@@ -172,13 +199,14 @@ def _iso(date: str) -> str:
     return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
 
 
-def convert(arc: DataFrame, path: str, min_payload: int = 0, records: int = RECORDS) -> None:
+def convert(arc: DataFrame, path: str, min_payload: int = 0, records: int = RECORDS, roll_bytes: int = ROLL_BYTES) -> None:
     """ARC records (``read_arc``) as WARC files: responses, and revisits of equal payloads.
 
     Of records with equal payloads of at least ``min_payload`` bytes the largest page_id is the response; smaller payloads are
     all responses. The groups are found from digests alone, summed per task before they are shuffled, so a
     payload that a third of all pages share is one row per task. Rows that repeat the largest page_id are responses
-    each; a null page_id is smaller than any other, and where a group has no other all its records are responses.
+    each; a null page_id is smaller than any other, and where a group has no other all its records are responses. An empty table gives
+    no records; other columns are not written.
     """
     equal = ["payload_digest", "payload_bytes"]
     heads = arc.groupBy(*equal).agg(F.max("page_id").alias("head"), F.count(F.lit(1)).alias("n"))
@@ -193,21 +221,21 @@ def convert(arc: DataFrame, path: str, min_payload: int = 0, records: int = RECO
     kept = F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload")
     told = told.select(*[kept if c == "payload" else c for c in columns])
 
+    def warcinfo(file: int) -> str:
+        info = "format: WARC File Format 1.0\r\nconformsTo: ARC conversion\r\n"
+        own = uuid.uuid5(uuid.NAMESPACE_URL, f"archive:{_partition()}:{file}")
+        return (
+            f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{own}>\r\n"
+            f"WARC-Date: {FIRST_DATE:%Y-%m-%dT%H:%M:%SZ}\r\nContent-Type: application/warc-fields\r\n"
+            f"Content-Length: {len(info)}\r\n\r\n{info}"
+        )
+
     def work(batches):
-        n = 0
+        out = _Rolled(warcinfo, records, roll_bytes)
         for batch in batches:
-            lines = []
             for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 page_id, uri, ip, date, http, payload, digest, refers_to = row
-                if n % records == 0:
-                    info = "format: WARC File Format 1.0\r\nconformsTo: ARC conversion\r\n"
-                    own = uuid.uuid5(uuid.NAMESPACE_URL, f"archive:{_partition()}:{n}")
-                    lines.append(
-                        f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{own}>\r\n"
-                        f"WARC-Date: {FIRST_DATE:%Y-%m-%dT%H:%M:%SZ}\r\nContent-Type: application/warc-fields\r\n"
-                        f"Content-Length: {len(info)}\r\n\r\n{info}"
-                    )
-                    n += 1
+                out.begin()
                 block = http + (payload or "")
                 head = [
                     "WARC/1.0",
@@ -225,11 +253,10 @@ def convert(arc: DataFrame, path: str, min_payload: int = 0, records: int = RECO
                         f"X-Refers-To-Page: {refers_to}",
                     ]
                 head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block.encode())}"]
-                lines.append("\r\n".join(head) + "\r\n\r\n" + block)
-                n += 1
-            yield _text(lines)
+                out.add("\r\n".join(head) + "\r\n\r\n" + block)
+            yield out.batch()
 
-    _write(map_batches(told, work, "value string"), path, WARC_END, records)
+    _write(map_batches(told, work, "value string, file int"), path, WARC_END)
 
 
 WARC_SCHEMA = (
@@ -272,7 +299,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame, min_payload: int = 0) -> DataFrame:
-    """Pages written as ARC, converted to WARC and read back, in fresh folders of the shared scratch folder."""
+    """Pages written as ARC, converted to WARC and read back, in fresh folders of the shared scratch folder.
+
+    A row for each page: null html is an empty payload, repeated rows come back each, an empty table gives no rows, and other columns of
+    ``pages`` are left behind.
+    """
     spark = pages.sparkSession
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc)

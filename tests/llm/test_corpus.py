@@ -1,12 +1,14 @@
 """Operators that look at many rows together, and the pipeline, against brute force."""
 
 import base64
+import gzip
 import hashlib
 import io
 import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import compare
 import numpy as np
@@ -76,6 +78,23 @@ def test_bloom_filters_have_no_false_negatives():
 # --- archives
 
 
+def test_files_are_closed_by_records_and_by_bytes(spark, tmp_path):
+    """Files of one task: only the last record may bring a file over its bytes, and all records come back."""
+    rows = [(i, f"http://example.org/{i}", "é" * (40_000 if i % 10 == 3 else 100)) for i in range(100)] + [(3, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    expected = sorted((i, len((html or "").encode())) for i, _, html in rows)
+    arc, out = str(tmp_path / "arc"), str(tmp_path / "warc")
+    warc.write_arc(pages, arc, records=40, roll_bytes=100_000)
+    read = warc.read_arc(spark, arc).coalesce(1)
+    assert sorted((r.page_id, r.payload_bytes) for r in read.collect()) == expected
+    warc.convert(read, out, min_payload=1 << 30, records=40, roll_bytes=100_000)
+    assert sorted((r.page_id, r.payload_bytes) for r in warc.read_warc(spark, out).collect()) == expected
+    for folder, end in ((arc, b"filedesc:"), (out, b"WARC-Type: warcinfo")):
+        files = [gzip.decompress(f.read_bytes()) for f in Path(folder).rglob("*.txt.gz")]
+        assert len(files) > 5 and max(map(len, files)) < 100_000 + 81_000
+        assert all(data.count(end) == 1 for data in files)
+
+
 def test_pages_come_back_from_archives(spark, trial_dir):
     pages = table(spark, trial_dir, "pages").collect()
     heads = defaultdict(int)
