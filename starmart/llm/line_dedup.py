@@ -4,8 +4,10 @@ A key's 64-bit hash goes to one of many segments. Each segment keeps one filter
 hashes seen again; only the second matters afterwards. A line whose hash is not in it cannot repeat, so only suspected
 repeats leave their task as text. They are confirmed by their whole key, so a false suspicion costs time and nothing else.
 
-Hashes cross the network once, eight bytes for each distinct key of a batch. The second filters are broadcast if their
-bytes, which are measured, stay under a bound; beyond it the suspected hashes are joined instead.
+Hashes cross the network once, eight bytes for each distinct key of a batch. The second filters are broadcast in waves of segments
+whose bytes, which are measured, stay under a bound. Each wave reads the lines where they lie, so the texts are read as many times
+as the filters fill the bound, and a line that no filter suspects never leaves its task. Their number follows from the bytes of the texts. A second
+filter is as large as the hashes seen again need, so few repeats make small filters whatever the number of lines.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ from .common import SPACE, map_batches, partitions, strings
 # Bits for each hash and probes per hash: about one false suspicion in a hundred.
 _BITS_PER_HASH = 10
 _PROBES = 6
-# Second filters up to this many bytes, all segments together, are sent to every executor.
+# Bytes of text whose lines' hashes make one segment, on average.
+SEGMENT_TEXT = 512 << 20
+# Second filters of one wave, in bytes, are sent to every executor.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -105,12 +109,15 @@ def _packed_hashes(docs: DataFrame, segments: int, min_chars: int) -> DataFrame:
 
 
 def _seen_again(arrays: list[np.ndarray]) -> BloomFilter:
-    total = sum(map(len, arrays))
-    once, twice = BloomFilter.sized_for(total), BloomFilter.sized_for(total)
+    """The filter of hashes seen again, as large as these need: the one of hashes seen once tells them, and is dropped."""
+    once, again = BloomFilter.sized_for(sum(map(len, arrays))), [np.zeros(0, np.uint64)]
     for hashes in arrays:
         distinct, counts = np.unique(hashes, return_counts=True)
-        twice.add(distinct[once.has(distinct) | (counts > 1)])
+        again.append(distinct[once.has(distinct) | (counts > 1)])
         once.add(distinct)
+    repeated = np.unique(np.concatenate(again))
+    twice = BloomFilter.sized_for(len(repeated))
+    twice.add(repeated)
     return twice
 
 
@@ -135,7 +142,7 @@ def _second_filters(packed: DataFrame, segments: int) -> DataFrame:
 
 
 def _suspects_by_broadcast(docs: DataFrame, filters: DataFrame, segments: int, min_chars: int) -> DataFrame:
-    rows = filters.collect()  # at most BROADCAST_BYTES
+    rows = filters.collect()  # those of one wave: at most BROADCAST_BYTES
     sent = docs.sparkSession.sparkContext.broadcast({r[0]: (r[1], bytes(r[2])) for r in rows})
 
     def work(batches):
@@ -163,29 +170,24 @@ def _suspects_by_broadcast(docs: DataFrame, filters: DataFrame, segments: int, m
     return map_batches(docs.select("__id", "__text"), work, f"__id {kind}, __key binary")
 
 
-def _suspects_by_join(docs: DataFrame, packed: DataFrame, segments: int, min_chars: int) -> DataFrame:
-    """The same where the filters are too large to send: suspected hashes meet the lines in a join."""
+def _waves(filters: DataFrame, broadcast_bytes: int) -> list[list[int]]:
+    """Segments whose filters are at most ``broadcast_bytes`` together, or one segment whose filter alone is more."""
+    waves, size = [], 0
+    for segment, bits in filters.select("__segment", "__bits").orderBy("__segment").collect():  # a number for each segment
+        if not waves or size + bits // 8 > broadcast_bytes:
+            waves, size = [*waves, []], 0
+        waves[-1].append(segment)
+        size += bits // 8
+    return waves
 
-    def suspected(batches):
-        for arrays in _by_segment(batches).values():
-            twice = _seen_again(arrays)
-            every = np.unique(np.concatenate(arrays))
-            yield pa.RecordBatch.from_pydict({"__hash": every[twice.has(every)].view(np.int64)})
-
-    def lines(batches):
-        for batch in batches:
-            own = [list(_keys(text, min_chars)) for text in strings(batch.column(1))]
-            rows = np.repeat(np.arange(len(own)), [len(k) for k in own])
-            keys = [key for k in own for key in k]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(keys, pa.binary()), pa.array(_hashes(keys).view(np.int64))],
-                names=["__id", "__key", "__hash"],
-            )
 
-    kind = docs.schema["__id"].dataType.simpleString()
-    hashes = map_batches(packed.repartition(segments, "__segment"), suspected, "__hash long")
-    keyed = map_batches(docs.select("__id", "__text"), lines, f"__id {kind}, __key binary, __hash long")
-    return keyed.join(hashes, "__hash", "left_semi").drop("__hash")
+def _suspects(docs: DataFrame, filters: DataFrame, segments: int, min_chars: int, broadcast_bytes: int) -> DataFrame:
+    """(``__id``, ``__key``) of the lines that a second filter holds; lines are tested where they are read, once for each wave."""
+    found = None
+    for wave in _waves(filters, broadcast_bytes):
+        some = _suspects_by_broadcast(docs, filters.where(F.col("__segment").isin(wave)), segments, min_chars)
+        found = some if found is None else found.union(some)
+    return _suspects_by_broadcast(docs, filters.limit(0), segments, min_chars) if found is None else found
 
 
 def dedup_lines(
@@ -207,16 +209,12 @@ def dedup_lines(
     and are all returned; a null id counts as one document, smaller than any other. A key held several times by one
     document counts once; the document that keeps it keeps all its lines of that key. An empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    segments = partitions(spark)
     bare = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    size = bare.agg(F.sum(F.octet_length("__text").cast("long"))).first()[0] or 0
+    segments = max(partitions(docs.sparkSession), 1 + size // SEGMENT_TEXT)
     packed = _packed_hashes(bare, segments, min_chars)
     filters = stage(_second_filters(packed, segments), "line-filters")
-    size = filters.agg(F.coalesce(F.sum("__bits"), F.lit(0))).first()[0] // 8
-    if size <= broadcast_bytes:
-        suspects = _suspects_by_broadcast(bare, filters, segments, min_chars)
-    else:
-        suspects = _suspects_by_join(bare, packed, segments, min_chars)
+    suspects = _suspects(bare, filters, segments, min_chars, broadcast_bytes)
     suspects = stage(suspects.distinct(), "line-suspects")
     holders = suspects.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.max("__id").alias("__keeper"))
     repeated = holders.where(F.col("__n") >= min_docs).drop("__n")

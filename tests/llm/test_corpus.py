@@ -54,7 +54,7 @@ def brute_lines(rows, min_docs=3, min_chars=20):
 
 
 @pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
-def test_lines_by_both_roads(docs_of, broadcast_bytes):
+def test_lines_by_one_wave_and_by_many(docs_of, broadcast_bytes):
     texts = [f"{LONG}\nown line {i}\n  {LONG.upper()}\t\nshort" for i in range(5)]
     texts += [None, "", "\n\n", "É" * 20 + "\nx", "É" * 20, "é" * 20, f"{LONG}\n" * 3, "a" * 19, "a" * 19, "a" * 19]
     ids = [0, 1, 2, 3, 3, None, 6, 7, 8, 9, 10, None, 12, 13, 14]
@@ -66,6 +66,18 @@ def test_lines_by_both_roads(docs_of, broadcast_bytes):
     assert line_dedup.dedup_lines(docs_of([]), broadcast_bytes=broadcast_bytes).collect() == []
 
 
+def test_only_suspected_lines_leave_their_task(docs_of):
+    """With a wave for each segment too, only repeats and few others are sent as text, each once."""
+    docs = docs_of([f"line number {i} of nobody else\nsecond line of text {i}\n{LONG} {i % 7}" for i in range(3000)])
+    bare = docs.selectExpr("doc_id AS __id", "text AS __text")
+    filters = line_dedup._second_filters(line_dedup._packed_hashes(bare, 8, 20), 8)
+    assert sum(r["__bits"] for r in filters.collect()) <= 8 * 1024
+    assert len(line_dedup._waves(filters, 0)) == filters.count() > 2 and len(line_dedup._waves(filters, 1 << 20)) == 1
+    sent = [line_dedup._suspects(bare, filters, 8, 20, size).collect() for size in (0, 1 << 20)]
+    assert sorted(sent[0]) == sorted(sent[1])
+    assert sum(LONG.lower().encode() in r["__key"] for r in sent[0]) == 3000 and len(sent[0]) < 3300
+
+
 def test_bloom_filters_have_no_false_negatives():
     rng = np.random.default_rng(1)
     arrays = [rng.integers(0, 2**64, 4000, np.uint64) for _ in range(5)]
