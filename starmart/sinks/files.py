@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_landing(df: DataFrame, path: str, compression: str = "gzip") -> None:
+def write_landing(df: DataFrame, path: str, compression: str = "gzip", mode: str = "overwrite") -> None:
     """A folder of CSV files, each with the header; compressed files are read back as they are."""
-    writer = df.write.mode("overwrite").options(header=True, quote='"', escape='"', compression=compression)
+    writer = df.write.mode(mode).options(header=True, quote='"', escape='"', compression=compression)
     writer.csv(path)
 
 

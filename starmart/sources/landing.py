@@ -23,7 +23,7 @@ from ..sinks.store import Store
 
 log = logging.getLogger(__name__)
 
-_BROKEN = "_broken"
+_BROKEN, _UNREAD = "_broken", "_unread"
 STATUS, REASON, RECORD, LOADED_AT = "load_status", "reject_reason", "reject_record", "loaded_at"
 LOADED, REJECTED = "loaded", "rejected"
 
@@ -42,32 +42,49 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the first line of one file of ``path``."""
-    line = spark.read.text(path).where("_metadata.file_block_start = 0").select("value").first()
-    if line is None:
-        raise ValueError(f"no header line in {path}")
-    return next(csv.reader([line[0].lstrip("\ufeff")]))
+def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(``file``, ``line``): the first line of every file of ``path`` that is not empty, null for one that can't be read at all."""
+    texts = spark.read.option("ignoreCorruptFiles", True).text(path).where("_metadata.file_block_start = 0")
+    texts = texts.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    # Two streaming passes instead of a sort of all texts, which the first of a text column would need.
+    first = texts.groupBy("file").agg(F.min("at").alias("at"))
+    lines = texts.join(first, ["file", "at"], "left_semi").select("file", F.col("value").alias("line"))
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    return files.join(lines, "file", "left")
+
+
+def _layouts(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
+    """Files of ``path`` by their header line."""
+    by_line = _first_lines(spark, path).groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return {r["line"]: r["files"] for r in by_line.orderBy("line").collect()}
 
 
 def read_landing(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """CSV files as text columns plus ``_broken``, the source line of a row with too few or too many fields.
 
-    Each path is a file, or a folder of files with one header; a file in the folder that has another header stops
-    the read, so columns cannot be swapped unnoticed. Paths may differ in header: they are read one by one and
-    put together by name. Quoted fields may hold line breaks; a file is then read by one task, so keep files below
+    Each path is a file or a folder of files. Headers may differ from file to file: files of one header are read together and all are
+    put together by name. A file that can't be read at all is one row, its name in ``_unread``; one that breaks off
+    later stops the read. An empty file has no rows. Quoted fields may hold line breaks; a file is then read by one task, so keep files below
     about a gigabyte, or turn ``multi_line`` off when no field does, and large files are split.
     """
-    frames = []
+    frames, unread = [], []
     for path in [paths] if isinstance(paths, str) else paths:
-        names = _header(spark, path)
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _BROKEN]])
-        frames.append(
-            spark.read.schema(schema)
-            .options(header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
-            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN, columnPruning=False)
-            .csv(path)
-        )
+        layouts = _layouts(spark, path)
+        missing = layouts.pop(None, [])
+        unread += missing
+        for line, files in layouts.items():
+            names = next(csv.reader([line.lstrip("\ufeff")]))
+            schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _BROKEN]])
+            frames.append(
+                spark.read.schema(schema)
+                .options(header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
+                .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN, columnPruning=False)
+                .csv(path if len(layouts) == 1 and not missing else files)
+            )
+    if not frames:
+        raise ValueError(f"no header line in {paths}")
+    if unread:
+        frames.append(spark.createDataFrame([(file,) for file in unread], f"{_UNREAD} string"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -88,15 +105,18 @@ def _number(cell: Column, to: T.DataType) -> Column:
 
 def coerce(df: DataFrame, schema: T.StructType, tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
     """Landing text to the types of ``schema``, with ``load_status``, ``reject_reason`` and ``reject_record``."""
-    broken = F.col(_BROKEN) if _BROKEN in df.columns else F.lit(None).cast("string")
-    text = df.select(*match_columns(df, schema), broken.alias(_BROKEN))
-    text = text.select(*[null_tokens(F.col(f.name), tokens).alias(f.name) for f in schema], _BROKEN)
+    marks = [(F.col(m) if m in df.columns else F.lit(None).cast("string")).alias(m) for m in (_BROKEN, _UNREAD)]
+    text = df.select(*match_columns(df, schema), *marks)
+    text = text.select(*[null_tokens(F.col(f.name), tokens).alias(f.name) for f in schema], _BROKEN, _UNREAD)
 
     # One step per result that later ones use more than once, so that each cell is parsed once.
     numbers = {f.name: f"_number{i}" for i, f in enumerate(schema) if not isinstance(f.dataType, T.StringType)}
     parsed = text.withColumns({numbers[f.name]: _number(F.col(f.name), f.dataType) for f in schema if f.name in numbers})
 
-    reasons = [F.when(F.col(_BROKEN).isNotNull(), F.lit("wrong number of fields"))]
+    reasons = [
+        F.when(F.col(_UNREAD).isNotNull(), F.lit("file without a header")),
+        F.when(F.col(_BROKEN).isNotNull(), F.lit("wrong number of fields")),
+    ]
     for field in schema:
         cell = F.col(field.name)
         if field.name in numbers:
@@ -106,7 +126,7 @@ def coerce(df: DataFrame, schema: T.StructType, tokens: Iterable[str] = NULL_TOK
             reasons.append(F.when(cell.isNull(), F.lit(f"{field.name} is missing")))
     judged = parsed.withColumn(REASON, F.coalesce(*reasons))
     good = F.col(REASON).isNull()
-    record = F.coalesce(F.col(_BROKEN), F.to_json(F.struct(*schema.fieldNames())))
+    record = F.coalesce(F.col(_UNREAD), F.col(_BROKEN), F.to_json(F.struct(*schema.fieldNames())))
     return judged.select(
         *[F.col(numbers.get(name, name)).alias(name) for name in schema.fieldNames()],
         F.when(good, F.lit(LOADED)).otherwise(F.lit(REJECTED)).alias(STATUS),

@@ -368,6 +368,13 @@ LINE_QUINTILES = """
 
 
 def oracle_sql() -> dict[str, str]:
+    landed = f"""
+            with {HOSPITALS}, {RAW_READMISSIONS}
+            select facility_name, facility_id, state, measure as measure_name, discharges as number_of_discharges,
+                   cast(null as varchar) as footnote, ratio as excess_readmission_ratio, predicted as predicted_readmission_rate,
+                   expected as expected_readmission_rate, readmissions as number_of_readmissions,
+                   '07/01/2021' as start_date, '06/30/2024' as end_date
+            from raw_readmissions"""
     return {
         "null_tokens": f"""
             select id, raw, case when raw in ('', 'NA', 'Not Available') then null else raw end as cleaned
@@ -376,23 +383,22 @@ def oracle_sql() -> dict[str, str]:
             with {RAW_CHARGES}, {RAW_READMISSIONS}
             select (select count(*) from raw_charges) as n_charges,
                    (select count(*) from raw_readmissions) as n_readmissions""",
-        "csv_load": f"""
-            with {HOSPITALS}, {RAW_READMISSIONS}
-            select facility_id, state, measure as measure_name, discharges as number_of_discharges,
-                   ratio as excess_readmission_ratio, cast(null as varchar) as footnote
-            from raw_readmissions""",
-        "csv_rejects": """
+        "csv_load": landed,
+        "csv_rejects": f"""
             select case when l_suppkey % 3 = 0 then 'Tot_Dschrgs is not a number' else 'DRG_Cd is missing' end
-                     as reject_reason, count(*) as n_rows
+                     as reject_reason, {padded("l_suppkey", 6)} as told, count(*) as n_rows
             from (select distinct l_suppkey, p_size from lineitem join part on l_partkey = p_partkey)
-            where l_suppkey % 3 < 2 and p_size % 5 = 0 group by 1""",
-        "paged_json": f"""
-            with {HOSPITALS}, {RAW_READMISSIONS}
-            select facility_id, measure as measure_name, state, facility_name from raw_readmissions""",
+            where l_suppkey % 3 < 2 and p_size % 5 = 0 group by 1, 2
+            union all
+            select 'wrong number of fields', {padded("s_suppkey", 6)} || line, 1
+            from supplier, (values (',short'), (repeat(',long', 15))) as lines(line)""",
+        "paged_json": landed,
         "latest_distribution": """
             select 'Orders by priority and day : ' || yr as title, cast(yr as bigint) as year,
                    'https://example.org/orders-' || yr || '.CSV' as url
-            from (select max(year(o_orderdate)) as yr from orders)""",
+            from (select max(year(o_orderdate)) as yr from orders)
+            union all
+            select 'Orders by clerk : ' || yr, cast(yr as bigint), null from (select max(year(o_orderdate)) as yr from orders)""",
         "stg_charges": f"""
             with {STG_CHARGES}
             select ccn, provider_name, provider_city, provider_state, provider_zip, ruca_code, drg_code, drg_desc,

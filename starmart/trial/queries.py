@@ -48,12 +48,13 @@ from ..sources import (
     latest_distribution,
     load_audit,
     load_table,
+    read_catalog,
     read_landing,
     read_pages,
 )
-from ..sources.landing import REASON
+from ..sources.landing import REASON, RECORD
 from . import mart, years
-from .extracts import MEASURES, RUCA_CODES, STATES, _pick, padded, table
+from .extracts import MEASURES, RUCA_CODES, STATES, _pick, loaded_readmissions, padded, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PERCENTAGES = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
@@ -100,26 +101,23 @@ def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing files with a column less, one more, another order and other letter case; loaded by name."""
+    """Landing files of two headers in one folder: a column less, one more, another order and other letter case; loaded by name."""
     landed = mart.raw(spark, sf_dir, "landed_readmissions").drop("Footnote")
-    landed = landed.withColumn("Extra", F.lit('a "quoted", cell'))
+    other = landed.withColumn("Extra", F.lit('a "quoted", cell'))
     folder = scratch_path(spark, "landing")
-    write_landing(landed.select(*[F.col(c).alias(c.upper()) for c in sorted(landed.columns)]), folder)
+    late = F.coalesce(F.regexp_replace("Facility_ID", "H", "").cast("bigint") % 2 == 1, F.lit(False))
+    write_landing(other.where(late).select(*[F.col(c).alias(c.upper()) for c in sorted(other.columns)]), folder)
+    write_landing(landed.where(~late), folder, mode="append")
     store = Store(spark, scratch_path(spark, "load"), catalog=False)
     loaded = load_table(read_landing(spark, folder), READMISSIONS, store, "hrrp_readmissions").table
-    wanted = [
-        "Facility_ID",
-        "State",
-        "Measure_Name",
-        "Number_of_Discharges",
-        "Excess_Readmission_Ratio",
-        "Footnote",
-    ]
-    return loaded.select(*[F.col(c).alias(c.lower()) for c in wanted])
+    return loaded.select(*[F.col(f.name).alias(f.name.lower()) for f in READMISSIONS])
 
 
 def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unparsable counts and missing codes are planted in a fifth of the groups and must be set aside, all of them."""
+    """Unparsable counts and missing codes in a fifth of the groups, and a row too short and one too long for each hospital.
+
+    All of them must be set aside: reason, and the text of the row or the hospital that its record names.
+    """
     raw = mart.raw(spark, sf_dir, "inpatient_charges")
     key = F.col("Rndrng_Prvdr_CCN").cast("bigint")
     size = (F.col("DRG_Cd").cast("int") - 2) / 18 + 1
@@ -132,9 +130,15 @@ def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = scratch_path(spark, "landing")
     write_landing(landed, folder)
+    ccn = padded(F.col("s_suppkey"), 6)
+    lines = F.explode(F.array(F.concat(ccn, F.lit(",short")), F.concat(ccn, F.lit(",long" * len(INPATIENT_CHARGES)))))
+    # Whole lines, header included, as one column that nothing separates.
+    broken = table(spark, sf_dir, "supplier").select(lines.alias(",".join(INPATIENT_CHARGES.fieldNames())))
+    broken.write.mode("append").options(header=True, sep="\u0001").csv(folder)
     store = Store(spark, scratch_path(spark, "load"), catalog=False)
     rejects = load_table(read_landing(spark, folder), INPATIENT_CHARGES, store, "inpatient_charges").rejects
-    return rejects.groupBy(REASON).agg(F.count(F.lit(1)).alias("n_rows"))
+    told = F.coalesce(F.get_json_object(RECORD, "$.Rndrng_Prvdr_CCN"), RECORD).alias("told")
+    return rejects.groupBy(REASON, told).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,14 +150,15 @@ def q_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = scratch_path(spark, "pages")
     pages.select("results").write.json(folder)
-    records = read_pages(spark, folder, READMISSIONS, multi_line=False)
-    return records.select(
-        *[F.col(c).alias(c.lower()) for c in ("Facility_ID", "Measure_Name", "State", "Facility_Name")]
-    )
+    records = loaded_readmissions(read_pages(spark, folder, READMISSIONS, multi_line=False))
+    return records.select(*[F.col(f.name).alias(f.name.lower()) for f in READMISSIONS])
 
 
 def q_latest_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A catalog with one dataset per year of orders; its CSV link is known only by its ending."""
+    """A saved catalog with datasets of each year of orders; the CSV link of the newest is known only by its ending.
+
+    Each year is there twice, with other links, and once with too few digits for a year; a second kind of dataset has no CSV.
+    """
     year = F.year("o_orderdate")
     years = table(spark, sf_dir, "orders").groupBy(year.alias("yr")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -161,12 +166,25 @@ def q_latest_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
         url = F.concat(F.lit("https://example.org/orders-"), F.col("yr"), F.lit(ending))
         return F.struct(F.lit(media).cast("string").alias("mediaType"), url.alias("downloadURL"))
 
-    catalog = years.select(
-        F.col("yr").alias("place"),
-        F.concat(F.lit("Orders by priority and day : "), F.col("yr")).alias("title"),
-        F.array(link("application/json", ".json"), link(None, ".CSV"), link("text/csv", ".txt")).alias("distribution"),
+    def entry(place: int, name: str, digits: Column, *links: Column) -> Column:
+        title = F.concat(F.lit(f"Orders by {name} : "), digits)
+        return F.struct((F.col("yr") * 10 + place).alias("place"), title.alias("title"), F.array(*links).alias("distribution"))
+
+    whole = F.col("yr").cast("string")
+    entries = F.explode(
+        F.array(
+            entry(0, "priority and day", whole, link("application/json", ".json"), link(None, ".CSV"), link("text/csv", ".txt")),
+            entry(1, "priority and day", whole, link("text/csv", ".second")),
+            entry(2, "priority and day", F.right(whole, F.lit(2)), link("text/csv", ".short")),
+            entry(3, "clerk", whole, link("application/json", ".json")),
+        )
     )
-    found = latest_distribution(catalog, "by priority and day")
+    ordered = F.array_sort(F.collect_list("entry"))
+    document = years.select(entries.alias("entry")).agg(F.transform(ordered, lambda e: e.dropFields("place")).alias("dataset"))
+    folder = scratch_path(spark, "catalog")
+    document.write.json(folder)
+    catalog = read_catalog(spark, folder)
+    found = latest_distribution(catalog, "by priority and day").union(latest_distribution(catalog, "by clerk"))
     return found.withColumn("year", F.col("year").cast("bigint"))
 
 

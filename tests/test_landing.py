@@ -97,13 +97,33 @@ def test_files_with_different_headers_are_put_together_by_name(spark, store, tmp
     assert rows(load_table(both, SCHEMA, store, "t").table) == [("1", "Ann", None, None), ("2", "Bob", None, 5)]
 
 
-def test_a_folder_with_two_headers_stops_instead_of_swapping_columns(spark, tmp_path):
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_folder_with_two_headers_loads_both_by_name(spark, store, tmp_path, multi_line):
     folder = tmp_path / "t"
     folder.mkdir()
     (folder / "a.csv").write_text("Id,Name\n1,Ann\n")
-    (folder / "b.csv").write_text("Name,Id\nBob,2\n")
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        read_landing(spark, str(folder)).collect()
+    (folder / "b.csv").write_text("\ufeffName,Id\nBob,2\nshort\n")
+    with gzip.open(folder / "c.csv.gz", "wt") as f:
+        f.write("NAME,COUNT,ID,EXTRA\nCy,7,3,x\n4,5\n")
+    (folder / "d.csv").write_text("Id,Name\n5,Eve\n")
+    loaded = load_table(read_landing(spark, str(folder), multi_line=multi_line), SCHEMA, store, "t")
+    assert sorted(rows(loaded.table)) == [("1", "Ann", None, None), ("2", "Bob", None, None), ("3", "Cy", None, 7), ("5", "Eve", None, None)]
+    assert sorted(rows(loaded.rejects)) == [("4,5", "wrong number of fields"), ("short", "wrong number of fields")]
+
+
+def test_a_file_that_cannot_be_read_is_set_aside(spark, store, tmp_path):
+    folder = tmp_path / "t"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Id,Name\n1,Ann\n")
+    (folder / "b.csv.gz").write_bytes(b"this is not gzip")
+    (folder / "c.csv").write_text("")
+    loaded = load_table(read_landing(spark, str(folder)), SCHEMA, store, "t")
+    assert rows(loaded.table) == [("1", "Ann", None, None)]
+    found = sorted((reason, name.rsplit("/", 1)[1]) for name, reason in rows(loaded.rejects))
+    assert found == [("file without a header", "b.csv.gz")]
+    (folder / "a.csv").unlink()
+    with pytest.raises(ValueError, match="no header line"):
+        read_landing(spark, str(folder))
 
 
 def test_an_extract_may_come_without_line_breaks_in_fields_and_compressed(spark, store, tmp_path):
