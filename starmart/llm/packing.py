@@ -40,7 +40,12 @@ def piece_spans(total: int, size: int) -> Iterator[tuple[int, int]]:
 def tokenized_pieces(
     docs: DataFrame, rank_path: str, pattern: str, end_id: int, size: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The id with ``piece``, ``start``, ``length`` and ``ids_crc32`` of each piece of a row's ids and ``end_id``."""
+    """The id with ``piece``, ``start``, ``length`` and ``ids_crc32`` of each piece of a row's ids and ``end_id``.
+
+    Null text is empty: one piece, ``end_id`` alone. A text of any length is encoded whole and cut into pieces of ``size``, of which the
+    first may be shorter. Repeated rows, and rows of one id, give their pieces each; a null id stays null. An empty table gives no
+    pieces; other columns are left behind.
+    """
 
     def work(batches):
         encode = encoding(rank_path, pattern)
