@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .history import FROM, TO
-from .slices import handed_on, slice_of
+from .slices import handed_on, slice_of, spread
 
 
 def as_of(
@@ -25,7 +25,7 @@ def as_of(
 
     No range join: facts and versions are put together, sorted by time within key and time slice, and the last version is carried
     forward; the one that holds when a slice begins is put first in it. So facts move once, and a key with a third of them spans as
-    many tasks as there are slices. ``rows`` is the number of facts, if known. Every fact stays as often as it occurs; its values are null without a version, without
+    many tasks as there are slices; tasks follow the facts' number, ``rows``, which is counted if it is not given. Every fact stays as often as it occurs; its values are null without a version, without
     a time, or after the version's ``valid_to`` (exclusive; null: open). Null keys match null keys. Of versions that begin
     together the greatest counts. Values must not be named like columns of ``facts``.
     """
@@ -34,7 +34,8 @@ def as_of(
         raise ValueError(f"facts already have {', '.join(sorted(clash))}")
     ends = F.col(valid_to) if valid_to is not None else F.lit(None).cast(versions.schema[valid_from].dataType)
     kind = facts.schema[time].dataType
-    known = versions.where(F.col(valid_from).isNotNull()).groupBy(*keys, valid_from)
+    rows = facts.count() if rows is None else rows
+    known = spread(versions.where(F.col(valid_from).isNotNull()), rows, *keys, valid_from).groupBy(*keys, valid_from)
     known = known.agg(F.max(F.struct(ends.alias("_ends"), *values)).alias("_version"))
     known = known.select(*keys, F.col(valid_from).cast(kind).alias("_time"), F.lit(0).alias("_side"), "_version")
     happened = facts.select(*keys, F.col(time).alias("_time"), F.lit(1).alias("_side"), F.struct(*facts.columns).alias("_fact"))
@@ -42,12 +43,12 @@ def as_of(
     number = slice_of(happened, F.col("_time"), rows)
 
     light = happened.drop("_fact").unionByName(known, allowMissingColumns=True).withColumn("_slice", number)
-    last = light.groupBy(*keys, "_slice").agg(
+    last = spread(light, rows, *keys, "_slice").groupBy(*keys, "_slice").agg(
         F.max_by("_version", F.when(F.col("_side") == 0, F.col("_time"))).alias("_version")
     )
-    begins = handed_on(last, keys, "_slice", "_version").withColumn("_side", F.lit(-1))
+    begins = handed_on(spread(last, rows, *keys), keys, "_slice", "_version").withColumn("_side", F.lit(-1))
     both = happened.unionByName(known, allowMissingColumns=True).withColumn("_slice", number)
-    lined = both.unionByName(begins, allowMissingColumns=True)
+    lined = spread(both.unionByName(begins, allowMissingColumns=True), rows, *keys, "_slice")
 
     order = [F.col("_side") >= 0, F.asc_nulls_first("_time"), F.col("_side")]
     so_far = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import handed_on, slice_of
+from .slices import handed_on, slice_of, spread
 from .staged import stage
 
 FROM, TO, HASH = "valid_from", "valid_to", "row_hash"
@@ -33,18 +33,21 @@ def change_points(points: DataFrame, keys: Sequence[str], attributes: Sequence[s
         .withColumn(HASH, row_hash(attributes))
     )
     held = stage(held, "history-points")
-    held = held.withColumn("_slice", slice_of(held, F.col(FROM)))
+    rows = held.count()
+    held = held.withColumn("_slice", slice_of(held, F.col(FROM), rows))
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(F.asc_nulls_first(FROM))
 
     # The last row of the slices before stands first in its slice, without a time.
-    last = held.groupBy(*keys, "_slice").agg(F.max_by(HASH, FROM).alias(HASH))
-    lined = held.unionByName(handed_on(last, keys, "_slice", HASH), allowMissingColumns=True)
+    last = spread(held, rows, *keys, "_slice").groupBy(*keys, "_slice").agg(F.max_by(HASH, FROM).alias(HASH))
+    begins = handed_on(spread(last, rows, *keys), keys, "_slice", HASH)
+    lined = spread(held.unionByName(begins, allowMissingColumns=True), rows, *keys, "_slice")
     changed = lined.withColumn("_earlier", F.lag(HASH).over(in_slice)).where(~F.col(HASH).eqNullSafe(F.col("_earlier")))
     changed = changed.where(F.col(FROM).isNotNull()).drop("_earlier")
     changed = stage(changed, "history-changes")
 
     # The first change of the slices after stands last in its slice, without a digest.
-    first = changed.groupBy(*keys, "_slice").agg(F.min(FROM).alias(FROM))
-    lined = changed.unionByName(handed_on(first, keys, "_slice", FROM, forward=False), allowMissingColumns=True)
+    first = spread(changed, rows, *keys, "_slice").groupBy(*keys, "_slice").agg(F.min(FROM).alias(FROM))
+    ends = handed_on(spread(first, rows, *keys), keys, "_slice", FROM, forward=False)
+    lined = spread(changed.unionByName(ends, allowMissingColumns=True), rows, *keys, "_slice")
     closed = lined.withColumn(TO, F.lead(FROM).over(in_slice)).where(F.col(HASH).isNotNull())
     return closed.select(*keys, *attributes, FROM, TO, HASH)

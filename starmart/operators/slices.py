@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows that make a further slice worth while, and the most slices; the bounds are one conditional expression.
+# Rows that make a further slice, or a further task, worth while, and the most slices; the bounds are one conditional expression.
 SLICE_ROWS = 1_000_000
 MOST_SLICES = 256
 
@@ -45,6 +45,15 @@ def slice_of(df: DataFrame, time: Column, rows: int | None = None) -> Column:
     return F.when(time.isNull(), 0).otherwise(_tree(ticks(time), distinct, 0))
 
 
+def spread(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """``df`` dealt by columns over a task for every ``SLICE_ROWS`` of ``rows``, where the session's shuffle would use fewer.
+
+    What a task sorts is then as much at every size, and does not grow with the table. Smaller tables are left to the session.
+    """
+    tasks = 1 + rows // SLICE_ROWS
+    return df.repartition(tasks, *by) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def handed_on(
     totals: DataFrame, by: Sequence[str], slice_col: str, value: str, forward: bool = True, greatest: bool = False
 ) -> DataFrame:

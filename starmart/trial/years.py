@@ -26,6 +26,7 @@ from ..operators import (
     year_dimension,
 )
 from ..operators.history import FROM, TO
+from ..operators.slices import spread
 from ..sinks import History, SessionTable, write_landing
 from ..sources import ReleaseTable
 from .extracts import table
@@ -69,9 +70,10 @@ def q_fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("timestamp").alias("l_shipdate")
     )
-    facts = lines.join(customers, "l_orderkey")
+    rows = lines.count()
+    facts = spread(lines, rows, "l_orderkey").join(spread(customers, rows, "l_orderkey"), "l_orderkey")
     # An order is one row of its table, so the join keeps the number of lines.
-    found = as_of(facts, versions, ["o_custkey"], "l_shipdate", attributes, rows=lines.count())
+    found = as_of(facts, versions, ["o_custkey"], "l_shipdate", attributes, rows=rows)
     return found.withColumn("l_shipdate", _micros("l_shipdate"))
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators import as_of, slices
+from starmart.operators.history import change_points
 from starmart.sinks import History
 
 SCHEMA = "k string, t timestamp, a string, b long, seq long"
@@ -158,3 +159,18 @@ def test_as_of_without_versions_and_with_clashing_names(spark):
     assert as_of(facts.limit(0), versions, ["k"], "t", ["held"]).collect() == []
     with pytest.raises(ValueError, match="value"):
         as_of(facts, versions.withColumnRenamed("held", "value"), ["k"], "t", ["value"])
+
+
+def test_tasks_of_the_lookup_and_of_histories_follow_the_rows(spark, monkeypatch):
+    """With fixed shuffle partitions, what one task sorts grew with the table."""
+    monkeypatch.setattr(slices, "SLICE_ROWS", 50)
+    facts = spark.range(2000).selectExpr("id % 97 as k", "timestamp_seconds(id * 37 % 1999) as t", "id as payload")
+    points = spark.range(1000).selectExpr("id % 97 as k", "timestamp_seconds(id) as valid_from", "id as a", "0 as rank")
+    versions = change_points(points, ["k"], ["a"], ["rank"])
+    found = as_of(facts, versions, ["k"], "t", ["a"])
+
+    def largest(df):
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    assert largest(versions) < 150 and largest(found) < 250
+    assert found.count() == 2000 and versions.count() == 1000
