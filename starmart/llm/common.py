@@ -32,7 +32,16 @@ def map_batches(
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
-    return df.mapInArrow(work, schema)
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            # Workers wait for their next task, of whichever stage: without the memory that this one is done with.
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

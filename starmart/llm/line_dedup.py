@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.staged import stage
 
-from .common import SPACE, map_batches, partitions, strings
+from .common import SPACE, map_batches, partitions, slices, strings
 
 # Bits for each hash and probes per hash: about one false suspicion in a hundred.
 _BITS_PER_HASH = 10
@@ -91,7 +91,7 @@ def _packed_hashes(docs: DataFrame, segments: int, min_chars: int) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            found = [_hashes(list(_keys(text, min_chars))) for text in strings(batch.column(0))]
+            found = [_hashes(list(_keys(text, min_chars))) for some in slices([batch]) for text in strings(some.column(0))]
             every = np.concatenate([*found, np.zeros(0, np.uint64)])
             once, counts = np.unique(every, return_counts=True)
             packed = np.concatenate([once, once[counts > 1]])
@@ -147,7 +147,7 @@ def _suspects_by_broadcast(docs: DataFrame, filters: DataFrame, segments: int, m
 
     def work(batches):
         second = {s: BloomFilter(bits, zstandard.decompress(data)) for s, (bits, data) in sent.value.items()}
-        for batch in batches:
+        for batch in slices(batches):
             own = [list(_keys(text, min_chars)) for text in strings(batch.column(1))]
             keys = [key for k in own for key in k]
             rows = np.repeat(np.arange(len(own)), [len(k) for k in own])
@@ -229,7 +229,7 @@ def dedup_lines(
     at = columns.index(text_col)
 
     def finish(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts, counts, dropped = batch.column(at).to_pylist(), [], []
             for i, (text, drop) in enumerate(zip(texts, batch.column(len(columns)).to_pylist(), strict=True)):
                 lines = (text or "").split("\n")

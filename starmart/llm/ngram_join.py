@@ -134,10 +134,10 @@ def most_shared(x: np.ndarray, y: np.ndarray, sizes: int) -> int:
 
 def _prefixes(docs: DataFrame, nodes: DataFrame, frequencies: np.ndarray, n: int, percent: int) -> DataFrame:
     """(``id``, ``size``, ``prefix``, ``bits``) of each representative."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequencies)
+    sent = docs.sparkSession.sparkContext.broadcast(np.minimum(frequencies, (1 << 24) - 1).astype(np.uint64) << np.uint64(40))
 
     def work(batches):
-        table = np.minimum(sent.value, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
+        table = sent.value
         for batch in slices(batches):
             digests, packed, bits = [], [], []
             for text in strings(batch.column(1)):

@@ -5,13 +5,16 @@ import gzip
 import hashlib
 import io
 import math
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -532,3 +535,26 @@ def test_stages_of_an_empty_table(spark, trial_dir):
     docs = table(spark, trial_dir, "documents").limit(0)
     for _, work in corpus_pipeline.STAGES:
         assert work(spark, docs, trial_dir).collect() == []
+
+
+def test_line_hashes_hold_the_texts_of_a_slice_and_not_of_a_batch(spark):
+    class Rows:
+        sparkSession = spark
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return work
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefgh \n", k=300)) * 10 for _ in range(10_240)]
+    batch = pa.RecordBatch.from_pydict({"__text": texts})
+    work = line_dedup._packed_hashes(Rows(), 4, 20)
+    tracemalloc.start()
+    try:
+        rows = sum(found.num_rows for found in work(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 4 and most < 20e6 < batch.nbytes
